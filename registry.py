@@ -1,0 +1,555 @@
+"""Every operator of the library as a query over the trade tables in a folder."""
+
+from __future__ import annotations
+
+import os
+from collections.abc import Callable
+from dataclasses import replace
+from datetime import datetime
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from shopmarts.functions.money import cents_to_eur
+from shopmarts.functions.text import sentence_case
+from shopmarts.functions.time import hour_boundaries, load_second, month_start
+from shopmarts.operators import diff
+from shopmarts.plans import contract, generate
+from shopmarts.plans.build import MONEY, build, export, verify
+from shopmarts.plans.intermediate import order_money
+from shopmarts.plans.load import RawTable, load_tables, loads_by_id, read_raw
+from shopmarts.plans.marts import Marts, marts_of, stage
+from shopmarts.plans.reports import REPORTS
+from shopmarts.schemas import LOAD_ID, ROW_ID, TABLES
+from shopmarts.session import scratch_dir
+from shopmarts.sources import defects, trade_tables
+from shopmarts.sources.layout import Layout, open_marts
+from shopmarts.streaming.landing import land_new_files
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+
+# Line keys of the trade tables carry 25 digits below the order number.
+SPECS = {
+    **TABLES,
+    "order_items": replace(TABLES["order_items"], bucket_width=1_000_000 * 10**25),
+}
+FIRST, SECOND, THIRD = "1788900000.1", "1788930000.2", "1788960000.3"
+
+
+def query(function: Query) -> Query:
+    QUERIES[function.__name__] = function
+    return function
+
+
+def staged(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    return stage(trade_tables.raw_tables(spark, folder))
+
+
+def marts(spark: SparkSession, folder: str) -> Marts:
+    return marts_of(staged(spark, folder))
+
+
+def _models_of(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    views = stage(raw)
+    money = order_money(views["stg_webshop__order_items"])
+    return {**views, MONEY: money, **marts_of(views, money).named()}
+
+
+def models(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    return _models_of(trade_tables.raw_tables(spark, folder))
+
+
+def broken_models(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    return _models_of(defects.broken_raw(trade_tables.raw_tables(spark, folder)))
+
+
+# Models ---------------------------------------------------------------------------------------
+
+
+def _register_models() -> None:
+    names = {
+        "stg_customers": "stg_webshop__customers",
+        "stg_products": "stg_webshop__products",
+        "stg_orders": "stg_webshop__orders",
+        "stg_order_items": "stg_webshop__order_items",
+        "int_order_money": MONEY,
+        "fct_orders": "fct_orders",
+        "fct_order_items": "fct_order_items",
+        "dim_customers": "dim_customers",
+        "dim_products": "dim_products",
+    }
+    for key, model in names.items():
+        QUERIES[key] = lambda spark, folder, model=model: models(spark, folder)[model]
+    for name, report in REPORTS.items():
+        QUERIES[f"rpt_{name}"] = lambda spark, folder, report=report: report(marts(spark, folder))
+
+
+_register_models()
+
+
+# Functions ------------------------------------------------------------------------------------
+
+
+@query
+def fn_cents_to_eur(spark: SparkSession, folder: str) -> DataFrame:
+    price, cost = F.col("unit_price_cents"), F.col("cost_cents")
+    return trade_tables.source_tables(spark, folder)["products"].select(
+        "id",
+        cents_to_eur(price).alias("price_eur"),
+        cents_to_eur(price - cost).alias("margin_eur"),
+        cents_to_eur(cost - price * 3).alias("below_zero_eur"),
+    )
+
+
+@query
+def fn_sentence_case(spark: SparkSession, folder: str) -> DataFrame:
+    return trade_tables.source_tables(spark, folder)["orders"].select(
+        "id",
+        sentence_case(F.col("channel")).alias("channel_label"),
+        sentence_case(F.upper("status")).alias("status_label"),
+        sentence_case(F.substr("status", F.lit(20))).alias("empty_label"),
+        sentence_case(F.when(F.col("id") % 2 == 0, F.col("status"))).alias("optional_label"),
+    )
+
+
+@query
+def fn_time(spark: SparkSession, folder: str) -> DataFrame:
+    ordered, shipped = F.col("ordered_at"), F.col("shipped_at")
+    return trade_tables.raw_tables(spark, folder)["orders"].select(
+        "id",
+        hour_boundaries(ordered, shipped).cast("bigint").alias("hours_to_ship"),
+        hour_boundaries(shipped, ordered).cast("bigint").alias("hours_back"),
+        month_start(ordered).alias("month"),
+        load_second(F.col(LOAD_ID)).alias("load_second"),
+    )
+
+
+# Checks ---------------------------------------------------------------------------------------
+
+
+@query
+def chk_unique(spark: SparkSession, folder: str) -> DataFrame:
+    return contract.unique(models(spark, folder))
+
+
+@query
+def chk_not_null(spark: SparkSession, folder: str) -> DataFrame:
+    return contract.not_null(models(spark, folder))
+
+
+@query
+def chk_accepted_values(spark: SparkSession, folder: str) -> DataFrame:
+    return contract.accepted_values(models(spark, folder))
+
+
+@query
+def chk_relationships(spark: SparkSession, folder: str) -> DataFrame:
+    return contract.relationships(models(spark, folder))
+
+
+@query
+def chk_reconcile(spark: SparkSession, folder: str) -> DataFrame:
+    return contract.reconcile(marts(spark, folder))
+
+
+@query
+def chk_realised(spark: SparkSession, folder: str) -> DataFrame:
+    return contract.realised(marts(spark, folder))
+
+
+@query
+def chk_money_exact(spark: SparkSession, folder: str) -> DataFrame:
+    return contract.money_is_exact(marts(spark, folder))
+
+
+@query
+def chk_freshness(spark: SparkSession, folder: str) -> DataFrame:
+    """Tables loaded 35, 37 and 73 hours before the question is asked."""
+    now = 1_788_961_669
+    hours = {"customers": 35, "products": 37, "orders": 73}
+    sources = trade_tables.source_tables(spark, folder)
+    raw = {
+        name: trade_tables.with_lineage(sources[name], f"{now - age * 3600}.25")
+        for name, age in hours.items()
+    }
+    return contract.freshness(raw, now)
+
+
+@query
+def chk_unique_broken(spark: SparkSession, folder: str) -> DataFrame:
+    return contract.unique(broken_models(spark, folder))
+
+
+@query
+def chk_not_null_broken(spark: SparkSession, folder: str) -> DataFrame:
+    return contract.not_null(broken_models(spark, folder))
+
+
+@query
+def chk_accepted_values_broken(spark: SparkSession, folder: str) -> DataFrame:
+    return contract.accepted_values(broken_models(spark, folder))
+
+
+@query
+def chk_relationships_broken(spark: SparkSession, folder: str) -> DataFrame:
+    return contract.relationships(broken_models(spark, folder))
+
+
+@query
+def chk_reconcile_broken(spark: SparkSession, folder: str) -> DataFrame:
+    return contract.unreconciled(defects.lost_parentheses(marts(spark, folder)))
+
+
+@query
+def chk_realised_broken(spark: SparkSession, folder: str) -> DataFrame:
+    return contract.misrealised(defects.cancellations_count(marts(spark, folder)))
+
+
+@query
+def chk_money_exact_broken(spark: SparkSession, folder: str) -> DataFrame:
+    return contract.money_is_exact(defects.floating_money(marts(spark, folder)))
+
+
+# Loads: each writes its tables to a new folder below the shared one ------------------------------
+
+
+def _load(spark: SparkSession, root: str, load_id: str, **sources: DataFrame) -> None:
+    load_tables(spark, sources, root, load_id, SPECS)
+
+
+def _landed(spark: SparkSession, root: str, table: str) -> DataFrame:
+    return RawTable(spark, root, SPECS[table]).read()
+
+
+def _moment(text: str) -> Column:
+    return F.lit(datetime.fromisoformat(text)).cast("timestamp_ntz")
+
+
+@query
+def load_full(spark: SparkSession, folder: str) -> DataFrame:
+    """First load of all four tables: every landed key with its lineage."""
+    root = scratch_dir(spark, "load_full")
+    _load(spark, root, FIRST, **trade_tables.source_tables(spark, folder))
+    parts = [
+        table.select(
+            F.lit(name).alias("table_name"), F.col("id").cast("string").alias("id"), LOAD_ID, ROW_ID
+        )
+        for name, table in read_raw(spark, root, SPECS).items()
+    ]
+    return parts[0].union(parts[1]).union(parts[2]).union(parts[3])
+
+
+@query
+def load_rerun(spark: SparkSession, folder: str) -> DataFrame:
+    """The same source twice: no row is doubled, and none is taken for new."""
+    root = scratch_dir(spark, "load_rerun")
+    source = trade_tables.source_tables(spark, folder)["orders"]
+    _load(spark, root, FIRST, orders=source)
+    _load(spark, root, SECOND, orders=source)
+    return _landed(spark, root, "orders")
+
+
+@query
+def load_incremental(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines are appended: the second load brings those above the highest key of the first."""
+    root = scratch_dir(spark, "load_incremental")
+    lines = trade_tables.source_tables(spark, folder)["order_items"]
+    half = lines.agg(F.max("order_id")).first()[0] // 2
+    _load(spark, root, FIRST, order_items=lines.where(F.col("order_id") <= half))
+    _load(spark, root, SECOND, order_items=lines)
+    return _landed(spark, root, "order_items").select("id", "order_id", "quantity", LOAD_ID)
+
+
+def _three_loads(spark: SparkSession, folder: str, purpose: str) -> DataFrame:
+    """Orders in three loads: the past, the rest, and a round of changes.
+
+    The second source also holds rows below the mark that the first lacked: they are not seen. The
+    third holds newer versions (the newest wins), changes without a newer ``updated_at`` (not seen),
+    and lacks some rows (they stay).
+    """
+    root = scratch_dir(spark, purpose)
+    source = trade_tables.source_tables(spark, folder)["orders"]
+    key, changed_at = F.col("id"), F.col("updated_at")
+    _load(spark, root, FIRST, orders=source.where(F.col("ordered_at") < _moment("1998-01-01")))
+    _load(spark, root, SECOND, orders=source)
+
+    def version(rows: Column, status: str, at: Column) -> DataFrame:
+        return source.where(rows).withColumns({"status": F.lit(status), "updated_at": at})
+
+    third = (
+        version(key % 10 == 0, "cancelled", _moment("2002-01-02"))
+        .unionByName(version(key % 20 == 0, "shipped", _moment("2002-01-01")))
+        .unionByName(version(key % 10 == 1, "paid", changed_at))
+        .unionByName(source.where(key % 10 > 2))
+    )
+    _load(spark, root, THIRD, orders=third)
+    return _landed(spark, root, "orders")
+
+
+@query
+def load_merge(spark: SparkSession, folder: str) -> DataFrame:
+    return _three_loads(spark, folder, "load_merge")
+
+
+@query
+def load_lineage(spark: SparkSession, folder: str) -> DataFrame:
+    return loads_by_id(_three_loads(spark, folder, "load_lineage"))
+
+
+@query
+def load_evolve(spark: SparkSession, folder: str) -> DataFrame:
+    """The source gains a column: new and changed rows carry it, older ones read NULL."""
+    root = scratch_dir(spark, "load_evolve")
+    source = trade_tables.source_tables(spark, folder)["customers"]
+    _load(spark, root, FIRST, customers=source.drop("phone"))
+    changed = F.when(F.col("id") % 3 == 0, _moment("2002-01-01")).otherwise(F.col("updated_at"))
+    _load(spark, root, SECOND, customers=source.withColumn("updated_at", changed))
+    return _landed(spark, root, "customers")
+
+
+@query
+def load_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The order files as a stream, run twice: the second run finds no new file."""
+    root = scratch_dir(spark, "load_stream")
+    files = os.path.join(folder, "orders.parquet*")  # one file, or a folder of files
+    for epoch in (1_788_900_000, 1_788_930_000):
+        land_new_files(
+            spark,
+            files=files,
+            schema=spark.read.parquet(files).schema,
+            raw_root=root,
+            spec=SPECS["orders"],
+            checkpoint=os.path.join(root, "_stream"),
+            epoch=epoch,
+            derive=lambda batch: trade_tables.orders({"orders": batch}),
+        ).awaitTermination()
+    return _landed(spark, root, "orders")
+
+
+@query
+def run_headline(spark: SparkSession, folder: str) -> DataFrame:
+    """A whole run: load, build, verify, export, and the headline out of the exported reports."""
+    root = scratch_dir(spark, "run")
+    layout = Layout(root, "prod")
+    _load(spark, layout.raw, FIRST, **trade_tables.source_tables(spark, folder))
+    raw = read_raw(spark, layout.raw, SPECS)
+    build(spark, raw, layout)
+    verify(spark, raw, layout)
+    return spark.read.parquet(export(spark, layout)["headline"])
+
+
+@query
+def stored_marts(spark: SparkSession, folder: str) -> DataFrame:
+    """The marts of a target as stored: rows and booked or listed money of each."""
+    layout = Layout(scratch_dir(spark, "marts"), "dev")
+    build(spark, trade_tables.raw_tables(spark, folder), layout)
+    stored = open_marts(spark, layout)
+    money = {
+        "fct_orders": (stored.orders, "net_amount_eur"),
+        "fct_order_items": (stored.order_items, "net_amount_eur"),
+        "dim_customers": (stored.customers, "lifetime_realised_net_revenue_eur"),
+        "dim_products": (stored.products, "unit_price_eur"),
+    }
+    parts = [
+        table.agg(
+            F.lit(name).alias("table_name"),
+            F.count("*").alias("row_count"),
+            F.sum(column).cast("decimal(38,2)").alias("money_eur"),
+        )
+        for name, (table, column) in money.items()
+    ]
+    return parts[0].union(parts[1]).union(parts[2]).union(parts[3])
+
+
+# Comparison of two builds -----------------------------------------------------------------------
+
+
+@query
+def diff_schema(spark: SparkSession, folder: str) -> DataFrame:
+    before = marts(spark, folder).orders
+    return diff.schema_diff(before, defects.later_orders(before)).select(
+        "column_name", "change", "filled_before", "filled_after"
+    )
+
+
+@query
+def diff_rows(spark: SparkSession, folder: str) -> DataFrame:
+    before = marts(spark, folder).orders
+    return diff.row_diff(before, defects.later_orders(before), key="order_id")
+
+
+@query
+def diff_rows_keyless(spark: SparkSession, folder: str) -> DataFrame:
+    before = marts(spark, folder).orders
+    return diff.row_diff(before, defects.later_orders(before))
+
+
+@query
+def diff_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    before = marts(spark, folder).orders
+    metrics = {
+        "orders": F.count("*"),
+        "booked revenue": F.sum("net_amount_eur"),
+        "realised revenue": F.sum("realised_net_amount_eur"),
+    }
+    return diff.metric_diff(before, defects.later_orders(before), metrics)
+
+
+# Synthetic tables, as large as the given ones -----------------------------------------------------
+
+
+def _shop(spark: SparkSession, folder: str) -> generate.Shop:
+    trade = trade_tables.read_trade(spark, folder)
+    sizes = {"customers": "customer", "products": "part", "orders": "orders", "order_items": "lineitem"}
+    return generate.Shop(rows={name: trade[table].count() for name, table in sizes.items()})
+
+
+def _made(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    return generate.source_tables(spark, _shop(spark, folder))
+
+
+def _register_generated() -> None:
+    for name in generate.Shop().rows:
+        QUERIES[f"gen_{name}"] = lambda spark, folder, name=name: _made(spark, folder)[name]
+
+
+_register_generated()
+
+
+def _tally(*counted: tuple[DataFrame, str, Column]) -> DataFrame:
+    """Rows per value of a column, for several tables and columns."""
+    parts = [
+        table.groupBy(F.lit(label).alias("hint"), value.cast("string").alias("value")).agg(
+            F.count("*").alias("row_count")
+        )
+        for table, label, value in counted
+    ]
+    result = parts[0]
+    for part in parts[1:]:
+        result = result.union(part)
+    return result
+
+
+@query
+def gen_counts(spark: SparkSession, folder: str) -> DataFrame:
+    made = _made(spark, folder)
+    return _tally(*[(table, name, F.lit("rows")) for name, table in made.items()])
+
+
+@query
+def gen_deterministic(spark: SparkSession, folder: str) -> DataFrame:
+    """The same orders from ids in rising order and from ids dealt out by hash."""
+    shop = _shop(spark, folder)
+    keys = generate.ids(spark, shop.count("orders"))
+    return diff.row_diff(
+        generate.orders(shop, keys), generate.orders(shop, keys.repartition("id"))
+    )
+
+
+@query
+def gen_weights(spark: SparkSession, folder: str) -> DataFrame:
+    made = _made(spark, folder)
+    return _tally(
+        (made["customers"], "segment", F.col("segment")),
+        (made["products"], "roast", F.col("roast")),
+        (made["products"], "category", F.col("category")),
+        (made["orders"], "status", F.col("status")),
+        (made["orders"], "channel", F.col("channel")),
+    )
+
+
+@query
+def gen_rates(spark: SparkSession, folder: str) -> DataFrame:
+    made = _made(spark, folder)
+    return _tally(
+        (made["customers"], "phone is null", F.col("phone").isNull()),
+        (made["customers"], "is_marketing_opt_in", F.col("is_marketing_opt_in")),
+        (made["products"], "is_active", F.col("is_active")),
+        (made["orders"], "shipped_at is null", F.col("shipped_at").isNull()),
+        (made["orders"], "delivered_at is null", F.col("delivered_at").isNull()),
+    )
+
+
+@query
+def gen_uniform(spark: SparkSession, folder: str) -> DataFrame:
+    products = _made(spark, folder)["products"]
+    return _tally((products, "weight_grams", F.col("weight_grams")))
+
+
+@query
+def gen_lognormal(spark: SparkSession, folder: str) -> DataFrame:
+    made = _made(spark, folder)
+    return _tally(
+        (made["products"], "list price", F.col("unit_price_cents")),
+        (made["products"], "cost", F.col("cost_cents")),
+        (made["order_items"], "line price", F.col("unit_price_cents")),
+    )
+
+
+@query
+def gen_exponential(spark: SparkSession, folder: str) -> DataFrame:
+    lines = _made(spark, folder)["order_items"]
+    return _tally(
+        (lines, "quantity", F.col("quantity")), (lines, "discount", F.col("discount_cents"))
+    )
+
+
+@query
+def gen_fk(spark: SparkSession, folder: str) -> DataFrame:
+    """How many children each parent has, for the three skewed foreign keys."""
+    made = _made(spark, folder)
+    return _tally(
+        (made["orders"], "customer_id", F.col("customer_id")),
+        (made["order_items"], "order_id", F.col("order_id")),
+        (made["order_items"], "product_id", F.col("product_id")),
+    )
+
+
+@query
+def gen_after(spark: SparkSession, folder: str) -> DataFrame:
+    orders = _made(spark, folder)["orders"]
+    return _tally(
+        (orders, "shipped after ordered", F.col("shipped_at") > F.col("ordered_at")),
+        (orders, "delivered after shipped", F.col("delivered_at") > F.col("shipped_at")),
+    )
+
+
+@query
+def gen_unique(spark: SparkSession, folder: str) -> DataFrame:
+    """Values that occur once, or more often, in the columns declared unique."""
+    made = _made(spark, folder)
+    declared = [
+        (made["customers"], ["email"]),
+        (made["products"], ["sku"]),
+        (made["order_items"], ["id"]),
+        (made["order_items"], ["order_id", "product_id"]),
+    ]
+    return _tally(
+        *[
+            (table.groupBy(*columns).count(), ", ".join(columns), F.col("count") == 1)
+            for table, columns in declared
+        ]
+    )
+
+
+@query
+def gen_time(spark: SparkSession, folder: str) -> DataFrame:
+    orders = _made(spark, folder)["orders"]
+    ordered = F.col("ordered_at")
+    return _tally(
+        (orders, "month", F.date_format(ordered, "yyyy-MM")),
+        (orders, "weekday", F.weekday(ordered)),
+        (orders, "hour", F.hour(ordered)),
+    )
+
+
+@query
+def gen_text(spark: SparkSession, folder: str) -> DataFrame:
+    customers = _made(spark, folder)["customers"]
+    return _tally(
+        (customers, "first_name", F.col("first_name")),
+        (customers, "last_name", F.col("last_name")),
+        (customers, "city", F.col("city")),
+        (customers, "country", F.col("country")),
+    )
