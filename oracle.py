@@ -400,21 +400,21 @@ def relationship_checks() -> str:
 def compared(lines: str) -> str:
     return f"""
         SELECT 'fct_orders vs fct_order_items (booked)' AS check_name,
-               o.order_id::VARCHAR AS row_key, o.net_amount_eur::DECIMAL(38,2) AS left_value,
-               ifnull(i.booked, 0)::DECIMAL(38,2) AS right_value
+               o.order_id::VARCHAR AS row_key, o.net_amount_eur::DECIMAL(30,2) AS left_value,
+               ifnull(i.booked, 0)::DECIMAL(30,2) AS right_value
         FROM fct_orders o LEFT JOIN
           (SELECT order_id, sum(net_amount_eur) AS booked FROM {lines} GROUP BY 1) i
           USING (order_id)
         UNION ALL
         SELECT 'fct_orders vs fct_order_items (realised)', o.order_id::VARCHAR,
-               o.realised_net_amount_eur::DECIMAL(38,2), ifnull(i.realised, 0)::DECIMAL(38,2)
+               o.realised_net_amount_eur::DECIMAL(30,2), ifnull(i.realised, 0)::DECIMAL(30,2)
         FROM fct_orders o LEFT JOIN
           (SELECT order_id, sum(realised_net_amount_eur) AS realised FROM {lines} GROUP BY 1) i
           USING (order_id)
         UNION ALL
         SELECT 'dim_customers vs fct_orders (realised)', c.customer_id::VARCHAR,
-               c.lifetime_realised_net_revenue_eur::DECIMAL(38,2),
-               ifnull(o.realised, 0)::DECIMAL(38,2)
+               c.lifetime_realised_net_revenue_eur::DECIMAL(30,2),
+               ifnull(o.realised, 0)::DECIMAL(30,2)
         FROM dim_customers c LEFT JOIN
           (SELECT customer_id, sum(realised_net_amount_eur) AS realised FROM fct_orders GROUP BY 1) o
           USING (customer_id)"""
@@ -445,7 +445,7 @@ ORACLE["chk_reconcile"] = on_marts(f"""
            count_if(abs(left_value - right_value) > 0.005) AS failures
     FROM ({compared("fct_lines")}) GROUP BY 1""")
 ORACLE["chk_reconcile_broken"] = on_marts(f"""
-    SELECT *, (left_value - right_value)::DECIMAL(38,2) AS difference
+    SELECT *, (left_value - right_value)::DECIMAL(30,2) AS difference
     FROM ({compared('''(SELECT * REPLACE ((gross_amount_eur * 100 - discount_eur)::DECIMAL(18,2)
                         AS net_amount_eur) FROM fct_lines)''')})
     WHERE abs(left_value - right_value) > 0.005""")

@@ -81,6 +81,9 @@ RELATIONSHIPS = [
 FRESH_TABLES = ["customers", "products", "orders"]  # lines follow their orders
 
 HALF_A_CENT = Decimal("0.005")
+# Wide enough for any order's or customer's total, and narrow enough to leave room for the third
+# decimal of the tolerance: next to decimal(38,2) Spark would round it to a whole cent.
+COMPARED = "decimal(30,2)"
 
 
 def unique(models: dict[str, DataFrame]) -> DataFrame:
@@ -120,12 +123,11 @@ def column_checks(models: dict[str, DataFrame]) -> DataFrame:
 
 
 def _compared(name: str, key: str, left: str, right: Column) -> Column:
-    wide = "decimal(38,2)"
     return F.struct(
         F.lit(name).alias("check_name"),
         F.col(key).cast("string").alias("row_key"),
-        F.col(left).cast(wide).alias("left_value"),
-        F.coalesce(right, F.lit(0)).cast(wide).alias("right_value"),
+        F.col(left).cast(COMPARED).alias("left_value"),
+        F.coalesce(right, F.lit(0)).cast(COMPARED).alias("right_value"),
     )
 
 
@@ -172,7 +174,8 @@ def reconciled(marts: Marts) -> DataFrame:
             ),
         ]
     )
-    return pairs.withColumn("difference", F.col("left_value") - F.col("right_value"))
+    difference = F.col("left_value") - F.col("right_value")
+    return pairs.withColumn("difference", difference.cast(COMPARED))
 
 
 def unreconciled(marts: Marts) -> DataFrame:

@@ -1,0 +1,165 @@
+from decimal import Decimal
+
+import pytest
+
+from shopmarts.plans.reports import REPORTS
+from tests.conftest import at
+
+
+@pytest.fixture(scope="module")
+def shop(source):
+    return source.marts(
+        customers=[{"id": 1}, {"id": 2, "segment": "business"}, {"id": 3}],
+        products=[
+            {"id": 1},
+            {"id": 2},  # the same attributes, so the same name
+            {"id": 3, "origin": "kenya"},
+            {"id": 4, "origin": "peru"},
+        ],
+        orders=[
+            {"id": 10, "ordered_at": at("2026-01-31 23:59"), "shipped_at": at("2026-02-01 23:00")},
+            {"id": 11, "status": "cancelled", "channel": "store", "customer_id": 2},
+            {"id": 12, "status": None, "channel": "store", "customer_id": 2},
+            {"id": 13, "status": "paid", "channel": "mobile_app"},  # no lines
+        ],
+        order_items=[
+            {"id": 1, "order_id": 10, "product_id": 1, "quantity": 2},
+            {"id": 2, "order_id": 10, "product_id": 2, "quantity": 1},
+            {"id": 3, "order_id": 11, "product_id": 3, "quantity": 4},
+            {"id": 4, "order_id": 12, "product_id": 4, "quantity": 5},
+        ],
+    )
+
+
+def rows(report, marts):
+    return [tuple(row) for row in REPORTS[report](marts).collect()]
+
+
+def test_headline_counts_a_null_status_as_neither(shop):
+    net, booked, lost, orders, average, rate = rows("headline", shop)[0]
+    assert (net, booked, lost) == (Decimal("80.00"), Decimal("120.00"), Decimal("40.00"))
+    assert orders == 4
+    assert average == 80.0 / 2  # orders 10 and 13 are known not to be cancelled
+    assert rate == 1 / 4
+
+
+def test_months_are_ascending(shop):
+    assert rows("revenue_by_month", shop) == [
+        (at("2026-01-01"), Decimal("30.00"), Decimal("30.00"), 1),
+        (at("2026-03-01"), Decimal("50.00"), Decimal("90.00"), 3),
+    ]
+
+
+def test_channels_are_ordered_by_revenue(shop):
+    assert rows("revenue_by_channel", shop) == [
+        ("Store", Decimal("50.00"), 2),
+        ("Web", Decimal("30.00"), 1),
+        ("Mobile app", Decimal("0.00"), 1),
+    ]
+
+
+def test_status_mix_keeps_the_unknown_status(shop):
+    assert set(rows("order_status_mix", shop)) == {
+        ("Delivered", 1),
+        ("Cancelled", 1),
+        (None, 1),
+        ("Paid", 1),
+    }
+
+
+def test_fulfilment_leaves_unshipped_orders_out(shop):
+    assert rows("fulfilment_speed", shop) == [(at("2026-01-01"), 1.0)]
+
+
+def test_products_of_one_name_are_one_row(shop):
+    top = rows("top_products", shop)
+    assert top[0][0].startswith("Peru") and top[0][3:] == (Decimal("50.00"), None)
+    assert top[1][0].startswith("Ethiopia") and top[1][3:] == (Decimal("30.00"), 3)
+    # Only cancelled lines: no revenue, and no units rather than zero units.
+    assert top[2][0].startswith("Kenya") and top[2][3:] == (Decimal("0.00"), None)
+
+
+def test_customers(shop):
+    assert rows("top_customers", shop) == [("Ann Peeters", "Gent", "Consumer", 2, Decimal("30.00"))]
+    assert rows("revenue_by_segment", shop) == [("Consumer", 1, Decimal("30.00"))]
+
+
+def test_cancellations(shop):
+    assert rows("cancel_summary", shop) == [(1, 4, 0.25, Decimal("40.00"), 40 / 120)]
+    assert rows("cancel_by_month", shop) == [
+        (at("2026-01-01"), 0.0, Decimal("0.00")),
+        (at("2026-03-01"), 1 / 3, Decimal("40.00")),
+    ]
+    assert rows("cancel_by_channel", shop)[0] == ("Store", 2, 0.5, Decimal("40.00"))
+    products = rows("cancel_by_product", shop)
+    assert len(products) == 1 and products[0][1:] == (Decimal("40.00"), Decimal("0.00"))
+
+
+def test_shape(shop):
+    orders, customers, revenue, booked, rate, first, last = rows("shape", shop)[0]
+    assert (orders, customers, revenue, booked, rate) == (
+        4,
+        2,
+        Decimal("80.00"),
+        Decimal("120.00"),
+        0.25,
+    )
+    assert (str(first), str(last)) == ("2026-01-31", "2026-03-01")
+
+
+def test_ties_at_the_limit_are_settled_by_name(source):
+    origins = ["ethiopia", "colombia", "brazil", "kenya", "guatemala", "honduras", "peru", "rwanda"]
+    products = [
+        {"id": i, "origin": origins[i % 8], "weight_grams": 250 + i // 8} for i in range(16)
+    ]
+    lines = [{"id": i, "order_id": 1, "product_id": i} for i in range(16)]
+    marts = source.marts(
+        orders=[{"id": 1, "status": "cancelled"}], products=products, order_items=lines
+    )
+    got = [row[0] for row in rows("cancel_by_product", marts)]
+    assert len(got) == 10 and got == sorted(got)
+
+
+def test_a_repeated_order_counts_once(source):
+    """Distinct counts hold also where the key does not."""
+    marts = source.marts(
+        orders=[{"id": 10}, {"id": 10, "status": "cancelled"}, {"id": 11}],
+        order_items=[{"id": 1, "order_id": 10}],
+    )
+    net, booked, lost, orders, average, rate = rows("headline", marts)[0]
+    assert (net, booked, lost, orders) == (Decimal("10.00"), Decimal("20.00"), Decimal("10.00"), 2)
+    assert (average, rate) == (5.0, 0.5)
+    shape = rows("shape", marts)[0]
+    assert shape[0] == 3
+
+
+def test_reports_over_nothing(source):
+    empty = source.marts()
+    assert rows("headline", empty) == [(None, None, None, 0, None, None)]
+    assert rows("cancel_summary", empty) == [(0, 0, None, None, None)]
+    assert rows("shape", empty) == [(0, 0, None, None, None, None, None)]
+    for name in set(REPORTS) - {"headline", "cancel_summary", "shape"}:
+        assert rows(name, empty) == []
+
+
+def test_reports_never_show_a_raw_enum(shop):
+    labels = {
+        field.name: field.metadata["display_label"]
+        for table in shop.named().values()
+        for field in table.schema
+        if "display_label" in field.metadata
+    }
+    assert set(labels) == {
+        "order_status",
+        "sales_channel",
+        "customer_segment",
+        "coffee_origin",
+        "roast_level",
+        "product_category",
+    }
+    for table in shop.named().values():
+        for field in table.schema:
+            if "display_label" in field.metadata:
+                assert field.metadata["display_label"] in table.columns
+    for report in REPORTS.values():
+        assert not set(report(shop).columns) & set(labels)
