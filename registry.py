@@ -6,6 +6,7 @@ import os
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import datetime
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,12 +43,12 @@ def query(function: Query) -> Query:
     return function
 
 
-def staged(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return stage(trade_tables.raw_tables(spark, folder))
+# Plans, not data: the same lazy frames serve every query of a session.
 
 
+@lru_cache(maxsize=4)
 def marts(spark: SparkSession, folder: str) -> Marts:
-    return marts_of(staged(spark, folder))
+    return marts_of(stage(trade_tables.raw_tables(spark, folder)))
 
 
 def _models_of(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -56,10 +57,12 @@ def _models_of(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return {**views, MONEY: money, **marts_of(views, money).named()}
 
 
+@lru_cache(maxsize=4)
 def models(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return _models_of(trade_tables.raw_tables(spark, folder))
 
 
+@lru_cache(maxsize=4)
 def broken_models(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return _models_of(defects.broken_raw(trade_tables.raw_tables(spark, folder)))
 
@@ -405,6 +408,7 @@ def _shop(spark: SparkSession, folder: str) -> generate.Shop:
     return generate.Shop(rows={name: trade[table].count() for name, table in sizes.items()})
 
 
+@lru_cache(maxsize=4)
 def _made(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return generate.source_tables(spark, _shop(spark, folder))
 

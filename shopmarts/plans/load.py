@@ -18,6 +18,7 @@ from __future__ import annotations
 import json
 import os
 from dataclasses import dataclass, replace
+from functools import partial
 from typing import Any
 
 from pyspark.errors import AnalysisException
@@ -27,6 +28,7 @@ from pyspark.sql import types as T
 
 from shopmarts.operators.upsert import merge, newest_per_key, since, unseen
 from shopmarts.schemas import LOAD_ID, TABLES, TableSpec
+from shopmarts.session import together
 from shopmarts.sources.trade_tables import with_lineage
 
 BUCKET = "_bucket"
@@ -205,11 +207,13 @@ def load_tables(
     load_id: str,
     specs: dict[str, TableSpec] = TABLES,
 ) -> dict[str, State]:
-    """Load every given source table under one load id. The first failure stops the run and is raised."""
-    return {
-        name: RawTable(spark, raw_root, specs[name]).load(source, load_id)
-        for name, source in sources.items()
-    }
+    """Load every given source table under one load id.
+
+    Tables do not wait for each other. A failure is raised once the others are done; they keep
+    their new state, and the failed one reads the same rows again next time.
+    """
+    tables = {name: RawTable(spark, raw_root, specs[name]) for name in sources}
+    return together(spark, {name: partial(tables[name].load, sources[name], load_id) for name in sources})
 
 
 def read_raw(

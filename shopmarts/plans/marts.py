@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopmarts.functions.money import cents_to_eur
+from shopmarts.functions.money import EURO, cents_to_eur
 from shopmarts.functions.text import sentence_case
 from shopmarts.functions.time import hour_boundaries
 from shopmarts.plans import intermediate, staging
@@ -44,14 +44,14 @@ def _or_zero(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(0))
 
 
-def _zero_if_cancelled(cents: Column) -> Column:
+def _zero_if_cancelled(amount: Column) -> Column:
     # A NULL status is not a cancellation: its money stays.
-    return F.when(F.col("order_status") == "cancelled", F.lit(0)).otherwise(cents)
+    return F.when(F.col("order_status") == "cancelled", F.lit(0).cast(EURO)).otherwise(amount)
 
 
 def fct_orders(orders: DataFrame, order_money: DataFrame) -> DataFrame:
     """One row per order. An order without lines keeps its row, with zero money."""
-    net = _or_zero("net_amount_cents")
+    net = cents_to_eur(_or_zero("net_amount_cents"))
     shipped_hours = hour_boundaries(F.col("ordered_at"), F.col("shipped_at"))
     return orders.join(order_money, "order_id", "left").select(
         "order_id",
@@ -70,8 +70,8 @@ def fct_orders(orders: DataFrame, order_money: DataFrame) -> DataFrame:
         _or_zero("units").alias("units"),
         cents_to_eur(_or_zero("gross_amount_cents")).alias("gross_amount_eur"),
         cents_to_eur(_or_zero("discount_cents")).alias("discount_eur"),
-        cents_to_eur(net).alias("net_amount_eur"),
-        cents_to_eur(_zero_if_cancelled(net)).alias("realised_net_amount_eur"),
+        net.alias("net_amount_eur"),
+        _zero_if_cancelled(net).alias("realised_net_amount_eur"),
         (F.col("order_status") == "cancelled").alias("is_cancelled"),
         (F.col("order_status") == "delivered").alias("is_delivered"),
         # Follows the shipping time alone; NULL hours give NULL days.
@@ -83,7 +83,7 @@ def fct_order_items(order_items: DataFrame, orders: DataFrame) -> DataFrame:
     """One row per line of a known order, carrying the order's customer, channel and status."""
     parent = orders.select("order_id", "customer_id", "ordered_at", "order_status", "sales_channel")
     gross = intermediate.gross_cents()
-    net = gross - F.col("discount_cents")
+    net = cents_to_eur(gross - F.col("discount_cents"))
     return order_items.join(parent, "order_id").select(
         "order_item_id",
         "order_id",
@@ -98,8 +98,8 @@ def fct_order_items(order_items: DataFrame, orders: DataFrame) -> DataFrame:
         cents_to_eur(F.col("unit_price_cents")).alias("unit_price_eur"),
         cents_to_eur(gross).alias("gross_amount_eur"),
         cents_to_eur(F.col("discount_cents")).alias("discount_eur"),
-        cents_to_eur(net).alias("net_amount_eur"),
-        cents_to_eur(_zero_if_cancelled(net)).alias("realised_net_amount_eur"),
+        net.alias("net_amount_eur"),
+        _zero_if_cancelled(net).alias("realised_net_amount_eur"),
         (F.col("order_status") == "cancelled").alias("is_cancelled"),
     )
 

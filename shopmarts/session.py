@@ -5,9 +5,15 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
+T = TypeVar("T")
+
 # Runtime settings only: memory, cores and shuffle width belong to the cluster.
 SETTINGS = {
     "spark.sql.ansi.enabled": "true",  # an overflow is an error, never a wrapped number
@@ -37,6 +43,8 @@ def local_session(
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        # Call sites for error messages cost a few calls into the JVM for every column made.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
     spark = builder.getOrCreate()
@@ -61,3 +69,16 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new, unused folder below the shared one."""
     return os.path.join(shared_dir(spark), f"{purpose}-{uuid.uuid4().hex[:12]}")
+
+
+def together(
+    spark: SparkSession, jobs: dict[str, Callable[[], T]], width: int = 8
+) -> dict[str, T]:
+    """Run independent Spark jobs side by side, so that small ones fill what large ones leave idle.
+
+    All are awaited; then the first failure, if any, is raised.
+    """
+    with ThreadPoolExecutor(max_workers=width) as pool:
+        inherit = inheritable_thread_target(spark)
+        running = {name: pool.submit(inherit(job)) for name, job in jobs.items()}
+    return {name: job.result() for name, job in running.items()}

@@ -8,6 +8,7 @@ times, missing phones, customers who never order) follow from the keys by modulu
 from __future__ import annotations
 
 import os
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +34,11 @@ def _later(moment: Column, hours: Column, minutes: Column) -> Column:
     return moment + step
 
 
+def _nearest(value: Column) -> Column:
+    """Whole number closest to a value above zero. ``round`` goes through BigDecimal for every row."""
+    return F.floor(value + 0.5)
+
+
 def _listed_at() -> Column:
     return F.lit(LISTED_AT).cast("timestamp_ntz")
 
@@ -68,7 +74,7 @@ def products(trade: dict[str, DataFrame]) -> DataFrame:
     categories = F.create_map(*[F.lit(text) for pair in CATEGORY_OF.items() for text in pair])
 
     def cents(share: int) -> Column:
-        return F.round(F.col("p_retailprice") * share).cast("bigint")
+        return _nearest(F.col("p_retailprice") * share)
 
     roast = F.when(size % 7 < 3, "medium").when(size % 7 < 5, "light").otherwise("dark")
     return trade["part"].select(
@@ -125,26 +131,19 @@ def orders(trade: dict[str, DataFrame]) -> DataFrame:
 def order_items(trade: dict[str, DataFrame]) -> DataFrame:
     """Order lines. The trade lines have no key, so their identifying columns are written side by
     side as one number: unique, ordered by order, and made without numbering the lines of an order
-    in one task."""
-
-    def digits(name: str, width: int) -> Column:
-        return F.lpad(F.col(name).cast("bigint").cast("string"), width, "0")
-
-    line_key = F.concat(
-        F.col("l_orderkey").cast("string"),
-        digits("l_linenumber", 2),
-        digits("l_partkey", 11),
-        digits("l_suppkey", 10),
-        digits("l_quantity", 2),
-    )
-    price = F.round(F.col("l_extendedprice") * 100 / F.col("l_quantity"))
+    in one task. From the left: order, line number (2 digits), part (11), supplier (10), quantity (2).
+    """
+    front = (F.col("l_orderkey") * 100 + F.col("l_linenumber")).cast("decimal(15,0)")
+    with_part = front * F.lit(Decimal(10**11)) + F.col("l_partkey").cast("decimal(11,0)")
+    back = F.col("l_suppkey") * 100 + F.col("l_quantity").cast("bigint")
+    line_key = with_part.cast("decimal(26,0)") * F.lit(Decimal(10**12)) + back.cast("decimal(12,0)")
     return trade["lineitem"].select(
         line_key.cast("decimal(38,0)").alias("id"),
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("product_id"),
         F.col("l_quantity").cast("int").alias("quantity"),
-        price.cast("bigint").alias("unit_price_cents"),
-        (F.round(F.col("l_discount") * 100).cast("bigint") * 60).alias("discount_cents"),
+        _nearest(F.col("l_extendedprice") * 100 / F.col("l_quantity")).alias("unit_price_cents"),
+        (_nearest(F.col("l_discount") * 100) * 60).alias("discount_cents"),
     )
 
 
