@@ -23,8 +23,9 @@ class ChecksFailed(RuntimeError):
 
 
 def _store(table: DataFrame, path: str) -> None:
-    """Write a table in evenly sized files, whatever the last shuffle left."""
-    table.hint("rebalance").write.mode("overwrite").parquet(path)
+    """Write a table as its last stage left it: adaptive execution has already joined small
+    partitions and split skewed ones, so one more shuffle would only cost."""
+    table.write.mode("overwrite").parquet(path)
 
 
 def build(spark: SparkSession, raw: dict[str, DataFrame], layout: Layout) -> Marts:
