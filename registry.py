@@ -339,7 +339,7 @@ def run_headline(spark: SparkSession, folder: str) -> DataFrame:
     raw = read_raw(spark, layout.raw, SPECS)
     build(spark, raw, layout)
     verify(spark, raw, layout)
-    return spark.read.parquet(export(spark, layout)["headline"])
+    return spark.read.parquet(export(spark, layout, verified=True)["headline"])
 
 
 @query

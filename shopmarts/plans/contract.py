@@ -113,13 +113,17 @@ def relationships(models: dict[str, DataFrame]) -> DataFrame:
     )
 
 
+def scans(models: dict[str, DataFrame]) -> DataFrame:
+    """The not-null and accepted-value checks together, one scan per model."""
+    return checks.stack(
+        checks.scan(model, models[model], columns, ACCEPTED.get(model))
+        for model, columns in NOT_NULL.items()
+    )
+
+
 def column_checks(models: dict[str, DataFrame]) -> DataFrame:
-    """All 56, with one scan per model for those that need no shuffle."""
-    scans = [
-        checks.scan(model, models[model], NOT_NULL.get(model, ()), ACCEPTED.get(model))
-        for model in NOT_NULL
-    ]
-    return checks.stack([*scans, unique(models), relationships(models)])
+    """All 56."""
+    return checks.stack([scans(models), unique(models), relationships(models)])
 
 
 def _compared(name: str, key: str, left: str, right: Column) -> Column:
@@ -239,9 +243,3 @@ def freshness(raw: dict[str, DataFrame], now_second: int) -> DataFrame:
     return checks.freshness(
         {name: raw[name] for name in FRESH_TABLES}, load_second(F.col(LOAD_ID)), now_second
     )
-
-
-def failures(results: DataFrame) -> list[str]:
-    """Names of the failing checks: at most one short row per declared check reaches the driver."""
-    failed = results.where("failures > 0").select("check_name", "failures").collect()
-    return [f"{row.check_name}: {row.failures}" for row in failed]

@@ -55,8 +55,11 @@ class Layout:
         return os.path.join(self.warehouse, f"{TARGETS[self.target]}_report")
 
 
-def open_marts(spark: SparkSession, layout: Layout) -> Marts:
-    """The four stored marts. Fails before any report work when a mart has not been built."""
+def open_marts(spark: SparkSession, layout: Layout, verified: bool = False) -> Marts:
+    """The four stored marts. Fails before any report work when a mart has not been built.
+
+    Pass ``verified`` only for a build whose checks have passed.
+    """
 
     def table(model: str) -> DataFrame:
         try:
@@ -72,4 +75,5 @@ def open_marts(spark: SparkSession, layout: Layout) -> Marts:
         order_items=table("fct_order_items"),
         customers=table("dim_customers"),
         products=table("dim_products"),
+        order_key_holds=verified,
     )

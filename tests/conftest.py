@@ -29,8 +29,8 @@ class Source:
 
     DEFAULTS = {
         "customers": {
-            "first_name": "Ann",
-            "last_name": "Peeters",
+            "first_name": "Mia",
+            "last_name": "Janssens",
             "phone": None,
             "city": "Gent",
             "country": "Belgium",

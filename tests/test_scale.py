@@ -1,6 +1,7 @@
 """Plans and results that must hold for hot keys, any shuffle width, and tables too big to broadcast."""
 
 import re
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -49,6 +50,19 @@ def test_counting_orders_reuses_the_joins_shuffle(spark, no_broadcast):
     assert exchanges(REPORTS["revenue_by_channel"](marts)) == 3  # and the four channels
 
 
+def test_a_checked_order_key_saves_the_shuffle_and_changes_nothing(spark):
+    marts = registry.marts(spark, FOLDER)
+    # Read back, as a report does: the join's partitioning is gone.
+    stored = replace(marts, orders=marts.orders.repartition(8, "ordered_at"))
+    checked = replace(stored, order_key_holds=True)
+    for name in ("headline", "cancel_by_month", "revenue_by_channel", "order_status_mix"):
+        slow, fast = REPORTS[name](stored), REPORTS[name](checked)
+        assert exchanges(fast) == exchanges(slow) - 1
+        assert [tuple(map(str, row)) for row in fast.collect()] == [
+            tuple(map(str, row)) for row in slow.collect()
+        ]
+
+
 def test_reports_that_need_no_money_skip_the_lines(spark):
     marts = registry.marts(spark, FOLDER)
     for name in ("order_status_mix", "fulfilment_speed"):
