@@ -442,7 +442,7 @@ for key, body in {
 
 ORACLE["chk_reconcile"] = on_marts(f"""
     SELECT check_name, count(*) AS rows_checked,
-           count_if(abs(left_value - right_value) > 0.005) AS failures
+           count_if(abs(left_value - right_value) > 0.005)::BIGINT AS failures
     FROM ({compared("fct_lines")}) GROUP BY 1""")
 ORACLE["chk_reconcile_broken"] = on_marts(f"""
     SELECT *, (left_value - right_value)::DECIMAL(30,2) AS difference
@@ -451,7 +451,7 @@ ORACLE["chk_reconcile_broken"] = on_marts(f"""
     WHERE abs(left_value - right_value) > 0.005""")
 ORACLE["chk_realised"] = on_marts(f"""
     SELECT 'realised ' || model AS check_name, count(*) AS rows_checked,
-           count_if({BREAKS}) AS failures
+           count_if({BREAKS})::BIGINT AS failures
     FROM ({realised_rows("fct_orders", "fct_lines")}) GROUP BY 1""")
 FORGETFUL = "(SELECT * REPLACE (net_amount_eur AS realised_net_amount_eur) FROM {})"
 ORACLE["chk_realised_broken"] = on_marts(f"""
@@ -482,7 +482,7 @@ def money_checks(floating: set[tuple[str, str]]) -> str:
         parts.append(
             f"""SELECT '{model}' AS table_name, '{column}' AS column_name,
                 min(typeof({value})) AS data_type, count(*) AS rows_checked,
-                count_if(typeof({value}) NOT LIKE 'DECIMAL%') AS failures,
+                count_if(typeof({value}) NOT LIKE 'DECIMAL%')::BIGINT AS failures,
                 min(typeof({value})) LIKE 'DECIMAL%' AS is_exact FROM {CTE_OF[model]}"""
         )
     return " UNION ALL ".join(parts)
@@ -560,7 +560,7 @@ THREE_LOADS = {
 }
 ORACLE["load_merge"] = over(SOURCE | THREE_LOADS, "SELECT * FROM landed")
 ORACLE["load_lineage"] = over(
-    SOURCE | THREE_LOADS, 'SELECT _dlt_load_id, count(*) AS "rows" FROM landed GROUP BY 1'
+    SOURCE | THREE_LOADS, 'SELECT _dlt_load_id, count(*) AS row_count FROM landed GROUP BY 1'
 )
 ORACLE["load_evolve"] = on_source(f"""
     SELECT * REPLACE (TIMESTAMP '2002-01-01' AS updated_at), {lineage(SECOND)}

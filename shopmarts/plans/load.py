@@ -224,4 +224,4 @@ def read_raw(
 
 def loads_by_id(table: DataFrame) -> DataFrame:
     """Which load brought how many rows."""
-    return table.groupBy(LOAD_ID).agg(F.count("*").alias("rows"))
+    return table.groupBy(LOAD_ID).agg(F.count("*").alias("row_count"))

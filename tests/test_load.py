@@ -81,7 +81,7 @@ def test_update_and_append(spark, root, shop, source):
     assert landed[10]._dlt_load_id == "1.5"
     assert states["orders"].mark == at("2026-04-01") and states["orders"].rows == 1
     assert states["order_items"].mark == 102
-    by_load = {r._dlt_load_id: r.rows for r in loads_by_id(orders(spark, root).read()).collect()}
+    by_load = {r._dlt_load_id: r.row_count for r in loads_by_id(orders(spark, root).read()).collect()}
     assert by_load == {"1.5": 1, "2.5": 1}
 
 
