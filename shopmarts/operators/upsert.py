@@ -10,6 +10,8 @@ from typing import Any
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from shopmarts.schemas import LOAD_ID, ROW_ID
+
 
 def newest_per_key(batch: DataFrame, key: str, cursor: str) -> DataFrame:
     """One row per key, the one with the highest cursor; the rest of the row settles a tie.
@@ -42,6 +44,19 @@ def unseen(batch: DataFrame, target: DataFrame, key: str, cursor: str, mark: Any
     return batch.join(on_mark, again, "left_anti")
 
 
+def newer(batch: DataFrame, target: DataFrame, key: str, cursor: str) -> DataFrame:
+    """The batch without the rows of which the target holds a version at least as new."""
+    held = target.select(F.col(key).alias("_held_key"), F.col(cursor).alias("_held_cursor"))
+    as_new = (F.col(key) == F.col("_held_key")) & (F.col("_held_cursor") >= F.col(cursor))
+    return batch.join(held, as_new, "left_anti")
+
+
+def with_lineage(table: DataFrame, load_id: str, key: str = "id") -> DataFrame:
+    """The two lineage columns: the load, and a row id that a replay of the load would repeat."""
+    row_id = F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(load_id)).cast("binary"))
+    return table.withColumns({LOAD_ID: F.lit(load_id), ROW_ID: row_id})
+
+
 def merge(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
     """The target with the batch's rows in place of its own. Columns new to either side read NULL
     in the other's rows; rows gone from the source stay."""

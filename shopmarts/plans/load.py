@@ -26,16 +26,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shopmarts.operators.upsert import merge, newest_per_key, since, unseen
+from shopmarts.operators.upsert import merge, newer, newest_per_key, since, unseen, with_lineage
 from shopmarts.schemas import LOAD_ID, TABLES, TableSpec
 from shopmarts.session import together
-from shopmarts.sources.trade_tables import with_lineage
 
 BUCKET = "_bucket"
 # Up to this many touched buckets become a partition filter; more are matched with a semi join.
 MAX_BUCKET_LITERALS = 10_000
 
 STAGED, DONE = "staged", "done"
+NEVER_WRITTEN = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
 
 
 class LoadError(RuntimeError):
@@ -49,7 +49,7 @@ class State:
     load_id: str
     mark: Any
     schema: T.StructType
-    rows: int  # rows the load brought
+    rows: int  # rows the load landed
 
 
 class RawTable:
@@ -66,8 +66,10 @@ class RawTable:
     def state(self) -> State | None:
         try:
             steps = self.spark.read.parquet(self.journal)
-        except AnalysisException:
-            return None  # never loaded
+        except AnalysisException as error:
+            if error.getCondition() in NEVER_WRITTEN:
+                return None
+            raise  # an unreadable journal must not pass for a first load
         last = steps.orderBy(F.desc("step")).first()
         if last is None:
             return None
@@ -82,17 +84,25 @@ class RawTable:
             raise LoadError(f"{self.spec.name} has not been loaded into {self.path}")
         return self._open(self.path, state.schema).drop(BUCKET)
 
-    def load(self, source: DataFrame, load_id: str) -> State:
-        """Bring the source's new and changed rows in. Running it twice changes nothing."""
+    def load(self, source: DataFrame, load_id: str, in_order: bool = True) -> State:
+        """Bring the source's new and changed rows in. Running it twice changes nothing.
+
+        A source read ``in_order`` has nothing new below the mark. Without that promise every row is
+        considered, and gives way to a stored version that is at least as new.
+        """
         state = self._finish(self.state())
         if state is None:
             return self._first(source, load_id)
-        batch = self._land(source, load_id, state)
+        batch = self._land(source, load_id, state, in_order)
         rows, mark = self._measure(batch)
         if rows == 0:
             return state
+        if state.mark is not None:
+            mark = max(mark, state.mark)
         columns = _evolve(state.schema, batch.schema)
         current = self._touched(self._open(self.path, state.schema), batch)
+        if not in_order:
+            batch = newer(batch, current, self.spec.key, self.spec.cursor)
         self._write(merge(current, batch, self.spec.key), self.staged, "static")
         pending = State(state.step + 1, STAGED, load_id, mark, columns, rows)
         self._record(pending)
@@ -106,17 +116,17 @@ class RawTable:
         done = State(0, DONE, load_id, mark, _nullable(rows.schema), count)
         return self._record(done)
 
-    def _land(self, source: DataFrame, load_id: str, state: State) -> DataFrame:
+    def _land(self, source: DataFrame, load_id: str, state: State, in_order: bool) -> DataFrame:
         """Write the batch once, so that counting, locating and merging it see the same rows."""
         key, cursor = self.spec.key, self.spec.cursor
         known = {field.name: field.dataType for field in state.schema}
         typed = source.select(
             *[F.col(c).cast(known[c]).alias(c) if c in known else F.col(c) for c in source.columns]
         )
-        fresh = since(typed, cursor, state.mark)
-        if state.mark is not None:
-            fresh = unseen(fresh, self._open(self.path, state.schema), key, cursor, state.mark)
-        batch = self._bucketed(with_lineage(self._newest(fresh), load_id, key))
+        if in_order and state.mark is not None:
+            stored = self._open(self.path, state.schema)
+            typed = unseen(since(typed, cursor, state.mark), stored, key, cursor, state.mark)
+        batch = self._bucketed(with_lineage(self._newest(typed), load_id, key))
         batch.write.mode("overwrite").parquet(self.package)
         return self._open(self.package, batch.schema)
 

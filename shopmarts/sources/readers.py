@@ -55,9 +55,8 @@ def read_jdbc(
     reader = spark.read.format("jdbc").options(**connection).option("url", url)
     bounds = f"(select min({spec.key}) as low, max({spec.key}) as high from {schema}.{spec.name}) b"
     ends = reader.option("dbtable", bounds).load().toDF("low", "high").first()
-    if ends.low is None:
-        return reader.option("dbtable", f"{schema}.{spec.name}").load()
-    options = jdbc_options(url, spec, schema, int(ends.low), int(ends.high), partitions)
+    low, high = (0, 0) if ends.low is None else (int(ends.low), int(ends.high))
+    options = jdbc_options(url, spec, schema, low, high, partitions)
     table = spark.read.format("jdbc").options(**connection, **options).load()
     # Databases fold the case of names; the pipeline uses lower case.
     return table.select(*[F.col(f"`{name}`").alias(name.lower()) for name in table.columns])

@@ -13,7 +13,8 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopmarts.schemas import COFFEE_ORIGINS, LOAD_ID, ROW_ID
+from shopmarts.operators.upsert import with_lineage
+from shopmarts.schemas import COFFEE_ORIGINS
 
 LANDED_BY = "1788961669.673802"  # load id given to tables that no loader has landed
 LISTED_AT = "1994-06-01 00:00:00"
@@ -165,12 +166,6 @@ def source_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return {name: derive(trade) for name, derive in SOURCES.items()}
 
 
-def with_lineage(table: DataFrame, load_id: str, key: str = "id") -> DataFrame:
-    """The two lineage columns: the load, and a row id that a replay of the load would repeat."""
-    row_id = F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(load_id)).cast("binary"))
-    return table.withColumns({LOAD_ID: F.lit(load_id), ROW_ID: row_id})
-
-
 def raw_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """The derived tables as if one load had landed them."""
     tables = source_tables(spark, folder)

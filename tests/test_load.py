@@ -272,3 +272,51 @@ def test_files_arrive_as_a_stream(spark, root, source, tmp_path):
         3: ("delivered", "200.000001"),
     }
     assert run(300).count() == 3
+
+
+def test_a_backlog_out_of_order_stays_whole(spark, root, source, tmp_path):
+    """One file per batch, the newest rows first: nothing is lost and nothing goes back in time."""
+    landing = str(tmp_path / "landing")
+
+    def drop(*rows):
+        source.table("orders", *rows).coalesce(1).write.mode("append").parquet(landing)
+
+    drop({"id": 1, "status": "shipped", "updated_at": at("2026-06-03")})
+    drop({"id": 1, "status": "paid", "updated_at": at("2026-06-02")}, {"id": 2})
+    drop({"id": 2, "status": "paid", "updated_at": at("2026-06-01")}, {"id": 30})
+    for epoch in (100, 200):
+        land_new_files(
+            spark,
+            landing,
+            ORDERS.schema,
+            root,
+            NARROW["orders"],
+            str(tmp_path / "cp"),
+            epoch,
+            files_per_batch=1,
+        ).awaitTermination()
+    raw = orders(spark, root)
+    landed = {row.id: row.status for row in raw.read().collect()}
+    assert landed == {1: "shipped", 2: "paid", 30: "delivered"}
+    assert raw.state().mark == at("2026-06-03")
+    once = sorted(raw.read().collect())
+    again = source.table("orders", {"id": 2}, {"id": 30})
+    raw.load(again, "300.5", in_order=False)
+    assert sorted(raw.read().collect()) == once
+
+
+def test_an_unreadable_journal_is_no_first_load(spark, root, source, tmp_path):
+    raw = orders(spark, root)
+    raw.load(source.table("orders", {"id": 1}), "1.5")
+    for file in (tmp_path / "raw" / "_journal" / "orders").glob("*.parquet"):
+        file.write_bytes(b"not parquet")
+    with pytest.raises(Exception):  # noqa: B017
+        raw.load(source.table("orders", {"id": 2}), "2.5")
+    assert spark.read.parquet(raw.path).count() == 1
+
+
+def test_a_failing_table_is_raised_and_leaves_the_others_loaded(spark, root, shop, source):
+    shop["orders"] = source.table("orders", {"id": 1, "updated_at": None})
+    with pytest.raises(LoadError, match="orders"):
+        load_tables(spark, shop, root, "1.5", NARROW)
+    assert RawTable(spark, root, NARROW["customers"]).read().count() == 2
