@@ -51,7 +51,7 @@ def marts(spark: SparkSession, folder: str) -> Marts:
     return marts_of(stage(trade_tables.raw_tables(spark, folder)))
 
 
-def _models_of(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def models_of(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
     views = stage(raw)
     money = order_money(views["stg_webshop__order_items"])
     return {**views, MONEY: money, **marts_of(views, money).named()}
@@ -59,12 +59,12 @@ def _models_of(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 @lru_cache(maxsize=4)
 def models(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return _models_of(trade_tables.raw_tables(spark, folder))
+    return models_of(trade_tables.raw_tables(spark, folder))
 
 
 @lru_cache(maxsize=4)
 def broken_models(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return _models_of(defects.broken_raw(trade_tables.raw_tables(spark, folder)))
+    return models_of(defects.broken_raw(trade_tables.raw_tables(spark, folder)))
 
 
 # Models ---------------------------------------------------------------------------------------
@@ -315,12 +315,13 @@ def load_evolve(spark: SparkSession, folder: str) -> DataFrame:
 def load_stream(spark: SparkSession, folder: str) -> DataFrame:
     """The order files as a stream, run twice: the second run finds no new file."""
     root = scratch_dir(spark, "load_stream")
-    files = os.path.join(folder, "orders.parquet*")  # one file, or a folder of files
+    path = os.path.join(folder, "orders.parquet")
+    schema = spark.read.parquet(path).schema
     for epoch in (1_788_900_000, 1_788_930_000):
         land_new_files(
             spark,
-            files=files,
-            schema=spark.read.parquet(files).schema,
+            files=f"{path}*",  # a pattern fits one file as well as a folder of files
+            schema=schema,
             raw_root=root,
             spec=SPECS["orders"],
             checkpoint=os.path.join(root, "_stream"),

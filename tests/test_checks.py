@@ -4,9 +4,9 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from registry import _models_of
 from shopmarts.operators import checks
 from shopmarts.plans import contract
+from shopmarts.registry import models_of
 from shopmarts.sources.trade_tables import with_lineage
 
 GOOD = {
@@ -31,7 +31,7 @@ def failing(results):
 
 
 def test_all_declared_checks_run_and_pass(source):
-    results = contract.column_checks(_models_of(source.raw(**GOOD))).collect()
+    results = contract.column_checks(models_of(source.raw(**GOOD))).collect()
     kinds = [row.check_name.split()[0] for row in results]
     assert {kind: kinds.count(kind) for kind in set(kinds)} == {
         "unique": 13,
@@ -73,19 +73,19 @@ def test_all_declared_checks_run_and_pass(source):
 )
 def test_every_kind_of_defect_is_found(source, table, row, expected):
     tables = {**GOOD, table: [*GOOD[table], row]}
-    found = failing(contract.column_checks(_models_of(source.raw(**tables))))
+    found = failing(contract.column_checks(models_of(source.raw(**tables))))
     assert expected.items() <= found.items()
 
 
 def test_null_passes_accepted_values_and_relationships(source):
     tables = {**GOOD, "orders": [*GOOD["orders"], {"id": 13, "status": None, "customer_id": None}]}
-    models = _models_of(source.raw(**tables))
+    models = models_of(source.raw(**tables))
     assert not failing(contract.accepted_values(models))
     assert not failing(contract.relationships(models))
 
 
 def test_an_empty_table_still_reports(source):
-    results = contract.column_checks(_models_of(source.raw())).collect()
+    results = contract.column_checks(models_of(source.raw())).collect()
     assert len(results) == 56
     assert {(row.rows_checked, row.failures) for row in results} == {(0, 0)}
 

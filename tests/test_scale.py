@@ -6,7 +6,7 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
-import registry
+from shopmarts import registry
 from shopmarts.plans.intermediate import order_money
 from shopmarts.plans.marts import fct_order_items
 from shopmarts.plans.reports import REPORTS
