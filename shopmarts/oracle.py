@@ -531,7 +531,6 @@ ORACLE["load_incremental"] = on_source(f"""
            CASE WHEN order_id <= (SELECT max(order_id) // 2 FROM src_lines) THEN '{FIRST}'
                 ELSE '{SECOND}' END AS _dlt_load_id FROM src_lines""")
 
-CHANGED_COLUMNS = "status, updated_at"
 THREE_LOADS = {
     "one": "SELECT * FROM src_orders WHERE ordered_at < TIMESTAMP '1998-01-01'",
     "two": """
