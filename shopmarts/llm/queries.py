@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shopmarts.llm import packing, repair
+from shopmarts.llm import decontaminate, oracle, packing, repair
 from shopmarts.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,11 @@ def _vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    documents, items = (_table(spark, folder, name) for name in ("documents", "benchmark"))
+    return decontaminate.contamination(documents, items)
+
+
 def op3_repair_ids(spark: SparkSession, folder: str) -> DataFrame:
     files = scratch_dir(spark, "repair")
     vocabulary = _vocabulary("word_bpe_49k.json")
@@ -36,8 +41,9 @@ def op10_cost_balanced_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_decontaminate": op1_decontaminate,
     "op3_repair_ids": op3_repair_ids,
     "op10_cost_balanced_packing": op10_cost_balanced_packing,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op1_decontaminate": oracle.OP1}
