@@ -36,3 +36,30 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM doc LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
 """
+
+OP6 = rf"""
+WITH RECURSIVE doc AS (
+  SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents
+), shingle AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS i FROM doc WHERE len(w) > 0)
+), size AS (
+  SELECT doc_id, count(*) AS n FROM shingle GROUP BY 1
+), shared AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
+  FROM shingle x JOIN shingle y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY 1, 2
+), link AS (
+  SELECT a, b FROM shared JOIN size p ON p.doc_id = a JOIN size q ON q.doc_id = b
+  WHERE 100 * c >= 75 * (p.n + q.n - c)
+), way AS (
+  SELECT a, b FROM link UNION ALL SELECT b, a FROM link
+), reach AS (
+  SELECT a AS doc_id, b AS node FROM way
+  UNION
+  SELECT reach.doc_id, way.b FROM reach JOIN way ON reach.node = way.a
+), least AS (
+  SELECT doc_id, min(node) AS node FROM reach GROUP BY 1
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(node, doc_id)) AS component_id
+FROM doc LEFT JOIN size USING (doc_id) LEFT JOIN least USING (doc_id)
+"""

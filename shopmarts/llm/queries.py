@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shopmarts.llm import decontaminate, oracle, packing, repair
+from shopmarts.llm import decontaminate, jaccard, oracle, packing, repair
 from shopmarts.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,10 @@ def op3_repair_ids(spark: SparkSession, folder: str) -> DataFrame:
     return repair.stored_documents(spark, files, manifest)
 
 
+def op6_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.near_duplicates(_table(spark, folder, "documents"))
+
+
 def op10_cost_balanced_packing(spark: SparkSession, folder: str) -> DataFrame:
     vocabulary = _vocabulary("byte_bpe_50k.json")
     return packing.packed(_table(spark, folder, "documents"), vocabulary)
@@ -43,7 +47,11 @@ def op10_cost_balanced_packing(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_decontaminate": op1_decontaminate,
     "op3_repair_ids": op3_repair_ids,
+    "op6_jaccard_join": op6_jaccard_join,
     "op10_cost_balanced_packing": op10_cost_balanced_packing,
 }
 
-ORACLE: dict[str, str] = {"op1_decontaminate": oracle.OP1}
+ORACLE: dict[str, str] = {
+    "op1_decontaminate": oracle.OP1,
+    "op6_jaccard_join": oracle.OP6,
+}
