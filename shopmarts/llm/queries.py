@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shopmarts.llm import decontaminate, jaccard, oracle, packing, repair
+from shopmarts.llm import decontaminate, jaccard, langid, oracle, packing, repair, toxicity
 from shopmarts.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,16 @@ def op6_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.near_duplicates(_table(spark, folder, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents, labels = (_table(spark, folder, name) for name in ("documents", "labels"))
+    return toxicity.scored(documents, toxicity.train(documents, labels))
+
+
+def op8_language(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _table(spark, folder, "documents")
+    return langid.identified(documents, langid.train(documents))
+
+
 def op10_cost_balanced_packing(spark: SparkSession, folder: str) -> DataFrame:
     vocabulary = _vocabulary("byte_bpe_50k.json")
     return packing.packed(_table(spark, folder, "documents"), vocabulary)
@@ -48,6 +58,8 @@ QUERIES: dict[str, Query] = {
     "op1_decontaminate": op1_decontaminate,
     "op3_repair_ids": op3_repair_ids,
     "op6_jaccard_join": op6_jaccard_join,
+    "op7_toxicity": op7_toxicity,
+    "op8_language": op8_language,
     "op10_cost_balanced_packing": op10_cost_balanced_packing,
 }
 
