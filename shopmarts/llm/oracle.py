@@ -63,3 +63,19 @@ WITH RECURSIVE doc AS (
 SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(node, doc_id)) AS component_id
 FROM doc LEFT JOIN size USING (doc_id) LEFT JOIN least USING (doc_id)
 """
+
+OP4 = """
+WITH page AS (
+  SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+), digest AS (
+  SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS payload_digest FROM page
+), best AS (
+  SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS largest FROM digest
+), told AS (
+  SELECT *, payload_bytes >= 1000 AND page_id < largest AS again FROM best
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN again THEN largest END AS refers_to
+FROM told
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shopmarts.llm import decontaminate, jaccard, langid, oracle, packing, repair, toxicity
+from shopmarts.llm import decontaminate, jaccard, langid, oracle, packing, repair, toxicity, warc
 from shopmarts.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,12 @@ def op3_repair_ids(spark: SparkSession, folder: str) -> DataFrame:
     return repair.stored_documents(spark, files, manifest)
 
 
+def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
+    files = scratch_dir(spark, "warc")
+    warc.write_archives(_table(spark, folder, "pages"), files)
+    return warc.read_archives(spark, files).drop("url")
+
+
 def op6_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.near_duplicates(_table(spark, folder, "documents"))
 
@@ -57,6 +63,7 @@ def op10_cost_balanced_packing(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_decontaminate": op1_decontaminate,
     "op3_repair_ids": op3_repair_ids,
+    "op4_warc": op4_warc,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_toxicity": op7_toxicity,
     "op8_language": op8_language,
@@ -65,5 +72,6 @@ QUERIES: dict[str, Query] = {
 
 ORACLE: dict[str, str] = {
     "op1_decontaminate": oracle.OP1,
+    "op4_warc": oracle.OP4,
     "op6_jaccard_join": oracle.OP6,
 }
