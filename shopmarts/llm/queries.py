@@ -7,14 +7,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shopmarts.llm import decontaminate, jaccard, langid, oracle, packing, repair, toxicity, warc
+from shopmarts.llm import ann, decontaminate, jaccard, langid, oracle, packing, repair, toxicity, warc
+from shopmarts.llm.shipping import shipped
 from shopmarts.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(folder, f"{name}.parquet"))
+    return shipped(spark).read.parquet(os.path.join(folder, f"{name}.parquet"))
 
 
 def _vocabulary(name: str) -> str:
@@ -28,6 +29,12 @@ def op1_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contamination(documents, items)
 
 
+def op2_kmeans_tree(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = _table(spark, folder, "embeddings")
+    queries = vectors.where("vec_id % 20 = 0")
+    return ann.search(ann.build(vectors, queries, k=20), queries, k=20)
+
+
 def op3_repair_ids(spark: SparkSession, folder: str) -> DataFrame:
     files = scratch_dir(spark, "repair")
     vocabulary = _vocabulary("word_bpe_49k.json")
@@ -62,6 +69,7 @@ def op10_cost_balanced_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_kmeans_tree": op2_kmeans_tree,
     "op3_repair_ids": op3_repair_ids,
     "op4_warc": op4_warc,
     "op6_jaccard_join": op6_jaccard_join,
