@@ -79,3 +79,27 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN again THEN largest END AS refers_to
 FROM told
 """
+
+OP9 = rf"""
+WITH doc AS (
+  SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents
+), word AS (
+  SELECT doc_id, i, w[i] AS b, CASE WHEN i > 1 THEN w[i - 1] END AS a
+  FROM (SELECT doc_id, w, unnest(generate_series(1, len(w))) AS i FROM doc)
+), one AS (
+  SELECT b, count(*) AS c FROM word GROUP BY 1
+), two AS (
+  SELECT a, b, count(*) AS c FROM word WHERE a IS NOT NULL GROUP BY 1, 2 HAVING count(*) >= 2
+), scored AS (
+  SELECT doc_id, CASE
+    WHEN two.c IS NOT NULL THEN ln(CAST(two.c AS DOUBLE) / before.c)
+    ELSE ln(CAST(one.c AS DOUBLE) / (SELECT count(*) FROM word)) + CASE WHEN word.a IS NULL THEN 0 ELSE ln(0.4::DOUBLE) END
+  END AS s
+  FROM word JOIN one ON one.b = word.b
+  LEFT JOIN two ON two.a = word.a AND two.b = word.b LEFT JOIN one before ON before.b = word.a
+), total AS (
+  SELECT doc_id, count(*) AS n_words, sum(s) AS s FROM scored GROUP BY 1
+)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, round(coalesce(s, 0), 4) AS log_score
+FROM doc LEFT JOIN total USING (doc_id)
+"""

@@ -6,8 +6,9 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shopmarts.llm import ann, decontaminate, jaccard, langid, oracle, packing, repair, toxicity, warc
+from shopmarts.llm import ann, decontaminate, jaccard, langid, ngram_lm, oracle, packing, pii, repair, toxicity, warc
 from shopmarts.llm.shipping import shipped
 from shopmarts.session import scratch_dir
 
@@ -48,6 +49,15 @@ def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.read_archives(spark, files).drop("url")
 
 
+# Who has this key can undo the pseudonyms: a deployment passes its own.
+PII_KEY = "an example key"
+
+
+def op5_pii_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.pseudonymised(_table(spark, folder, "documents"), PII_KEY)
+    return found.select("doc_id", "text", F.size("pii_found").alias("n_replaced"))
+
+
 def op6_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.near_duplicates(_table(spark, folder, "documents"))
 
@@ -62,6 +72,11 @@ def op8_language(spark: SparkSession, folder: str) -> DataFrame:
     return langid.identified(documents, langid.train(documents))
 
 
+def op9_stupid_backoff(spark: SparkSession, folder: str) -> DataFrame:
+    found = ngram_lm.scored(_table(spark, folder, "documents"))
+    return found.select("doc_id", "n_words", F.round("log_score", 4).alias("log_score"))
+
+
 def op10_cost_balanced_packing(spark: SparkSession, folder: str) -> DataFrame:
     vocabulary = _vocabulary("byte_bpe_50k.json")
     return packing.packed(_table(spark, folder, "documents"), vocabulary)
@@ -72,9 +87,11 @@ QUERIES: dict[str, Query] = {
     "op2_kmeans_tree": op2_kmeans_tree,
     "op3_repair_ids": op3_repair_ids,
     "op4_warc": op4_warc,
+    "op5_pii_pseudonyms": op5_pii_pseudonyms,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_toxicity": op7_toxicity,
     "op8_language": op8_language,
+    "op9_stupid_backoff": op9_stupid_backoff,
     "op10_cost_balanced_packing": op10_cost_balanced_packing,
 }
 
@@ -82,4 +99,5 @@ ORACLE: dict[str, str] = {
     "op1_decontaminate": oracle.OP1,
     "op4_warc": oracle.OP4,
     "op6_jaccard_join": oracle.OP6,
+    "op9_stupid_backoff": oracle.OP9,
 }
