@@ -11,7 +11,9 @@ from __future__ import annotations
 import os
 import re
 from array import array
+from collections.abc import Callable
 from functools import lru_cache
+from itertools import chain, filterfalse
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark already runs a task per core
 
@@ -21,11 +23,19 @@ from tokenizers import Tokenizer  # noqa: E402
 # such a pair stays in one piece.
 TOUCHING = re.compile(r"\s\s")
 LONE_SPACE = re.compile(r"(?<=\S)(?= \S)")
-LINE_END = re.compile(r"(?<=\S)(\n)(?=\S)")
-# Neither vocabulary joins a letter or digit with the punctuation after it, but for apostrophes.
-TAIL = re.compile(r"(.*[^\W_])([!-&(-/:-@\[-^`{-~]+)", re.DOTALL)
-KEPT_PIECES = 700_000  # of a worker's dictionary, about 100 MB
+KEPT_PIECES = 1_800_000  # of a worker's dictionary, about 350 MB
 KEPT_LENGTH = 48  # longer pieces are encoded each time
+# A word of Latin letters with punctuation, perhaps the next line's first one too. Apostrophes are
+# left out, as both vocabularies treat some of them with the letters after them, and so is U+0130,
+# whose lower case is two characters.
+_WORD, _MARKS = "[A-Za-zÀ-ÖØ-öø-įı-ɏ]+", r"[!-&(-/:-@\[-^`{-~]*"
+PLAIN = re.compile(rf"( ?{_WORD})({_MARKS})(?:(\n)({_WORD})({_MARKS}))?")
+PROBES = [" a", "B", " The", " naïve", "Straße", " ÇA", "ɏ", " unbelievably", "word", " wordwordword"]
+# Byte-level vocabularies write a byte as a visible character: itself, or the next from U+0100 on.
+_SHOWN = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+LETTERS = {b: 0x100 + i for i, b in enumerate(b for b in range(256) if b not in _SHOWN)}
+FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\n", b"abcdefghijklmnopqrstuvwxyz ")
+MARK = "\x01"
 
 
 def pieces(text: str) -> list[str]:
@@ -35,15 +45,16 @@ def pieces(text: str) -> list[str]:
     return text.replace(" ", "\0 ").split("\0")
 
 
-def atoms(piece: str) -> list[str]:
-    """A piece cut at line ends and in front of trailing punctuation, as both vocabularies do."""
-    if "<|" in piece:
-        return [piece]
-    found = []
-    for part in LINE_END.split(piece):
-        tail = TAIL.fullmatch(part)
-        found += tail.groups() if tail else (part,)
-    return found
+def _bytes_as_letters(word: str) -> str:
+    return word.encode().decode("latin-1").translate(LETTERS)
+
+
+def _bare_bytes_as_letters(word: str) -> str:
+    return _bytes_as_letters(word.strip(" ").lower())
+
+
+def _folded(text: str) -> str:
+    return text.encode("utf-8", "surrogatepass").translate(FOLD).decode("utf-8", "surrogatepass")
 
 
 class Encoder:
@@ -54,15 +65,21 @@ class Encoder:
         self.library.encode_special_tokens = True  # their strings in a text are ordinary text
         self.kept = kept
         self.known: dict[str, bytes] = {}
+        # A vocabulary of lower case that drops white space reads these texts alike; then fewer
+        # different pieces are left.
+        self.folds = self._ids("A b\nC") == self._ids("a b c")
+        self.model_input = self._input()
+        self.mark = self.library.encode(f" {MARK}", add_special_tokens=False).ids
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of every whole text; a null text has none."""
+        if self.folds:
+            texts = [text and _folded(text) for text in texts]
         cut = [pieces(text) if text else [] for text in texts]
-        needed = set().union(*cut)
-        new = [piece for piece in needed if piece not in self.known]
-        if len(self.known) + 2 * len(new) > self.kept:
+        new = self._new(cut)
+        if len(self.known) + len(new) > self.kept:
             self.known.clear()
-            new = list(needed)
+            new = self._new(cut)
         self._learn(new)
         look_up = self.known.__getitem__
         encoded = [b"".join(map(look_up, parts)) for parts in cut]
@@ -71,22 +88,61 @@ class Encoder:
                 self.known.pop(piece, None)
         return encoded
 
-    def _learn(self, new: list[str], step: int = 2_000) -> None:
-        """Encode what the pieces are made of, then put the pieces together."""
-        made = {piece: atoms(piece) for piece in new}
-        unseen = {atom for parts in made.values() for atom in parts if atom not in self.known}
-        ordered = list(unseen)
-        for at in range(0, len(ordered), step):
-            batch = ordered[at : at + step]
-            found = self.library.encode_batch_fast(batch, add_special_tokens=False)
-            for atom, encoding in zip(batch, found, strict=True):
-                self.known[atom] = array("I", encoding.ids).tobytes()
-        for piece, parts in made.items():
+    def _new(self, cut: list[list[str]]) -> list[str]:
+        return list(dict.fromkeys(filterfalse(self.known.__contains__, chain.from_iterable(cut))))
+
+    def _learn(self, new: list[str]) -> None:
+        plain: dict[str, list[str]] = {}
+        other = []
+        for piece in new:
+            parts = PLAIN.fullmatch(piece) if self.model_input else None
+            if parts:
+                plain[piece] = [part for part in parts.groups() if part]
+            else:
+                other.append(piece)
+        for piece, parts in plain.items():
+            for part in parts:
+                if part not in self.known:
+                    self.known[part] = self._word(part) if part[-1].isalpha() else self._whole(part)
             if len(parts) > 1:
                 self.known[piece] = b"".join(map(self.known.__getitem__, parts))
-        for atom in unseen:
-            if len(atom) > KEPT_LENGTH and atom not in made:
-                del self.known[atom]
+        self._learn_together(other)
+
+    def _whole(self, text: str) -> bytes:
+        return array("I", self._ids(text)).tobytes()
+
+    def _word(self, word: str) -> bytes:
+        """One word without what the library does around its merges: there is nothing to cut."""
+        merged = self.library.model.tokenize(self.model_input(word))
+        return array("I", [token.id for token in merged]).tobytes()
+
+    def _input(self) -> Callable[[str], str] | None:
+        """How the vocabulary hands a word to its merges, if in one of the two known ways."""
+        for prepared in (_bytes_as_letters, _bare_bytes_as_letters):
+            self.model_input = prepared
+            if all(self._word(word) == self._whole(word) for word in PROBES):
+                return prepared
+        return None
+
+    def _learn_together(self, new: list[str], step: int = 1_000) -> None:
+        """Encode the pieces, many in one call. Between two of them stands a mark that both
+        vocabularies keep apart from what begins with a space and from any end of a word."""
+        joint = [p for p in new if p[:1] == " " and MARK not in p and not p[-1].isspace()]
+        for at in range(0, len(joint), step):
+            batch = joint[at : at + step]
+            ids = array("I", self._ids(f" {MARK}".join(batch)))
+            ends = [i for i, x in enumerate(ids) if x == self.mark[-1]]
+            raw, width = memoryview(ids.tobytes()), len(self.mark)
+            starts = [0, *(end + 1 for end in ends)]
+            stops = [*(end + 1 - width for end in ends), len(ids)]
+            for piece, start, stop in zip(batch, starts, stops, strict=True):
+                self.known[piece] = bytes(raw[4 * start : 4 * stop])
+        for piece in new:
+            if piece not in self.known:
+                self.known[piece] = self._whole(piece)
+
+    def _ids(self, text: str) -> list[int]:
+        return self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
 
 @lru_cache(maxsize=2)
