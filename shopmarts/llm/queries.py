@@ -15,37 +15,37 @@ from shopmarts.session import scratch_dir
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return shipped(spark).read.parquet(os.path.join(folder, f"{name}.parquet"))
 
 
-def _vocabulary(name: str) -> str:
+def vocabulary(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
 
 
 def op1_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
-    documents, items = (_table(spark, folder, name) for name in ("documents", "benchmark"))
+    documents, items = (table(spark, folder, name) for name in ("documents", "benchmark"))
     return decontaminate.contamination(documents, items)
 
 
 def op2_kmeans_tree(spark: SparkSession, folder: str) -> DataFrame:
-    vectors = _table(spark, folder, "embeddings")
+    vectors = table(spark, folder, "embeddings")
     queries = vectors.where("vec_id % 20 = 0")
     return ann.search(ann.build(vectors, queries, k=20), queries, k=20)
 
 
 def op3_repair_ids(spark: SparkSession, folder: str) -> DataFrame:
     files = scratch_dir(spark, "repair")
-    vocabulary = _vocabulary("word_bpe_49k.json")
-    manifest = repair.write_shards(_table(spark, folder, "documents"), files, vocabulary)
+    vocabulary = vocabulary("word_bpe_49k.json")
+    manifest = repair.write_shards(table(spark, folder, "documents"), files, vocabulary)
     return repair.stored_documents(spark, files, manifest)
 
 
 def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
     files = scratch_dir(spark, "warc")
-    warc.write_archives(_table(spark, folder, "pages"), files)
+    warc.write_archives(table(spark, folder, "pages"), files)
     return warc.read_archives(spark, files).drop("url")
 
 
@@ -54,32 +54,32 @@ PII_KEY = "an example key"
 
 
 def op5_pii_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
-    found = pii.pseudonymised(_table(spark, folder, "documents"), PII_KEY)
+    found = pii.pseudonymised(table(spark, folder, "documents"), PII_KEY)
     return found.select("doc_id", "text", F.size("pii_found").alias("n_replaced"))
 
 
 def op6_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
-    return jaccard.near_duplicates(_table(spark, folder, "documents"))
+    return jaccard.near_duplicates(table(spark, folder, "documents"))
 
 
 def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
-    documents, labels = (_table(spark, folder, name) for name in ("documents", "labels"))
+    documents, labels = (table(spark, folder, name) for name in ("documents", "labels"))
     return toxicity.scored(documents, toxicity.train(documents, labels))
 
 
 def op8_language(spark: SparkSession, folder: str) -> DataFrame:
-    documents = _table(spark, folder, "documents")
+    documents = table(spark, folder, "documents")
     return langid.identified(documents, langid.train(documents))
 
 
 def op9_stupid_backoff(spark: SparkSession, folder: str) -> DataFrame:
-    found = ngram_lm.scored(_table(spark, folder, "documents"))
+    found = ngram_lm.scored(table(spark, folder, "documents"))
     return found.select("doc_id", "n_words", F.round("log_score", 4).alias("log_score"))
 
 
 def op10_cost_balanced_packing(spark: SparkSession, folder: str) -> DataFrame:
-    vocabulary = _vocabulary("byte_bpe_50k.json")
-    return packing.packed(_table(spark, folder, "documents"), vocabulary)
+    vocabulary = vocabulary("byte_bpe_50k.json")
+    return packing.packed(table(spark, folder, "documents"), vocabulary)
 
 
 QUERIES: dict[str, Query] = {
