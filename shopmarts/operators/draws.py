@@ -1,46 +1,28 @@
 """Random draws that depend on nothing but a seed, a column name and a row's id.
 
 ``rand()`` changes with the partitioning; these do not, so the same ids give the same rows on any
-cluster. Each draw is a short integer hash inside generated code.
+cluster. Each draw is a 64-bit hash inside generated code.
 """
 
 from __future__ import annotations
 
 import math
-import zlib
 from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MASK = 0xFFFFFFFF
-RANGE = 2.0**32
-# Shifts and multipliers of a published 32-bit integer hash.
-MIX = ((16, 0x21F0AAAD), (15, 0x735A2D97), (15, 1))
-
-
-def _mix(value: Column) -> Column:
-    """Scramble a number below 2^32. Products stay below 2^63."""
-    for shift, factor in MIX:
-        value = value.bitwiseXOR(F.shiftright(value, shift))
-        value = (value * factor).bitwiseAND(F.lit(MASK))
-    return value
+RANGE = 2.0**53
 
 
 def base(row_id: Column, seed: int) -> Column:
-    """The row's own hash, from both halves of a 64-bit id. Compute it once per row."""
-    low = row_id.bitwiseAND(F.lit(MASK)).bitwiseXOR(F.lit(seed & MASK))
-    high = F.shiftright(row_id, 32).bitwiseAND(F.lit(MASK))
-    return _mix(_mix(low).bitwiseXOR(high))
-
-
-def stream_number(stream: str) -> int:
-    return zlib.crc32(stream.encode())
+    """The row's own 64-bit hash. Compute it once per row."""
+    return F.xxhash64(row_id.cast("bigint"), F.lit(seed).cast("bigint"))
 
 
 def uniform(row_base: Column, stream: str) -> Column:
     """Uniform in the open interval (0, 1)."""
-    number = _mix(row_base.bitwiseXOR(F.lit(stream_number(stream))))
+    number = F.shiftrightunsigned(F.xxhash64(row_base, F.lit(stream)), 11)
     return (number + F.lit(0.5)) / F.lit(RANGE)
 
 

@@ -7,8 +7,9 @@ from __future__ import annotations
 
 from typing import Any
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shopmarts.schemas import LOAD_ID, ROW_ID
 
@@ -27,21 +28,35 @@ def newest_per_key(batch: DataFrame, key: str, cursor: str) -> DataFrame:
     return ranked.where("_rank = 1").drop("_rank")
 
 
+def cursor_literal(mark: Any, kind: T.DataType) -> Column:
+    """A collected cursor value as a literal of the cursor's type.
+
+    A datetime literal passes through the operating system's time zone. That undoes what collecting a
+    zoned time did; a time without a zone was not changed, so it goes by its text.
+    """
+    if isinstance(kind, T.TimestampNTZType):
+        return F.lit(mark.isoformat(sep=" ")).cast(kind)
+    return F.lit(mark)
+
+
 def since(source: DataFrame, cursor: str, mark: Any | None) -> DataFrame:
     """Rows at or above the high-water mark; all rows when nothing was loaded before.
 
     A row changed without a newer cursor stays below the mark and is not seen again.
     """
-    return source if mark is None else source.where(F.col(cursor) >= F.lit(mark))
+    if mark is None:
+        return source
+    return source.where(F.col(cursor) >= cursor_literal(mark, source.schema[cursor].dataType))
 
 
-def unseen(batch: DataFrame, target: DataFrame, key: str, cursor: str, mark: Any) -> DataFrame:
-    """The batch without the rows that sit exactly on the mark and were loaded with it."""
-    on_mark = target.where(F.col(cursor) == F.lit(mark)).select(
-        F.col(key).alias("_seen_key"), F.col(cursor).alias("_seen_cursor")
-    )
+def unseen(batch: DataFrame, on_mark: DataFrame, key: str, cursor: str) -> DataFrame:
+    """The batch without the rows that sit exactly on the mark and were loaded with it.
+
+    ``on_mark`` holds keys and cursors of the loaded rows on the mark, and no others.
+    """
+    loaded = on_mark.select(F.col(key).alias("_seen_key"), F.col(cursor).alias("_seen_cursor"))
     again = (F.col(key) == F.col("_seen_key")) & (F.col(cursor) == F.col("_seen_cursor"))
-    return batch.join(on_mark, again, "left_anti")
+    return batch.join(loaded, again, "left_anti")
 
 
 def newer(batch: DataFrame, target: DataFrame, key: str, cursor: str) -> DataFrame:

@@ -7,11 +7,7 @@ where Spark counts first.
 
 from __future__ import annotations
 
-import math
-
-from shopmarts.operators.draws import cuts, stream_number
-from shopmarts.plans import contract, generate
-from shopmarts.plans.generate import Shop
+from shopmarts.plans import contract
 
 LOADED = "1788961669.673802"
 FIRST, SECOND, THIRD = "1788900000.1", "1788930000.2", "1788960000.3"
@@ -524,10 +520,12 @@ ORACLE["load_full"] = on_source(
         )
     )
 )
+for _name, _cte in (("customers", "src_customers"), ("products", "src_products"), ("order_items", "src_lines")):
+    ORACLE[f"load_{_name}"] = on_source(f"SELECT *, {lineage(FIRST)} FROM {_cte}")
 ORACLE["load_rerun"] = on_source(f"SELECT *, {lineage(FIRST)} FROM src_orders")
 ORACLE["load_stream"] = on_source(f"SELECT *, {lineage('1788900000.000000')} FROM src_orders")
 ORACLE["load_incremental"] = on_source(f"""
-    SELECT id, order_id, quantity,
+    SELECT *,
            CASE WHEN order_id <= (SELECT max(order_id) // 2 FROM src_lines) THEN '{FIRST}'
                 ELSE '{SECOND}' END AS _dlt_load_id FROM src_lines""")
 
@@ -660,268 +658,9 @@ ORACLE["diff_metrics"] = over(
 )
 
 
-# Synthetic tables ------------------------------------------------------------------------------
-
-SHOP = Shop()
-WINDOW = generate.months(SHOP)
-START = f"TIMESTAMP '{WINDOW[0][0]} 00:00:00'"
-SIZES = {"customers": "customer", "products": "part", "orders": "orders", "order_items": "lineitem"}
-SIZE = {name: f"(SELECT count(*) FROM {table})" for name, table in SIZES.items()}
-
-
-def num(value: float) -> str:
-    """A double, spelled so that no decimal type comes in between."""
-    return f"'{value!r}'::DOUBLE"
-
-
-def mix(value: str) -> str:
-    for shift, factor in ((16, 0x21F0AAAD), (15, 0x735A2D97), (15, 1)):
-        value = f"((xor({value}, {value} >> {shift}) * {factor}) & 4294967295)"
-    return value
-
-
-def unit(stream: str) -> str:
-    number = mix(f"xor(base, {stream_number(stream)}::BIGINT)")
-    return f"(({number}::DOUBLE + {num(0.5)}) / {num(2.0**32)})"
-
-
-def with_base(ids: str) -> str:
-    """The row's hash, in two steps to keep the text short."""
-    return f"""(SELECT * EXCLUDE half, {mix("xor(half, (id >> 32) & 4294967295)")} AS base
-               FROM (SELECT *, {mix(f"xor(id & 4294967295, {SHOP.seed}::BIGINT)")} AS half
-                     FROM {ids}))"""
-
-
-def whole(u: str, low: int, high: int) -> str:
-    return f"(floor({u} * {num(float(high - low + 1))}) + {low})::BIGINT"
-
-
-def pick(u: str, values: list[str]) -> str:
-    listed = ", ".join(f"'{value}'" for value in values)
-    return f"([{listed}])[floor({u} * {num(float(len(values)))})::INT + 1]"
-
-
-def weighted(u: str, weights: dict[str, float]) -> str:
-    names, ends = list(weights), cuts(list(weights.values()))
-    tests = " ".join(f"WHEN {u} < {num(e)} THEN '{n}'" for n, e in zip(names, ends[:-1]))
-    return f"CASE {tests} ELSE '{names[-1]}' END"
-
-
-def exponential(u: str, mean: float) -> str:
-    return f"(ln({num(1.0)} - {u}) * {num(-mean)})"
-
-
-def price(stream: str, low: int, high: int, median: float) -> str:
-    normal = f"(sqrt(ln({unit(stream)}) * {num(-2.0)}) * cos({unit(stream + '.angle')} * {num(2 * math.pi)}))"
-    return clipped(f"exp({normal} * {num(0.4)}) * {num(median)}", low, high)
-
-
-def clipped(value: str, low: int, high: int) -> str:
-    return f"least(greatest(round({value}), {low}), {high})::BIGINT"
-
-
-def skewed(u: str, size: str, skew: float) -> str:
-    return f"least(floor(pow({u}, {num(1 / (1 - skew))}) * {size}::DOUBLE), {size} - 1)::BIGINT"
-
-
-def step(size: str) -> str:
-    tests = " ".join(f"WHEN gcd({p}, {size}) = 1 THEN {p}" for p in (48271, 69621, 40693))
-    return f"(CASE {tests} ELSE 16807 END)"
+# The production path: what a whole run has exported, every column of it.
 
-
-def numbered(table: str) -> str:
-    return f"(SELECT unnest(range(1, {SIZE[table]} + 1)) AS id)"
-
-
-def day_of_order() -> str:
-    ends = [*cuts([weight for _, _, weight in WINDOW])[:-1], 1.0]
-    tests = " ".join(
-        f"WHEN {unit('orders.month')} < {num(end)} THEN floor({unit('orders.day')} * {days})"
-        f"::BIGINT + {(first - WINDOW[0][0]).days}"
-        for (first, days, _), end in zip(WINDOW, ends)
-    )
-    return f"CASE {tests} END"
-
-
-def registered(table: str) -> str:
-    return f"-{whole(unit(f'{table}.created_at'), 1, 3 * 365 * 86400)}"
-
-
-def drawn_delay(name: str) -> str:
-    return f"ceil({exponential(unit(f'orders.{name}'), 2.0)} * {num(86400.0)})::BIGINT"
-
-
-GENERATED = {
-    "gen_customers": f"""
-        SELECT id, {pick(unit("customers.first_name"), generate.FIRST_NAMES)} AS first_name,
-               {pick(unit("customers.last_name"), generate.LAST_NAMES)} AS last_name,
-               lower({pick(unit("customers.first_name"), generate.FIRST_NAMES)}) || '.' || id
-                 || '@example.be' AS email,
-               CASE WHEN {unit("customers.phone.null")} >= {num(0.3)}
-                    THEN '+324' || lpad(({whole(unit("customers.phone"), 0, 99_999_999)})::VARCHAR,
-                                        8, '0') END AS phone,
-               {pick(unit("customers.city"), generate.CITIES)} AS city, 'Belgium' AS country,
-               {weighted(unit("customers.segment"), {"consumer": 8, "business": 1})} AS segment,
-               {unit("customers.is_marketing_opt_in")} < {num(0.45)} AS is_marketing_opt_in,
-               {START} + to_seconds({registered("customers")}) AS created_at,
-               {START} + to_seconds({registered("customers")}
-                 + {whole(unit("customers.updated_at"), 0, 365 * 86400)}) AS updated_at
-        FROM {with_base(numbered("customers"))}""",
-    "gen_products": f"""
-        SELECT id, body || ((10 - (substr(body, 1, 1)::INT + substr(body, 3, 1)::INT
-                     + substr(body, 5, 1)::INT + substr(body, 7, 1)::INT + substr(body, 9, 1)::INT
-                     + substr(body, 11, 1)::INT + 3 * (substr(body, 2, 1)::INT
-                     + substr(body, 4, 1)::INT + substr(body, 6, 1)::INT + substr(body, 8, 1)::INT
-                     + substr(body, 10, 1)::INT + substr(body, 12, 1)::INT)) % 10) % 10) AS sku,
-               {pick(unit("products.origin"), generate.COFFEE_ORIGINS)} AS origin,
-               {weighted(unit("products.roast"), {"medium": 3, "light": 2, "dark": 2})} AS roast,
-               {weighted(unit("products.category"),
-                         {"beans": 6, "ground": 3, "capsules": 2, "equipment": 1})} AS category,
-               ({whole(unit("products.weight_grams"), 250, 1000)})::INT AS weight_grams,
-               {price("products.unit_price_cents", 899, 4999, 1450.0)} AS unit_price_cents,
-               {price("products.cost_cents", 300, 2200, 650.0)} AS cost_cents,
-               {unit("products.is_active")} < {num(0.85)} AS is_active,
-               {START} + to_seconds({registered("products")}) AS created_at,
-               {START} + to_seconds({registered("products")}) AS updated_at
-        FROM (SELECT *, '54' || lpad(id::VARCHAR, 10, '0') AS body
-              FROM {with_base(numbered("products"))})""",
-    # The first month starts on a Monday, so the day number gives the weekday.
-    "gen_days": f"""
-        SELECT *, CASE WHEN day % 7 >= 5 AND day >= 2 AND {unit("orders.weekend")} < {num(0.5)}
-                       THEN day - 2 ELSE day END AS moved
-        FROM (SELECT *, {day_of_order()} AS day FROM {with_base(numbered("orders"))})""",
-    "gen_seconds": f"""
-        SELECT *, CASE WHEN {unit("orders.delivered_at.null")} >= {num(0.3)}
-                       THEN shipped + {drawn_delay("delivered_at")} END AS delivered
-        FROM (SELECT *, CASE WHEN {unit("orders.shipped_at.null")} >= {num(0.2)}
-                             THEN ordered + {drawn_delay("shipped_at")} END AS shipped
-              FROM (SELECT *, moved * 86400 + (floor(({unit("orders.hour")}
-                       + {unit("orders.hour.late")}) * 8)::BIGINT + 7) * 3600
-                       + floor({unit("orders.second")} * 3600)::BIGINT AS ordered FROM gen_days))""",
-    "gen_orders": f"""
-        SELECT id, ({skewed(unit("orders.customer_id"), SIZE["customers"], 0.7)}
-                    * {step(SIZE["customers"])}) % {SIZE["customers"]} + 1 AS customer_id,
-               {weighted(unit("orders.status"), {"delivered": 14, "shipped": 3, "paid": 2,
-                                                 "pending": 1, "cancelled": 1})} AS status,
-               {weighted(unit("orders.channel"), {"web": 6, "mobile_app": 3, "marketplace": 2,
-                                                  "store": 1})} AS channel,
-               {START} + to_seconds(ordered) AS ordered_at,
-               {START} + to_seconds(shipped) AS shipped_at,
-               {START} + to_seconds(delivered) AS delivered_at,
-               {pick(unit("orders.shipping_city"), generate.CITIES)} AS shipping_city,
-               'Belgium' AS shipping_country, {START} + to_seconds(ordered) AS created_at,
-               {START} + to_seconds(coalesce(delivered, shipped, ordered)) AS updated_at
-        FROM gen_seconds""",
-    "gen_sizes": f"""
-        SELECT lines, total, filled, goods,
-               floor(lines * pow(1.0::DOUBLE / filled, {num(1.0 - 0.3)}))::BIGINT + 1 AS widest
-        FROM (SELECT *, greatest(1, least(lines, total
-                       - round(total * exp(-lines::DOUBLE / total))))::BIGINT AS filled
-              FROM (SELECT {SIZE["order_items"]} AS lines, {SIZE["orders"]} AS total,
-                           {SIZE["products"]} AS goods))""",
-    "gen_ranked": f"""
-        SELECT *, (id - 1) * {step(SIZE["orders"])} % {SIZE["orders"]} AS rank
-        FROM {with_base(numbered("orders"))}""",
-    "gen_bounds": f"""
-        SELECT id AS order_id, base, widest, goods,
-               floor(pow(rank / filled::DOUBLE, {num(1.0 - 0.3)}) * lines)::BIGINT AS line_from,
-               floor(pow((rank + 1) / filled::DOUBLE, {num(1.0 - 0.3)}) * lines)::BIGINT AS line_to
-        FROM gen_ranked, gen_sizes WHERE rank < filled""",
-    "gen_placed": f"""
-        SELECT id, order_id, widest, goods, (opened + id - line_from - 1) % widest AS class
-        FROM (SELECT *, unnest(range(line_from + 1, line_to + 1)) AS id
-              FROM (SELECT * EXCLUDE base,
-                           {skewed(unit("order_items.class"), "widest", 0.6)} AS opened
-                    FROM gen_bounds WHERE line_to > line_from))""",
-    "gen_lines": f"""
-        SELECT id, order_id,
-               least(floor(pow({unit("order_items.product_id")}, {num(1 / (1 - 0.6))}) * members),
-                     members - 1)::BIGINT * widest + class + 1 AS product_id,
-               ({clipped(exponential(unit("order_items.quantity"), 1.6), 1, 6)})::INT AS quantity,
-               {price("order_items.unit_price_cents", 899, 4999, 1450.0)} AS unit_price_cents,
-               {clipped(exponential(unit("order_items.discount_cents"), 60.0), 0, 600)}
-                 AS discount_cents
-        FROM (SELECT *, floor((goods - 1 - class) / widest::DOUBLE)::BIGINT + 1 AS members
-              FROM {with_base("gen_placed")})""",
-}
-
-
-def on_generated(body: str) -> str:
-    return over(GENERATED, body)
-
-
-def tally(*counted: tuple[str, str, str]) -> str:
-    return on_generated(
-        " UNION ALL ".join(
-            f"SELECT '{hint}' AS hint, ({value})::VARCHAR AS value, count(*) AS row_count "
-            f"FROM {table} GROUP BY ALL"
-            for table, hint, value in counted
-        )
-    )
-
-
-ORACLE["gen_customers"] = on_generated("SELECT * FROM gen_customers")
-ORACLE["gen_products"] = on_generated("SELECT * FROM gen_products")
-ORACLE["gen_orders"] = on_generated("SELECT * FROM gen_orders")
-ORACLE["gen_order_items"] = on_generated("SELECT * FROM gen_lines")
-# Exactly the asked number of rows: as many as the given tables have.
-ORACLE["gen_counts"] = " UNION ALL ".join(
-    f"SELECT '{name}' AS hint, 'rows' AS value, count(*) AS row_count FROM {table}"
-    for name, table in SIZES.items()
-)
-ORACLE["gen_deterministic"] = """
-    SELECT count(*) AS rows_before, count(*) AS rows_after, 0::BIGINT AS rows_changed,
-           0::BIGINT AS rows_removed, 0::BIGINT AS rows_added FROM orders"""
-ORACLE["gen_weights"] = tally(
-    ("gen_customers", "segment", "segment"),
-    ("gen_products", "roast", "roast"),
-    ("gen_products", "category", "category"),
-    ("gen_orders", "status", "status"),
-    ("gen_orders", "channel", "channel"),
-)
-ORACLE["gen_rates"] = tally(
-    ("gen_customers", "phone is null", "phone IS NULL"),
-    ("gen_customers", "is_marketing_opt_in", "is_marketing_opt_in"),
-    ("gen_products", "is_active", "is_active"),
-    ("gen_orders", "shipped_at is null", "shipped_at IS NULL"),
-    ("gen_orders", "delivered_at is null", "delivered_at IS NULL"),
-)
-ORACLE["gen_uniform"] = tally(("gen_products", "weight_grams", "weight_grams"))
-ORACLE["gen_lognormal"] = tally(
-    ("gen_products", "list price", "unit_price_cents"),
-    ("gen_products", "cost", "cost_cents"),
-    ("gen_lines", "line price", "unit_price_cents"),
-)
-ORACLE["gen_exponential"] = tally(
-    ("gen_lines", "quantity", "quantity"), ("gen_lines", "discount", "discount_cents")
-)
-ORACLE["gen_fk"] = tally(
-    ("gen_orders", "customer_id", "customer_id"),
-    ("gen_lines", "order_id", "order_id"),
-    ("gen_lines", "product_id", "product_id"),
-)
-ORACLE["gen_after"] = tally(
-    ("gen_orders", "shipped after ordered", "shipped_at > ordered_at"),
-    ("gen_orders", "delivered after shipped", "delivered_at > shipped_at"),
-)
-# Every value occurs once.
-ORACLE["gen_unique"] = " UNION ALL ".join(
-    f"SELECT '{hint}' AS hint, 'true' AS value, count(*) AS row_count FROM {table}"
-    for hint, table in (
-        ("email", "customer"),
-        ("sku", "part"),
-        ("id", "lineitem"),
-        ("order_id, product_id", "lineitem"),
-    )
-)
-ORACLE["gen_time"] = tally(
-    ("gen_orders", "month", "strftime(ordered_at, '%Y-%m')"),
-    ("gen_orders", "weekday", "isodow(ordered_at) - 1"),
-    ("gen_orders", "hour", "hour(ordered_at)"),
-)
-ORACLE["gen_text"] = tally(
-    ("gen_customers", "first_name", "first_name"),
-    ("gen_customers", "last_name", "last_name"),
-    ("gen_customers", "city", "city"),
-    ("gen_customers", "country", "country"),
-)
+for _report in [name.removeprefix("rpt_") for name in list(ORACLE) if name.startswith("rpt_")]:
+    ORACLE[f"exported_{_report}"] = ORACLE[f"rpt_{_report}"]
+for _mart in ("fct_orders", "fct_order_items", "dim_customers", "dim_products"):
+    ORACLE[f"exported_{_mart}"] = ORACLE[_mart]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +14,7 @@ from shopmarts.plans.intermediate import order_money
 from shopmarts.plans.marts import Marts, marts_of, stage
 from shopmarts.plans.reports import REPORTS
 from shopmarts.session import together
-from shopmarts.sources.layout import Layout, open_marts
+from shopmarts.sources.layout import Layout, open_marts, publish
 
 MONEY = "int_orders__items_aggregated"
 
@@ -29,38 +30,50 @@ def _store(table: DataFrame, path: str) -> None:
 
 
 def build(spark: SparkSession, raw: dict[str, DataFrame], layout: Layout) -> Marts:
-    """Rebuild the marts of a target in full.
+    """Build the marts of a target in full, beside the builds there are; ``verify`` publishes them.
 
     Staging stays a set of views. Order money is stored, because two marts read it and a plan can
     share a shuffle only within one query.
     """
+    name = uuid.uuid4().hex
     staged = stage(raw)
-    for name, table in staged.items():
-        table.createOrReplaceTempView(name)
+    for view, table in staged.items():
+        table.createOrReplaceTempView(view)
     lines = staged["stg_webshop__order_items"]
-    _store(order_money(lines), layout.path(MONEY))
-    money = spark.read.parquet(layout.path(MONEY))
+    _store(order_money(lines), layout.stored(MONEY, name))
+    money = spark.read.parquet(layout.stored(MONEY, name))
     money.createOrReplaceTempView(MONEY)
     marts = marts_of(staged, money).named()
-    together(spark, {name: partial(_store, table, layout.path(name)) for name, table in marts.items()})
-    return open_marts(spark, layout)
+    jobs = {model: partial(_store, table, layout.stored(model, name)) for model, table in marts.items()}
+    together(spark, jobs)
+    return open_marts(spark, layout, name)
 
 
-def models(spark: SparkSession, raw: dict[str, DataFrame], layout: Layout) -> dict[str, DataFrame]:
-    """Every model of a built target: staging lazily, the rest as stored."""
-    stored = open_marts(spark, layout).named()
-    return {**stage(raw), MONEY: spark.read.parquet(layout.path(MONEY)), **stored}
+def models(
+    spark: SparkSession, raw: dict[str, DataFrame], layout: Layout, build: str
+) -> dict[str, DataFrame]:
+    """Every model of a build: staging lazily, the rest as stored."""
+    stored = open_marts(spark, layout, build).named()
+    return {**stage(raw), MONEY: spark.read.parquet(layout.stored(MONEY, build)), **stored}
 
 
-def verify(spark: SparkSession, raw: dict[str, DataFrame], layout: Layout) -> DataFrame:
-    """Run every check over a built target, and raise when one fails."""
-    marts, built = open_marts(spark, layout), models(spark, raw, layout)
+def verify(
+    spark: SparkSession, raw: dict[str, DataFrame], layout: Layout, build: str, now_second: int
+) -> DataFrame:
+    """Run every check over a build. Publish it when all pass; else raise, and readers keep the former
+    build. A source whose last load is too long before ``now_second`` fails the run as well."""
+    marts, built = open_marts(spark, layout, build), models(spark, raw, layout, build)
     exact = contract.money_is_exact(marts).selectExpr(
         "concat('exact ', table_name, '.', column_name) as check_name",
         "rows_checked",
         # The type is wrong also where no row shows it.
         "if(is_exact, 0, greatest(failures, 1)) as failures",
     )
+    fresh = contract.freshness(raw, now_second).selectExpr(
+        "concat('fresh ', table_name) as check_name",
+        "1L as rows_checked",
+        "cast(status = 'error' as bigint) as failures",
+    )
     results = {
         "scans": contract.scans(built),
         "unique": contract.unique(built),
@@ -68,6 +81,7 @@ def verify(spark: SparkSession, raw: dict[str, DataFrame], layout: Layout) -> Da
         "reconcile": contract.reconcile(marts),
         "realised": contract.realised(marts),
         "exact": exact,
+        "fresh": fresh,
     }
     # One short row per declared check comes back, however large the tables.
     found = together(spark, {name: checked.collect for name, checked in results.items()})
@@ -75,12 +89,13 @@ def verify(spark: SparkSession, raw: dict[str, DataFrame], layout: Layout) -> Da
     failed = [f"{row.check_name}: {row.failures}" for row in rows if row.failures]
     if failed:
         raise ChecksFailed("; ".join(failed))
+    publish(spark, layout, build)
     return spark.createDataFrame(rows, checks.RESULT)
 
 
-def export(spark: SparkSession, layout: Layout, verified: bool = False) -> dict[str, str]:
-    """Write the extract of every mart and the result of every report; always from the stored marts."""
-    marts = open_marts(spark, layout, verified)
+def export(spark: SparkSession, layout: Layout) -> dict[str, str]:
+    """Write the extract of every mart and the result of every report; always from the published build."""
+    marts = open_marts(spark, layout)
     tables = {f"extracts/{name}": table for name, table in marts.named().items()}
     tables |= {f"reports/{name}": report(marts) for name, report in REPORTS.items()}
     paths = {name: os.path.join(layout.exports(), name) for name in tables}

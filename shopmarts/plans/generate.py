@@ -168,8 +168,11 @@ def products(shop: Shop, table_ids: DataFrame) -> DataFrame:
 
 
 def _ean13(number: Column) -> Column:
-    """A Belgian barcode (prefix 54) with its check digit, unique for ids below ten thousand million."""
-    body = F.concat(F.lit("54"), F.lpad(number.cast("string"), 10, "0"))
+    """A Belgian barcode (prefix 54) with its check digit. It has room for ten digits; more are an error."""
+    fits = F.when(number < 10**10, number.cast("string")).otherwise(
+        F.raise_error(F.lit("a barcode has no room for this id")).cast("string")
+    )
+    body = F.concat(F.lit("54"), F.lpad(fits, 10, "0"))
     weights = [1, 3] * 6
     parts = [F.substring(body, i + 1, 1).cast("int") * weight for i, weight in enumerate(weights)]
     check = F.pmod(F.lit(10) - F.pmod(sum(parts[1:], parts[0]), F.lit(10)), F.lit(10))

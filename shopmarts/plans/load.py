@@ -5,12 +5,14 @@ Layout of one table below the raw root::
     orders/_bucket=0/ ...          the table, partitioned by key range
     _package/orders/               the last batch, landed once and read many times
     _staged/orders/_bucket=0/ ...  full new content of the buckets the last batch touched
+    _marked/orders/<step>/         keys of the loaded rows that sit exactly on the mark
     _journal/orders/               one row per step of a load; the last row is the state
 
 A batch rewrites the buckets it touches and leaves the others alone. The new buckets are first
-written beside the table, then recorded in the journal, then swapped in. A driver that dies at any
-point leaves either an untouched table (the batch is read again) or complete staged buckets (the
-next load swaps them in first). Lost executors only repeat tasks.
+written beside the table, then recorded in the journal, then swapped in as they are. A driver that dies
+at any point leaves either an untouched table (the batch is read again) or complete staged buckets (the
+next load swaps them in first). A first load is recorded before it writes; data without a journal are
+never taken for an unfinished first load. Lost executors only repeat tasks.
 """
 
 from __future__ import annotations
@@ -26,15 +28,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shopmarts.operators.upsert import merge, newer, newest_per_key, since, unseen, with_lineage
+from shopmarts.operators.upsert import (
+    cursor_literal,
+    merge,
+    newer,
+    newest_per_key,
+    since,
+    unseen,
+    with_lineage,
+)
 from shopmarts.schemas import LOAD_ID, TABLES, TableSpec
 from shopmarts.session import together
 
 BUCKET = "_bucket"
-# Up to this many touched buckets become a partition filter; more are matched with a semi join.
-MAX_BUCKET_LITERALS = 10_000
-
-STAGED, DONE = "staged", "done"
+BEGUN, STAGED, DONE = "begun", "staged", "done"
 NEVER_WRITTEN = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
 
 
@@ -50,6 +57,15 @@ class State:
     mark: Any
     schema: T.StructType
     rows: int  # rows the load landed
+    marked: int | None = None  # the step whose file holds the keys on the mark
+
+
+@dataclass(frozen=True)
+class Measured:
+    rows: int
+    mark: Any
+    low: int | None  # first and last bucket
+    high: int | None
 
 
 class RawTable:
@@ -61,6 +77,8 @@ class RawTable:
         self.path = os.path.join(root, spec.name)
         self.package = os.path.join(root, "_package", spec.name)
         self.staged = os.path.join(root, "_staged", spec.name)
+        self._key_and_cursor = list(dict.fromkeys([spec.key, spec.cursor]))
+        self.marked = os.path.join(root, "_marked", spec.name)
         self.journal = os.path.join(root, "_journal", spec.name)
 
     def state(self) -> State | None:
@@ -74,13 +92,14 @@ class RawTable:
         if last is None:
             return None
         schema = T.StructType.fromJson(json.loads(last["schema"]))
-        return State(last["step"], last["phase"], last["load_id"], last["mark"], schema, last["rows"])
+        known = (last[name] for name in ("rows", "marked"))
+        return State(last["step"], last["phase"], last["load_id"], last["mark"], schema, *known)
 
     def read(self) -> DataFrame:
         """The landed rows. The journal knows the columns, so no file footers are compared, and
         files older than a column read NULL for it."""
         state = self.state()
-        if state is None:
+        if state is None or state.phase == BEGUN:
             raise LoadError(f"{self.spec.name} has not been loaded into {self.path}")
         return self._open(self.path, state.schema).drop(BUCKET)
 
@@ -91,58 +110,100 @@ class RawTable:
         considered, and gives way to a stored version that is at least as new.
         """
         state = self._finish(self.state())
-        if state is None:
-            return self._first(source, load_id)
+        if state is None or state.phase == BEGUN:
+            return self._first(source, load_id, state)
         batch = self._land(source, load_id, state, in_order)
-        rows, mark = self._measure(batch)
-        if rows == 0:
+        seen = self._measure(batch)
+        if seen.rows == 0:
             return state
-        if state.mark is not None:
-            mark = max(mark, state.mark)
         columns = _evolve(state.schema, batch.schema)
-        current = self._touched(self._open(self.path, state.schema), batch)
+        current = self._touched(self._open(self.path, state.schema), batch, seen)
+        rows = seen.rows
         if not in_order:
             batch = newer(batch, current, self.spec.key, self.spec.cursor)
-        self._write(merge(current, batch, self.spec.key), self.staged, "static")
-        pending = State(state.step + 1, STAGED, load_id, mark, columns, rows)
+            rows = batch.count()
+            if rows == 0:  # a batch that is replayed after its load
+                return state
+        self._write(merge(current, batch, self.spec.key), self.staged)
+        mark = seen.mark if state.mark is None else max(seen.mark, state.mark)
+        step = state.step + 1
+        self._mark(batch, mark, step, state)
+        pending = State(step, STAGED, load_id, mark, columns, rows, step)
         self._record(pending)
         return self._finish(pending)
 
-    def _first(self, source: DataFrame, load_id: str) -> State:
-        """No state means no table worth keeping: whatever an interrupted first load left is replaced."""
+    def _first(self, source: DataFrame, load_id: str, begun: State | None) -> State:
+        """Replaces what an interrupted first load left, which the journal tells, and nothing else."""
         rows = self._bucketed(with_lineage(self._newest(source), load_id, self.spec.key))
-        self._write(rows, self.path, "static")
-        count, mark = self._measure(self._open(self.path, rows.schema))
-        done = State(0, DONE, load_id, mark, _nullable(rows.schema), count)
-        return self._record(done)
+        columns = _nullable(rows.schema)
+        if begun is None:
+            if self._holds_data():
+                raise LoadError(
+                    f"{self.path} holds data but {self.journal} does not say which: restore the "
+                    "journal, or move the data away to load anew"
+                )
+            begun = self._record(State(0, BEGUN, load_id, None, columns, 0))
+        self._write(rows, self.path)
+        stored = self._open(self.path, columns)
+        seen = self._measure(stored)
+        step = begun.step + 1
+        self._mark(stored, seen.mark, step, None)
+        return self._record(State(step, DONE, load_id, seen.mark, columns, seen.rows, step))
+
+    def _holds_data(self) -> bool:
+        try:
+            return bool(self.spark.read.parquet(self.path).take(1))
+        except AnalysisException as error:
+            if error.getCondition() in NEVER_WRITTEN:
+                return False
+            raise
 
     def _land(self, source: DataFrame, load_id: str, state: State, in_order: bool) -> DataFrame:
-        """Write the batch once, so that counting, locating and merging it see the same rows."""
+        """Write the batch once, so that counting, locating and merging it see the same rows. The
+        stored table is not read: the keys on the mark stand beside it."""
         key, cursor = self.spec.key, self.spec.cursor
         known = {field.name: field.dataType for field in state.schema}
         typed = source.select(
             *[F.col(c).cast(known[c]).alias(c) if c in known else F.col(c) for c in source.columns]
         )
         if in_order and state.mark is not None:
-            stored = self._open(self.path, state.schema)
-            typed = unseen(since(typed, cursor, state.mark), stored, key, cursor, state.mark)
+            on_mark = self._on_mark(state, typed)
+            typed = unseen(since(typed, cursor, state.mark), on_mark, key, cursor)
         batch = self._bucketed(with_lineage(self._newest(typed), load_id, key))
         batch.write.mode("overwrite").parquet(self.package)
         return self._open(self.package, batch.schema)
 
-    def _touched(self, target: DataFrame, batch: DataFrame) -> DataFrame:
-        """The target's buckets that the batch falls into; the rest is not read."""
-        buckets = batch.select(BUCKET).distinct()
-        ids = [row[0] for row in buckets.limit(MAX_BUCKET_LITERALS + 1).collect()]
-        if len(ids) > MAX_BUCKET_LITERALS:
-            return target.join(buckets, BUCKET, "left_semi")
-        return target.where(F.col(BUCKET).isin(ids))
+    def _on_mark(self, state: State, like: DataFrame) -> DataFrame:
+        kinds = like.select(*self._key_and_cursor).schema
+        return self._open(os.path.join(self.marked, str(state.marked)), kinds)
+
+    def _mark(self, batch: DataFrame, mark: Any, step: int, state: State | None) -> None:
+        """Note which loaded keys sit on the new mark. If it has not moved, the former ones still do."""
+        keys = batch.select(*self._key_and_cursor)
+        kind = keys.schema[self.spec.cursor].dataType
+        at_mark = F.lit(False) if mark is None else F.col(self.spec.cursor) == cursor_literal(mark, kind)
+        now = keys.where(at_mark)
+        if state is not None and state.mark == mark:
+            now = now.unionByName(self._on_mark(state, batch)).distinct()
+        now.write.mode("overwrite").parquet(os.path.join(self.marked, str(step)))
+
+    def _touched(self, target: DataFrame, batch: DataFrame, seen: Measured) -> DataFrame:
+        """The target's buckets that the batch falls into; the rest is not read.
+
+        Buckets outside the batch's range are pruned when the plan is made, those between its
+        buckets when the join's small side is known.
+        """
+        within = F.col(BUCKET).between(F.lit(seen.low), F.lit(seen.high))
+        buckets = batch.where(within).select(BUCKET).distinct()
+        return target.where(within).join(buckets, BUCKET, "left_semi")
 
     def _finish(self, state: State | None) -> State | None:
-        """Swap staged buckets in. Safe to repeat: they are complete and no longer read the table."""
-        if state is None or state.phase == DONE:
+        """Swap staged buckets in, file by file. Safe to repeat: they are complete and no longer read
+        the table."""
+        if state is None or state.phase in (BEGUN, DONE):
             return state
-        self._write(self._open(self.staged, state.schema), self.path, "dynamic")
+        staged = self._open(self.staged, state.schema)
+        self._partitioned(staged, self.path, "dynamic")
         return self._record(replace(state, step=state.step + 1, phase=DONE))
 
     def _newest(self, rows: DataFrame) -> DataFrame:
@@ -156,27 +217,31 @@ class RawTable:
         key, width = f"`{self.spec.key}`", self.spec.bucket_width
         return F.expr(f"({key} - pmod({key}, {width})) div {width}")
 
-    def _measure(self, batch: DataFrame) -> tuple[int, Any]:
+    def _measure(self, batch: DataFrame) -> Measured:
         cursor = F.col(self.spec.cursor)
         seen = batch.agg(
             F.count("*").alias("rows"),
             F.max(cursor).alias("mark"),
+            F.min(BUCKET).alias("low"),
+            F.max(BUCKET).alias("high"),
             F.count_if(cursor.isNull() | F.col(self.spec.key).isNull()).alias("unusable"),
         ).first()
         if seen["unusable"]:
             raise LoadError(
                 f"{self.spec.name}: {seen['unusable']} rows lack {self.spec.key} or {self.spec.cursor}"
             )
-        return seen["rows"], seen["mark"]
+        return Measured(seen["rows"], seen["mark"], seen["low"], seen["high"])
 
     def _open(self, path: str, schema: T.StructType) -> DataFrame:
         return self.spark.read.schema(schema).parquet(path)
 
-    def _write(self, rows: DataFrame, path: str, overwrite: str) -> None:
+    def _write(self, rows: DataFrame, path: str) -> None:
         """Even files per bucket: the rebalance joins small parts and splits large ones."""
+        self._partitioned(rows.hint("rebalance", F.col(BUCKET)), path, "static")
+
+    def _partitioned(self, rows: DataFrame, path: str, overwrite: str) -> None:
         (
-            rows.hint("rebalance", F.col(BUCKET))
-            .write.mode("overwrite")
+            rows.write.mode("overwrite")
             .option("partitionOverwriteMode", overwrite)
             .partitionBy(BUCKET)
             .parquet(path)
@@ -192,9 +257,11 @@ class RawTable:
                 T.StructField("mark", kind),
                 T.StructField("schema", T.StringType()),
                 T.StructField("rows", T.LongType()),
+                T.StructField("marked", T.LongType()),
             ]
         )
-        row = (state.step, state.phase, state.load_id, state.mark, state.schema.json(), state.rows)
+        known = (state.schema.json(), state.rows, state.marked)
+        row = (state.step, state.phase, state.load_id, state.mark, *known)
         step = self.spark.createDataFrame([row], columns).coalesce(1)
         step.write.mode("append").parquet(self.journal)
         return state

@@ -21,14 +21,15 @@ HOURS_PER_DAY = 24.0  # a double: an exact decimal would make days_to_ship a dec
 
 @dataclass(frozen=True)
 class Marts:
-    """The four marts. ``order_key_holds`` says that a check has found one row per order, so that
-    counting rows counts orders."""
+    """The four marts. ``order_key_holds`` says that these are a published build, whose checks have
+    found one row per order, so that counting rows counts orders."""
 
     orders: DataFrame
     order_items: DataFrame
     customers: DataFrame
     products: DataFrame
     order_key_holds: bool = False
+    build: str | None = None  # which stored build these are
 
     def named(self) -> dict[str, DataFrame]:
         return {

@@ -2,67 +2,73 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopmarts.schemas import LOAD_ID
 
 
-def _pick(raw: DataFrame, *kept: str, **renamed: str | Column) -> DataFrame:
-    """The renamed columns and the kept ones, in the order given by ``kept``.
-
-    An entry of ``kept`` that is also in ``renamed`` takes its value from there.
-    """
-
-    def column(name: str) -> Column:
-        source = renamed.get(name, name)
-        return (F.col(source) if isinstance(source, str) else source).alias(name)
-
-    return raw.select(*[column(name) for name in kept])
+# The names and the order of the columns of each model.
 
 
 def customers(raw: DataFrame) -> DataFrame:
-    return _pick(
-        raw,
-        *"customer_id first_name last_name email phone city country customer_segment".split(),
-        *"is_marketing_opt_in created_at updated_at dlt_load_id".split(),
-        customer_id="id",
-        email=F.lower("email"),
-        customer_segment="segment",
-        dlt_load_id=LOAD_ID,
+    return raw.select(
+        F.col("id").alias("customer_id"),
+        "first_name",
+        "last_name",
+        F.lower("email").alias("email"),
+        "phone",
+        "city",
+        "country",
+        F.col("segment").alias("customer_segment"),
+        "is_marketing_opt_in",
+        "created_at",
+        "updated_at",
+        F.col(LOAD_ID).alias("dlt_load_id"),
     )
 
 
 def products(raw: DataFrame) -> DataFrame:
-    return _pick(
-        raw,
-        *"product_id sku coffee_origin roast_level product_category weight_grams".split(),
-        *"unit_price_cents cost_cents is_active created_at updated_at dlt_load_id".split(),
-        product_id="id",
-        coffee_origin="origin",
-        roast_level="roast",
-        product_category="category",
-        dlt_load_id=LOAD_ID,
+    return raw.select(
+        F.col("id").alias("product_id"),
+        "sku",
+        F.col("origin").alias("coffee_origin"),
+        F.col("roast").alias("roast_level"),
+        F.col("category").alias("product_category"),
+        "weight_grams",
+        "unit_price_cents",
+        "cost_cents",
+        "is_active",
+        "created_at",
+        "updated_at",
+        F.col(LOAD_ID).alias("dlt_load_id"),
     )
 
 
 def orders(raw: DataFrame) -> DataFrame:
-    return _pick(
-        raw,
-        *"order_id customer_id order_status sales_channel ordered_at shipped_at".split(),
-        *"delivered_at shipping_city shipping_country created_at updated_at dlt_load_id".split(),
-        order_id="id",
-        order_status="status",
-        sales_channel="channel",
-        dlt_load_id=LOAD_ID,
+    return raw.select(
+        F.col("id").alias("order_id"),
+        "customer_id",
+        F.col("status").alias("order_status"),
+        F.col("channel").alias("sales_channel"),
+        "ordered_at",
+        "shipped_at",
+        "delivered_at",
+        "shipping_city",
+        "shipping_country",
+        "created_at",
+        "updated_at",
+        F.col(LOAD_ID).alias("dlt_load_id"),
     )
 
 
 def order_items(raw: DataFrame) -> DataFrame:
-    return _pick(
-        raw,
-        *"order_item_id order_id product_id quantity".split(),
-        *"unit_price_cents discount_cents dlt_load_id".split(),
-        order_item_id="id",
-        dlt_load_id=LOAD_ID,
+    return raw.select(
+        F.col("id").alias("order_item_id"),
+        "order_id",
+        "product_id",
+        "quantity",
+        "unit_price_cents",
+        "discount_cents",
+        F.col(LOAD_ID).alias("dlt_load_id"),
     )

@@ -5,8 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 from dataclasses import replace
-from datetime import datetime
-from functools import lru_cache
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +14,7 @@ from shopmarts.functions.money import cents_to_eur
 from shopmarts.functions.text import sentence_case
 from shopmarts.functions.time import hour_boundaries, load_second, month_start
 from shopmarts.operators import diff
-from shopmarts.plans import contract, generate
+from shopmarts.plans import contract
 from shopmarts.plans.build import MONEY, build, export, verify
 from shopmarts.plans.intermediate import order_money
 from shopmarts.plans.load import RawTable, load_tables, loads_by_id, read_raw
@@ -35,6 +34,7 @@ SPECS = {
     **TABLES,
     "order_items": replace(TABLES["order_items"], bucket_width=1_000_000 * 10**25),
 }
+LANDED_BY = trade_tables.LANDED_BY
 FIRST, SECOND, THIRD = "1788900000.1", "1788930000.2", "1788960000.3"
 
 
@@ -43,10 +43,6 @@ def query(function: Query) -> Query:
     return function
 
 
-# Plans, not data: the same lazy frames serve every query of a session.
-
-
-@lru_cache(maxsize=4)
 def marts(spark: SparkSession, folder: str) -> Marts:
     return marts_of(stage(trade_tables.raw_tables(spark, folder)))
 
@@ -57,12 +53,10 @@ def models_of(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return {**views, MONEY: money, **marts_of(views, money).named()}
 
 
-@lru_cache(maxsize=4)
 def models(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return models_of(trade_tables.raw_tables(spark, folder))
 
 
-@lru_cache(maxsize=4)
 def broken_models(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return models_of(defects.broken_raw(trade_tables.raw_tables(spark, folder)))
 
@@ -226,7 +220,7 @@ def _landed(spark: SparkSession, root: str, table: str) -> DataFrame:
 
 
 def _moment(text: str) -> Column:
-    return F.lit(datetime.fromisoformat(text)).cast("timestamp_ntz")
+    return F.lit(text).cast("timestamp_ntz")
 
 
 @query
@@ -243,6 +237,21 @@ def load_full(spark: SparkSession, folder: str) -> DataFrame:
     return parts[0].union(parts[1]).union(parts[2]).union(parts[3])
 
 
+def _register_landed() -> None:
+    """Every landed column of the tables that no other load query compares."""
+
+    def landed(spark: SparkSession, folder: str, name: str) -> DataFrame:
+        root = scratch_dir(spark, f"load_{name}")
+        _load(spark, root, FIRST, **{name: trade_tables.source_tables(spark, folder)[name]})
+        return _landed(spark, root, name)
+
+    for name in ("customers", "products", "order_items"):
+        QUERIES[f"load_{name}"] = partial(landed, name=name)
+
+
+_register_landed()
+
+
 @query
 def load_rerun(spark: SparkSession, folder: str) -> DataFrame:
     """The same source twice: no row is doubled, and none is taken for new."""
@@ -261,7 +270,7 @@ def load_incremental(spark: SparkSession, folder: str) -> DataFrame:
     half = lines.agg(F.max("order_id")).first()[0] // 2
     _load(spark, root, FIRST, order_items=lines.where(F.col("order_id") <= half))
     _load(spark, root, SECOND, order_items=lines)
-    return _landed(spark, root, "order_items").select("id", "order_id", "quantity", LOAD_ID)
+    return _landed(spark, root, "order_items").drop(ROW_ID)
 
 
 def _three_loads(spark: SparkSession, folder: str, purpose: str) -> DataFrame:
@@ -333,22 +342,39 @@ def load_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def run_headline(spark: SparkSession, folder: str) -> DataFrame:
-    """A whole run: load, build, verify, export, and the headline out of the exported reports."""
-    root = scratch_dir(spark, "run")
-    layout = Layout(root, "prod")
-    _load(spark, layout.raw, FIRST, **trade_tables.source_tables(spark, folder))
+    """A whole run, and the headline out of the exported reports."""
+    return spark.read.parquet(_run(spark, folder)["headline"])
+
+
+def _run(spark: SparkSession, folder: str, load_id: str = LANDED_BY) -> dict[str, str]:
+    """Load, build, check, publish and export; the checks ask an hour after the load."""
+    layout = Layout(scratch_dir(spark, "run"), "prod")
+    _load(spark, layout.raw, load_id, **trade_tables.source_tables(spark, folder))
     raw = read_raw(spark, layout.raw, SPECS)
-    build(spark, raw, layout)
-    verify(spark, raw, layout)
-    return spark.read.parquet(export(spark, layout, verified=True)["headline"])
+    made = build(spark, raw, layout)
+    verify(spark, raw, layout, made.build, now_second=int(float(load_id)) + 3600)
+    return export(spark, layout)
+
+
+def _register_exports() -> None:
+    """The reports and extracts as a run exports them: from stored, checked and published marts."""
+
+    def exported(spark: SparkSession, folder: str, name: str) -> DataFrame:
+        return spark.read.parquet(_run(spark, folder)[name])
+
+    for name in (*REPORTS, "fct_orders", "fct_order_items", "dim_customers", "dim_products"):
+        QUERIES[f"exported_{name}"] = partial(exported, name=name)
+
+
+_register_exports()
 
 
 @query
 def stored_marts(spark: SparkSession, folder: str) -> DataFrame:
     """The marts of a target as stored: rows and booked or listed money of each."""
     layout = Layout(scratch_dir(spark, "marts"), "dev")
-    build(spark, trade_tables.raw_tables(spark, folder), layout)
-    stored = open_marts(spark, layout)
+    made = build(spark, trade_tables.raw_tables(spark, folder), layout)
+    stored = open_marts(spark, layout, made.build)
     money = {
         "fct_orders": (stored.orders, "net_amount_eur"),
         "fct_order_items": (stored.order_items, "net_amount_eur"),
@@ -398,163 +424,3 @@ def diff_metrics(spark: SparkSession, folder: str) -> DataFrame:
         "realised revenue": F.sum("realised_net_amount_eur"),
     }
     return diff.metric_diff(before, defects.later_orders(before), metrics)
-
-
-# Synthetic tables, as large as the given ones -----------------------------------------------------
-
-
-def _shop(spark: SparkSession, folder: str) -> generate.Shop:
-    trade = trade_tables.read_trade(spark, folder)
-    sizes = {"customers": "customer", "products": "part", "orders": "orders", "order_items": "lineitem"}
-    return generate.Shop(rows={name: trade[table].count() for name, table in sizes.items()})
-
-
-@lru_cache(maxsize=4)
-def _made(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return generate.source_tables(spark, _shop(spark, folder))
-
-
-def _register_generated() -> None:
-    for name in generate.Shop().rows:
-        QUERIES[f"gen_{name}"] = lambda spark, folder, name=name: _made(spark, folder)[name]
-
-
-_register_generated()
-
-
-def _tally(*counted: tuple[DataFrame, str, Column]) -> DataFrame:
-    """Rows per value of a column, for several tables and columns."""
-    parts = [
-        table.groupBy(F.lit(label).alias("hint"), value.cast("string").alias("value")).agg(
-            F.count("*").alias("row_count")
-        )
-        for table, label, value in counted
-    ]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.union(part)
-    return result
-
-
-@query
-def gen_counts(spark: SparkSession, folder: str) -> DataFrame:
-    made = _made(spark, folder)
-    return _tally(*[(table, name, F.lit("rows")) for name, table in made.items()])
-
-
-@query
-def gen_deterministic(spark: SparkSession, folder: str) -> DataFrame:
-    """The same orders from ids in rising order and from ids dealt out by hash."""
-    shop = _shop(spark, folder)
-    keys = generate.ids(spark, shop.count("orders"))
-    return diff.row_diff(
-        generate.orders(shop, keys), generate.orders(shop, keys.repartition("id"))
-    )
-
-
-@query
-def gen_weights(spark: SparkSession, folder: str) -> DataFrame:
-    made = _made(spark, folder)
-    return _tally(
-        (made["customers"], "segment", F.col("segment")),
-        (made["products"], "roast", F.col("roast")),
-        (made["products"], "category", F.col("category")),
-        (made["orders"], "status", F.col("status")),
-        (made["orders"], "channel", F.col("channel")),
-    )
-
-
-@query
-def gen_rates(spark: SparkSession, folder: str) -> DataFrame:
-    made = _made(spark, folder)
-    return _tally(
-        (made["customers"], "phone is null", F.col("phone").isNull()),
-        (made["customers"], "is_marketing_opt_in", F.col("is_marketing_opt_in")),
-        (made["products"], "is_active", F.col("is_active")),
-        (made["orders"], "shipped_at is null", F.col("shipped_at").isNull()),
-        (made["orders"], "delivered_at is null", F.col("delivered_at").isNull()),
-    )
-
-
-@query
-def gen_uniform(spark: SparkSession, folder: str) -> DataFrame:
-    products = _made(spark, folder)["products"]
-    return _tally((products, "weight_grams", F.col("weight_grams")))
-
-
-@query
-def gen_lognormal(spark: SparkSession, folder: str) -> DataFrame:
-    made = _made(spark, folder)
-    return _tally(
-        (made["products"], "list price", F.col("unit_price_cents")),
-        (made["products"], "cost", F.col("cost_cents")),
-        (made["order_items"], "line price", F.col("unit_price_cents")),
-    )
-
-
-@query
-def gen_exponential(spark: SparkSession, folder: str) -> DataFrame:
-    lines = _made(spark, folder)["order_items"]
-    return _tally(
-        (lines, "quantity", F.col("quantity")), (lines, "discount", F.col("discount_cents"))
-    )
-
-
-@query
-def gen_fk(spark: SparkSession, folder: str) -> DataFrame:
-    """How many children each parent has, for the three skewed foreign keys."""
-    made = _made(spark, folder)
-    return _tally(
-        (made["orders"], "customer_id", F.col("customer_id")),
-        (made["order_items"], "order_id", F.col("order_id")),
-        (made["order_items"], "product_id", F.col("product_id")),
-    )
-
-
-@query
-def gen_after(spark: SparkSession, folder: str) -> DataFrame:
-    orders = _made(spark, folder)["orders"]
-    return _tally(
-        (orders, "shipped after ordered", F.col("shipped_at") > F.col("ordered_at")),
-        (orders, "delivered after shipped", F.col("delivered_at") > F.col("shipped_at")),
-    )
-
-
-@query
-def gen_unique(spark: SparkSession, folder: str) -> DataFrame:
-    """Values that occur once, or more often, in the columns declared unique."""
-    made = _made(spark, folder)
-    declared = [
-        (made["customers"], ["email"]),
-        (made["products"], ["sku"]),
-        (made["order_items"], ["id"]),
-        (made["order_items"], ["order_id", "product_id"]),
-    ]
-    return _tally(
-        *[
-            (table.groupBy(*columns).count(), ", ".join(columns), F.col("count") == 1)
-            for table, columns in declared
-        ]
-    )
-
-
-@query
-def gen_time(spark: SparkSession, folder: str) -> DataFrame:
-    orders = _made(spark, folder)["orders"]
-    ordered = F.col("ordered_at")
-    return _tally(
-        (orders, "month", F.date_format(ordered, "yyyy-MM")),
-        (orders, "weekday", F.weekday(ordered)),
-        (orders, "hour", F.hour(ordered)),
-    )
-
-
-@query
-def gen_text(spark: SparkSession, folder: str) -> DataFrame:
-    customers = _made(spark, folder)["customers"]
-    return _tally(
-        (customers, "first_name", F.col("first_name")),
-        (customers, "last_name", F.col("last_name")),
-        (customers, "city", F.col("city")),
-        (customers, "country", F.col("country")),
-    )

@@ -1,4 +1,9 @@
-"""Where each layer lives: ``<warehouse>/<database>/<table>``, one database per target and layer."""
+"""Where each layer lives: ``<warehouse>/<database>/<table>/<build>``, one database per target and layer.
+
+Every build writes folders of its own. A small table names the builds that were published, each after
+its checks had passed; readers open the last of them. So a build that fails, or is still being written or
+checked, is never read by a report.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +11,8 @@ import os
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 
 from shopmarts.plans.marts import Marts
 
@@ -51,29 +57,63 @@ class Layout:
     def path(self, model: str) -> str:
         return os.path.join(self.warehouse, self.database(MODEL_LAYERS[model]), model)
 
+    def stored(self, model: str, build: str) -> str:
+        return os.path.join(self.path(model), build)
+
+    @property
+    def published(self) -> str:
+        return os.path.join(self.warehouse, self.database("marts"), "_published")
+
     def exports(self) -> str:
         return os.path.join(self.warehouse, f"{TARGETS[self.target]}_report")
 
 
-def open_marts(spark: SparkSession, layout: Layout, verified: bool = False) -> Marts:
-    """The four stored marts. Fails before any report work when a mart has not been built.
+def publish(spark: SparkSession, layout: Layout, build: str) -> None:
+    """Make a checked build the one that readers open: one small record, written as a whole."""
+    last = _last_published(spark, layout)
+    row = [((last["step"] if last else 0) + 1, build)]
+    record = spark.createDataFrame(row, "step bigint, build string").coalesce(1)
+    record.write.mode("append").parquet(layout.published)
+
 
-    Pass ``verified`` only for a build whose checks have passed.
+def _last_published(spark: SparkSession, layout: Layout) -> Row | None:
+    try:
+        records = spark.read.schema("step bigint, build string").parquet(layout.published)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise  # an unreadable record must not pass for a missing one
+        return None
+    return records.orderBy(F.desc("step")).first()
+
+
+def open_marts(spark: SparkSession, layout: Layout, build: str | None = None) -> Marts:
+    """The four marts of the published build; with ``build``, of one that may not be checked yet.
+
+    Fails before any report work when there is none.
     """
+    last = None if build else _last_published(spark, layout)
+    chosen = build or (last and last["build"])
+
+    def missing(what: str) -> FileNotFoundError:
+        return FileNotFoundError(
+            f"no {what} in {layout.database('marts')} of {layout.warehouse}: "
+            f"build target {layout.target!r} before reporting on it"
+        )
+
+    if chosen is None:
+        raise missing("published build")
 
     def table(model: str) -> DataFrame:
         try:
-            return spark.read.parquet(layout.path(model))
+            return spark.read.parquet(layout.stored(model, chosen))
         except AnalysisException as error:
-            raise FileNotFoundError(
-                f"no {model} in {layout.database('marts')} of {layout.warehouse}: "
-                f"build target {layout.target!r} before reporting on it"
-            ) from error
+            raise missing(f"{model} of build {chosen}") from error
 
     return Marts(
         orders=table("fct_orders"),
         order_items=table("fct_order_items"),
         customers=table("dim_customers"),
         products=table("dim_products"),
-        order_key_holds=verified,
+        order_key_holds=last is not None,
+        build=chosen,
     )

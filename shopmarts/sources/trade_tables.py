@@ -69,6 +69,12 @@ def customers(trade: dict[str, DataFrame]) -> DataFrame:
     )
 
 
+def _within(key: Column, limit: int) -> Column:
+    """The key as text; an error where it would be cut."""
+    too_long = F.raise_error(F.concat(F.lit("no room for key "), key.cast("string")))
+    return F.when(key < limit, key.cast("string")).otherwise(too_long.cast("string"))
+
+
 def products(trade: dict[str, DataFrame]) -> DataFrame:
     key, size = F.col("p_partkey"), F.col("p_size")
     origins = F.array(*[F.lit(origin) for origin in COFFEE_ORIGINS])
@@ -80,7 +86,7 @@ def products(trade: dict[str, DataFrame]) -> DataFrame:
     roast = F.when(size % 7 < 3, "medium").when(size % 7 < 5, "light").otherwise("dark")
     return trade["part"].select(
         key.alias("id"),
-        F.lpad(key.cast("string"), 13, "0").alias("sku"),
+        F.lpad(_within(key, 10**13), 13, "0").alias("sku"),
         F.get(origins, (key % len(COFFEE_ORIGINS)).cast("int")).alias("origin"),
         roast.alias("roast"),
         F.element_at(categories, F.col("p_type")).alias("category"),

@@ -2,7 +2,8 @@
 
 Files come in any order and a backlog is split into several batches, so no row is judged by the
 mark: the newest version of a key stays, whichever batch brought it. A batch that is replayed after
-a failure carries the same load id and merges to the same rows.
+a failure finds its rows in the table and changes nothing; its load id is the same if the caller passes
+the same epoch.
 """
 
 from __future__ import annotations
@@ -28,7 +29,10 @@ def land_new_files(
     derive: Callable[[DataFrame], DataFrame] = lambda batch: batch,
     files_per_batch: int = 1_000,
 ) -> StreamingQuery:
-    """Load all files not seen by an earlier run, then stop. ``epoch`` is the load id's second."""
+    """Load all files not seen by an earlier run, then stop. ``epoch`` is the load id's second.
+
+    ``files_per_batch`` only says where a backlog is cut; all of it is loaded.
+    """
     table = RawTable(spark, raw_root, spec)
 
     def land(batch: DataFrame, number: int) -> None:

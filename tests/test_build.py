@@ -7,9 +7,13 @@ from shopmarts.plans.marts import Marts
 from shopmarts.plans.reports import REPORTS
 from shopmarts.schemas import CUSTOMERS, LOAD_ID, TABLES
 from shopmarts.sources import readers
-from shopmarts.sources.layout import EXPOSED_LAYERS, MODEL_LAYERS, Layout, open_marts
+from shopmarts.sources.layout import EXPOSED_LAYERS, MODEL_LAYERS, Layout, open_marts, publish
+from tests.conftest import LOAD
 from tests.test_checks import GOOD
 
+NOW = 60  # a minute after load "1.5"
+LANDED = int(float(LOAD))
+
 
 @pytest.fixture(scope="module")
 def built(spark, source, tmp_path_factory):
@@ -64,32 +68,50 @@ def test_reports_need_a_build_first(spark, built):
 
 def test_verify_passes_and_covers_everything(spark, built):
     layout, raw, _ = built
-    names = [row.check_name for row in verify(spark, raw, layout).collect()]
-    assert len(names) == len(set(names)) == 56 + 3 + 2 + 13
+    names = [r.check_name for r in verify(spark, raw, layout, built[2].build, NOW).collect()]
+    assert len(names) == len(set(names)) == 56 + 3 + 2 + 13 + 3
+    assert open_marts(spark, layout).build == built[2].build
 
 
 def test_verify_raises_on_broken_marts(spark, source, tmp_path):
     layout = Layout(str(tmp_path))
     broken = {**GOOD, "orders": [*GOOD["orders"], {"id": 13, "customer_id": 99}]}
+    good = source.raw(**GOOD)
+    former = build(spark, good, layout).build
+    verify(spark, good, layout, former, LANDED)
     raw = source.raw(**broken)
-    build(spark, raw, layout)
+    made = build(spark, raw, layout)
     with pytest.raises(ChecksFailed, match="relationships fct_orders.customer_id: 1"):
-        verify(spark, raw, layout)
+        verify(spark, raw, layout, made.build, LANDED)
+    readers_have = open_marts(spark, layout)
+    assert readers_have.build == former and readers_have.orders.count() == 3
+
+
+def test_a_stale_source_fails_the_run(spark, source, tmp_path):
+    layout = Layout(str(tmp_path))
+    raw = source.raw(**GOOD)
+    made = build(spark, raw, layout)
+    with pytest.raises(ChecksFailed, match="fresh orders: 1"):
+        verify(spark, raw, layout, made.build, LANDED + 80 * 3600)
+    with pytest.raises(FileNotFoundError, match="no published build"):
+        open_marts(spark, layout)
 
 
 def test_views_of_the_upstream_layers(spark, built):
     layout, raw, _ = built
-    build(spark, raw, layout)
+    made = build(spark, raw, layout)
     assert spark.table("stg_webshop__orders").count() == 3
     assert spark.table("int_orders__items_aggregated").count() == 2
-    assert set(models(spark, raw, layout)) == set(MODEL_LAYERS)
+    assert set(models(spark, raw, layout, made.build)) == set(MODEL_LAYERS)
 
 
 def test_export_is_refreshed(spark, source, tmp_path):
     layout = Layout(str(tmp_path))
-    build(spark, source.raw(**GOOD), layout)
-    export(spark, layout)
-    build(spark, source.raw(**{**GOOD, "orders": GOOD["orders"][:1]}), layout)
+    for orders in (GOOD["orders"], GOOD["orders"][:1]):
+        raw = source.raw(**{**GOOD, "orders": orders})
+        made = build(spark, raw, layout)
+        publish(spark, layout, made.build)
+        export(spark, layout)
     written = export(spark, layout)
     assert len(written) == 4 + 13
     assert spark.read.parquet(written["headline"]).first().order_count == 1

@@ -120,7 +120,7 @@ def test_lost_lines_and_lost_orders_fail(good):
     assert [row.check_name for row in failed] == ["dim_customers vs fct_orders (realised)"]
 
 
-def test_half_a_cent_is_tolerated(good):
+def test_a_whole_cent_is_not_tolerated(good):
     nudged = good.customers.withColumn(
         "lifetime_realised_net_revenue_eur",
         F.col("lifetime_realised_net_revenue_eur") + F.lit(Decimal("0.01")),

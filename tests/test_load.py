@@ -1,11 +1,14 @@
+import os
+import re
+import subprocess
+import sys
 from dataclasses import replace
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
-from shopmarts.operators.upsert import merge, newest_per_key
-from shopmarts.plans import load as loading
+from shopmarts.operators.upsert import merge, newest_per_key, unseen
 from shopmarts.plans.load import LoadError, RawTable, load_tables, loads_by_id, read_raw
 from shopmarts.schemas import ORDERS, TABLES
 from shopmarts.streaming.landing import land_new_files
@@ -165,9 +168,7 @@ def test_buckets_of_negative_and_wide_keys(spark, root):
     assert got == [-10, -1, 0, 0, 1, 5 * 10**6]
 
 
-@pytest.mark.parametrize("limit", [0, 10_000])
-def test_many_touched_buckets_take_the_semi_join(spark, root, source, monkeypatch, limit):
-    monkeypatch.setattr(loading, "MAX_BUCKET_LITERALS", limit)
+def test_touched_buckets_far_apart(spark, root, source):
     raw = orders(spark, root)
     raw.load(source.table("orders", *[{"id": i} for i in range(45)]), "1.5")
     changed = [{"id": i, "status": "paid", "updated_at": at("2027-01-01")} for i in (3, 33, 50)]
@@ -177,6 +178,78 @@ def test_many_touched_buckets_take_the_semi_join(spark, root, source, monkeypatc
     assert {i for i, status in landed.items() if status == "paid"} == {3, 33, 50}
 
 
+def test_a_batch_reads_no_other_bucket(spark, root, source):
+    """Neither to find rows that are new nor to merge."""
+    raw = orders(spark, root)
+    raw.load(source.table("orders", *[{"id": i} for i in range(45)]), "1.5")
+    state = raw.state()
+    batch = raw._land(source.table("orders", {"id": 21, "updated_at": at("2027-01-01")}), "2.5", state, True)
+    current = raw._touched(raw._open(raw.path, state.schema), batch, raw._measure(batch))
+    assert {row[0] for row in current.select("_bucket").collect()} == {2}
+    pruned = current._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^]]*_bucket#\d+L? >= 2", pruned)
+    plan = unseen_plan(raw, source, state)
+    assert "_marked" in plan and raw.path + "/_bucket" not in plan
+
+
+def unseen_plan(raw, source, state):
+    typed = source.table("orders", {"id": 1})
+    seen = unseen(typed, raw._on_mark(state, typed), "id", "updated_at")
+    return " ".join(seen.inputFiles())
+
+
+def test_the_swap_does_not_shuffle(spark, root, source, monkeypatch):
+    raw = orders(spark, root)
+    raw.load(source.table("orders", {"id": 1}), "1.5")
+    plans = []
+    original = RawTable._partitioned
+
+    def watched(self, rows, path, overwrite):
+        if overwrite == "dynamic":
+            plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return original(self, rows, path, overwrite)
+
+    monkeypatch.setattr(RawTable, "_partitioned", watched)
+    raw.load(source.table("orders", {"id": 2, "updated_at": at("2027-01-01")}), "2.5")
+    assert len(plans) == 1 and "Exchange" not in plans[0]
+
+
+def test_data_without_a_journal_are_not_replaced(spark, root, source):
+    frame = source.table("orders", *[{"id": i} for i in range(25)])
+    frame.write.parquet(orders(spark, root).path)
+    with pytest.raises(LoadError, match="restore the journal"):
+        orders(spark, root).load(source.table("orders", {"id": 1}), "2.5")
+    assert spark.read.parquet(orders(spark, root).path).count() == 25
+
+
+ZONES = """
+import sys
+from shopmarts import registry
+from shopmarts.session import local_session
+
+spark = local_session(2, shuffle_partitions=2, memory="2g")
+for name in ("load_merge", "load_rerun"):
+    rows = sorted(map(str, registry.QUERIES[name](spark, "/root/testdata/sf0.001").collect()))
+    print(name, len(rows), hash_of(rows))
+"""
+
+
+def test_loads_do_not_depend_on_the_systems_time_zone():
+    """In processes of their own: the zone is the operating system's, not the session's."""
+    script = "import hashlib\nhash_of = lambda x: hashlib.md5(repr(x).encode()).hexdigest()" + ZONES
+    found = set()
+    for zone in ("UTC", "America/New_York", "Asia/Tokyo"):
+        run = subprocess.run(
+            [sys.executable, "-c", script],
+            env=os.environ | {"TZ": zone, "PYTHONPATH": os.getcwd()},
+            capture_output=True,
+            text=True,
+            check=True,
+        )
+        found.add("\n".join(x for x in run.stdout.splitlines() if x.startswith("load_")))
+    assert len(found) == 1 and "load_rerun" in found.pop()
+
+
 @pytest.mark.parametrize("step", ["_write", "_record"])
 @pytest.mark.parametrize("call", [1, 2, 3])
 def test_a_crash_at_any_step_is_healed_by_the_next_load(

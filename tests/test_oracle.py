@@ -3,11 +3,12 @@
 import pytest
 
 import __spark_entry__ as entry
+from shopmarts.oracle import ORACLE
+from shopmarts.registry import QUERIES
 from shopmarts.session import tune
 from tests.compare import compare, duck
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -25,4 +26,4 @@ def test_the_flagship_query_runs(spark):
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, con, name):
-    assert compare(QUERIES[name](spark, FOLDER), con, ORACLE[name]) == []
+    assert compare(QUERIES[name](tune(spark), FOLDER), con, ORACLE[name]) == []
