@@ -8,8 +8,8 @@ No link is lost and no pair is compared without need:
    of the set; of a seventh for the shorter set of a pair).
 2. A *tile* holds the documents with one prefix shingle within one band of sizes. Linked sets differ
    in size by a third at most, so a set stands in its own band and, near the lower edge, as a guest
-   in the band below. Equal sets are one class with one representative; tiles of one document go,
-   and tiles of the same documents are one tile.
+   in the band below. Equal sets are one class with one representative. Classes and tiles meet as
+   packed arrays in ranges of tiles; tiles of one class go, and tiles of the same documents are one.
 3. Every document of a tile is compared with the tile's smallest document id first. That joins the
    groups of true copies with as many comparisons as members, and not with their square.
 4. Only tiles whose documents are still not connected are compared in full, in cells of bounded
@@ -38,6 +38,9 @@ from shopmarts.session import scratch_dir
 
 SHINGLE = 5
 TABLE_BITS = 18  # of the table of counts: 1 MB, whatever the input's size
+ENTRIES_HELD = 2_000_000  # of a task before it passes them on, about 32 MB
+RANGES_PER_PARTITION = 4
+BITMAP_BITS = 24  # 2 MB, whatever the number of candidates
 CELL_SHINGLES = 400_000  # of one side of a cell, about 3 MB
 
 
@@ -67,90 +70,190 @@ def _band(n: int) -> int:
     return (n.bit_length() - 1) // 2  # sizes 4^b to 4^(b+1) - 1
 
 
-def _counts(documents: DataFrame) -> np.ndarray:
-    """How many documents have a shingle of each hash bucket. Only sums of whole tables come to the
-    driver, eight at most."""
+SETS = pa.schema(
+    [(name, pa.int64()) for name in ("doc_id", "n", "class_a", "class_b")] + [("counts", pa.binary())]
+)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros(1 << TABLE_BITS, np.int64)
+
+def _sets(documents: DataFrame) -> DataFrame:
+    """Per document its set's size and 128-bit class; beside that a row per task with the number of
+    its documents that have a shingle of each hash bucket."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros(1 << TABLE_BITS, np.uint32)
         for batch in batches:
-            for shingles in shingle_sets(batch.column(0)):
-                buckets = (shingles >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
-                np.add.at(table, buckets, 1)
-        yield pa.record_batch([pa.array([table.tobytes()], pa.binary())], names=["counts"])
+            rows = []
+            for shingles in shingle_sets(batch.column(1)):
+                np.add.at(table, (shingles >> np.uint64(64 - TABLE_BITS)).astype(np.int64), 1)
+                rows.append((len(shingles), *_class(shingles)))
+            columns = list(zip(*rows, strict=True)) if rows else [[]] * 3
+            yield pa.record_batch(
+                [batch.column(0), *(pa.array(x, pa.int64()) for x in columns), pa.nulls(len(rows), pa.binary())],
+                schema=SETS,
+            )
+        none = [pa.nulls(1, pa.int64())] * 4
+        yield pa.record_batch([*none, pa.array([table.tobytes()], pa.binary())], schema=SETS)
+
+    return documents.mapInArrow(
+        run, "doc_id long, n long, class_a long, class_b long, counts binary"
+    )
+
+
+def _class(shingles: np.ndarray) -> tuple[int, int]:
+    mixed = _mixed(shingles + np.uint64(GOLDEN))
+    sums = (mixed.sum(dtype=np.uint64), (mixed * mixed).sum(dtype=np.uint64))
+    return tuple(int(x.view(np.int64)) for x in sums)
+
+
+def _counts(sets: DataFrame) -> np.ndarray:
+    """The tasks' tables added up. Eight partial sums of fixed size come to the driver."""
 
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros(1 << TABLE_BITS, np.int64)
         for batch in batches:
             for counts in batch.column(0):
-                table += np.frombuffer(counts.as_buffer(), np.int64)
+                table += np.frombuffer(counts.as_buffer(), np.uint32)
         yield pa.record_batch([pa.array([table.tobytes()], pa.binary())], names=["counts"])
 
-    parts = documents.select("text").mapInArrow(count, "counts binary")
+    parts = sets.where("counts IS NOT NULL").select("counts")
     sums = parts.repartition(8).mapInArrow(total, "counts binary")
-    return sum(np.frombuffer(row[0], np.int64) for row in sums.toLocalIterator())
+    zero = np.zeros(1 << TABLE_BITS, np.int64)
+    return sum((np.frombuffer(row[0], np.int64) for row in sums.toLocalIterator()), zero)
 
 
-def _looked_up(documents: DataFrame, counts: np.ndarray) -> DataFrame:
-    """Per document its set's size, 128-bit class, and the tiles it stands in.
+def _entries(documents: DataFrame, counts: np.ndarray, ranges: int) -> DataFrame:
+    """Which tiles each class of sets stands in, as packed arrays cut into ranges of tiles.
 
-    ``home`` are the tiles of its own band and ``guest`` those of the band below, for the same
-    shingles; the first ``early`` of them count when it is the shorter of a pair.
+    An entry is a tile's 62-bit hash with two flags, whether the set is at home in the tile's band (or
+    a guest from the band above) and whether it may be the shorter of a pair there; and the class. A
+    task lists a class once, however many copies it reads.
     """
     # Saturating at 2^20 keeps the count and 44 bits of the hash in one sort key.
     shared = documents.sparkSession.sparkContext.broadcast(
         np.minimum(counts, (1 << 20) - 1).astype(np.uint32)
     )
-    names = ["doc_id", "n", "class_a", "class_b", "early", "home", "guest"]
+    width = (1 << 64) // ranges + 1
+    bounds = np.array([r * width for r in range(1, ranges)], np.uint64)
+
+    def packed(tiles: list[np.ndarray], classes: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        joint, owner = np.concatenate(tiles), np.concatenate(classes)
+        order = np.argsort(joint)
+        joint, owner = joint[order], owner[order]
+        cuts = np.searchsorted(joint, bounds)
+        for r, (x, y) in enumerate(zip(np.split(joint, cuts), np.split(owner, cuts), strict=True)):
+            if len(x):
+                yield pa.record_batch(
+                    [pa.array([r], pa.int32()), pa.array([x.tobytes()]), pa.array([y.tobytes()])],
+                    names=["range", "tiles", "classes"],
+                )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
+        listed: set[tuple[int, int]] = set()
+        tiles: list[np.ndarray] = []
+        classes: list[np.ndarray] = []
+        held = 0
         for batch in batches:
-            rows: list[tuple] = []
-            for shingles in shingle_sets(batch.column(1)):
-                n = len(shingles)
-                mixed = _mixed(shingles + np.uint64(GOLDEN))
-                classes = (mixed.sum(dtype=np.uint64), (mixed * mixed).sum(dtype=np.uint64))
-                rare = table[(shingles >> np.uint64(64 - TABLE_BITS)).astype(np.int64)]
-                order = rare.astype(np.uint64) << np.uint64(44) | shingles >> np.uint64(20)
-                kept = shingles[np.argsort(order, kind="stable")[: _prefix(n) if n else 0]]
-                band = _band(n) if n else 0
-                crosses = n and (3 * n + 3) // 4 < 4**band
-                rows.append(
-                    (
-                        n,
-                        *(int(x.view(np.int64)) for x in classes),
-                        _early_prefix(n) if n else 0,
-                        _tiles(kept, band),
-                        _tiles(kept, band - 1) if crosses else kept[:0].view(np.int64),
-                    )
-                )
-            kinds = [pa.int64()] * 4 + [pa.list_(pa.int64())] * 2
-            columns = zip(*rows, strict=True) if rows else [[]] * len(kinds)
-            made = [pa.array(x, kind) for x, kind in zip(columns, kinds, strict=True)]
-            yield pa.record_batch([batch.column(0), *made], names=names)
+            for shingles in shingle_sets(batch.column(0)):
+                own = _class(shingles)
+                if not len(shingles) or own in listed:
+                    continue
+                listed.add(own)
+                tiles.append(_tiles(shingles, table))
+                classes.append(np.full(len(tiles[-1]), own[0], np.int64))
+                held += len(tiles[-1])
+                if held >= ENTRIES_HELD:
+                    yield from packed(tiles, classes)
+                    tiles, classes, held = [], [], 0
+        if tiles:
+            yield from packed(tiles, classes)
+
+    return documents.select("text").mapInArrow(run, "range int, tiles binary, classes binary")
+
+
+def _tiles(shingles: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The set's tiles with their flags: for its rarest shingles, in its own band and, near the lower
+    edge, in the band below."""
+    n = len(shingles)
+    rare = counts[(shingles >> np.uint64(64 - TABLE_BITS)).astype(np.int64)]
+    order = rare.astype(np.uint64) << np.uint64(44) | shingles >> np.uint64(20)
+    kept = shingles[np.argsort(order, kind="stable")[: _prefix(n)]]
+    band = _band(n)
+    home = _tile(kept, band) | np.uint64(2)
+    home[: _early_prefix(n)] |= np.uint64(1)
+    if (3 * n + 3) // 4 >= 4**band:
+        return home
+    return np.concatenate([home, _tile(kept, band - 1)])
+
+
+def _tile(shingles: np.ndarray, band: int) -> np.ndarray:
+    salt = np.uint64((band + 1) * GOLDEN & (1 << 64) - 1)
+    return _mixed(shingles ^ salt) & ~np.uint64(3)
 
-    return documents.mapInArrow(
-        run,
-        "doc_id long, n long, class_a long, class_b long, early long, "
-        "home array<long>, guest array<long>",
-    )
 
+def _standing(entries: DataFrame) -> DataFrame:
+    """``tile, class_a, home, early`` of the tiles that hold more than one class and a possibly
+    shorter one."""
 
-def _tiles(shingles: np.ndarray, band: int) -> np.ndarray:
-    salt = np.uint64((band + 1) * GOLDEN & (1 << 64) - 1)
-    return _mixed(shingles ^ salt).view(np.int64)
+    def run(rows: pa.Table) -> pa.Table:
+        tiles, classes = (
+            np.concatenate([np.frombuffer(x.as_buffer(), np.uint64) for x in rows.column(name)])
+            for name in ("tiles", "classes")
+        )
+        order = np.lexsort((classes, tiles))
+        tiles, classes = tiles[order], classes[order]
+        other = np.ones(len(tiles), bool)
+        other[1:] = (tiles[1:] != tiles[:-1]) | (classes[1:] != classes[:-1])
+        tiles, classes = tiles[other], classes[other]
+        key = tiles & ~np.uint64(3)
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        members = np.diff(np.append(first, len(key)))
+        early = np.logical_or.reduceat(tiles & np.uint64(1) > 0, first)
+        keep = np.repeat((members > 1) & early, members)
+        tiles, classes, key = tiles[keep], classes[keep], key[keep]
+        return pa.table(
+            {
+                "tile": key.view(np.int64),
+                "class_a": classes.view(np.int64),
+                "home": tiles & np.uint64(2) > 0,
+                "early": tiles & np.uint64(1) > 0,
+            }
+        )
 
+    return entries.groupBy("range").applyInArrow(
+        run, "tile long, class_a long, home boolean, early boolean"
+    )
+
+
+def _arrays(documents: DataFrame, needed: DataFrame) -> DataFrame:
+    """The sorted shingles of the needed documents, and of a few others whose ids share a bit of the
+    bitmap, which has a fixed size. The texts are not moved."""
+    spark = documents.sparkSession
+    bit = F.shiftrightunsigned(F.xxhash64("doc_id"), 64 - BITMAP_BITS).cast("int")
+    words = (
+        needed.select(bit.alias("bit"))
+        .groupBy(F.shiftright("bit", 6).alias("word"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, bit & 63)")).alias("bits"))
+    )
+    marked = np.zeros(1 << BITMAP_BITS - 6, np.int64)
+    for word, bits in words.toLocalIterator():
+        marked[word] = bits
+    shared = spark.sparkContext.broadcast(marked)
 
-def _arrays(documents: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.unpackbits(shared.value.view(np.uint8), bitorder="little").view(bool)
         for batch in batches:
-            sets = [x.view(np.int64) for x in shingle_sets(batch.column(1))]
+            some = batch.filter(pa.array(bits[batch.column(2).to_numpy()]))
+            sets = [x.view(np.int64) for x in shingle_sets(some.column(1))]
             yield pa.record_batch(
-                [batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["doc_id", "shingles"]
+                [some.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["doc_id", "shingles"]
             )
 
-    return documents.mapInArrow(run, "doc_id long, shingles array<long>")
+    return (
+        documents.where("doc_id IS NOT NULL")
+        .select("doc_id", "text", bit.alias("bit"))
+        .mapInArrow(run, "doc_id long, shingles array<long>")
+    )
 
 
 def overlap(a: np.ndarray, b: np.ndarray) -> int:
@@ -272,15 +375,16 @@ def near_duplicates(
     texts = documents.select(
         F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text")
     )
-    looked_up = written(_looked_up(texts, _counts(texts)), "looked_up")
+    sets = written(_sets(texts), "sets")
+    looked_up = sets.where("counts IS NULL").drop("counts")
     keyed = looked_up.where("n > 0 AND doc_id IS NOT NULL")
     classes = written(
-        keyed.groupBy("class_a", "class_b").agg(F.min("doc_id").alias("doc_id")), "classes"
+        keyed.groupBy("class_a", "class_b", "n").agg(F.min("doc_id").alias("doc_id")), "classes"
     )
-    members = _members(keyed.join(classes, ["doc_id", "class_a", "class_b"], "left_semi"))
-    members = written(members, "members")
-    needed = members.select("doc_id").distinct()
-    arrays = written(_arrays(texts.join(needed, "doc_id", "left_semi")), "arrays")
+    ranges = RANGES_PER_PARTITION * max(texts.rdd.getNumPartitions(), 1)
+    standing = _standing(_entries(texts.where("doc_id IS NOT NULL"), _counts(sets), ranges))
+    members = written(_members(standing.join(classes, "class_a")), "members")
+    arrays = written(_arrays(texts, members.select("doc_id").distinct()), "arrays")
 
     stars = members.where("doc_id <> first AND 3 * n <= 4 * first_n AND 3 * first_n <= 4 * n")
     stars = stars.select(F.col("first").alias("a"), F.col("doc_id").alias("b")).distinct()
@@ -312,43 +416,29 @@ def _same_id(keyed: DataFrame, classes: DataFrame) -> DataFrame:
     return named.select(F.col("doc_id").alias("a"), F.col("node").alias("b")).distinct()
 
 
-def _members(representatives: DataFrame) -> DataFrame:
-    """The documents of every tile that can hold a link, tiles of the same documents once.
+def _members(standing: DataFrame) -> DataFrame:
+    """The representatives in every tile that can hold a link, tiles of the same documents once.
 
     ``first`` is the tile's smallest document id and ``rows`` how many documents it has.
     """
-    roles = F.array(
-        F.struct(F.col("home").alias("tiles"), F.lit(True).alias("home")),
-        F.struct(F.col("guest").alias("tiles"), F.lit(False).alias("home")),
-    )
-    standing = (
-        representatives.select("doc_id", "n", "early", F.explode(roles).alias("role"))
-        .select("doc_id", "n", "early", "role.home", F.posexplode("role.tiles").alias("at", "tile"))
-        .select("tile", "doc_id", "n", "home", (F.col("home") & (F.col("at") < F.col("early"))).alias("early"))
-    )
     tile = Window.partitionBy("tile")
-    shared = (
-        standing.withColumns(
-            {
-                "rows": F.count("*").over(tile),
-                "any_early": F.max("early").over(tile),
-                "same": F.bit_xor(F.xxhash64("doc_id", "home")).over(tile),
-                "lead": F.min(F.struct("doc_id", "n")).over(tile),
-            }
-        )
-        .where("rows > 1 AND any_early")
-        .select(
-            F.col("same").alias("tile"),
-            "rows",
-            "doc_id",
-            "n",
-            "home",
-            "early",
-            F.col("lead.doc_id").alias("first"),
-            F.col("lead.n").alias("first_n"),
-        )
+    named = standing.withColumns(
+        {
+            "rows": F.count("*").over(tile),
+            "same": F.bit_xor(F.xxhash64("doc_id", "home")).over(tile),
+            "lead": F.min(F.struct("doc_id", "n")).over(tile),
+        }
+    ).select(
+        F.col("same").alias("tile"),
+        "rows",
+        "doc_id",
+        "n",
+        "home",
+        "early",
+        F.col("lead.doc_id").alias("first"),
+        F.col("lead.n").alias("first_n"),
     )
-    return shared.groupBy("tile", "rows", "doc_id", "n", "home", "first", "first_n").agg(
+    return named.groupBy("tile", "rows", "doc_id", "n", "home", "first", "first_n").agg(
         F.max("early").alias("early")
     )
 
