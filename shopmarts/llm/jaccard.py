@@ -37,7 +37,7 @@ from shopmarts.llm.words import GOLDEN, NOT_SPACE, _mixed, blocks, find_words, s
 from shopmarts.session import scratch_dir
 
 SHINGLE = 5
-TABLE_BITS = 18  # of the table of counts: 1 MB, whatever the input's size
+TABLE_BITS = 20  # of the table of counts: 4 MB, whatever the input's size
 ENTRIES_HELD = 2_000_000  # of a task before it passes them on, about 32 MB
 RANGES_PER_PARTITION = 4
 BITMAP_BITS = 24  # 2 MB, whatever the number of candidates
@@ -92,7 +92,9 @@ def _sets(documents: DataFrame) -> DataFrame:
                 schema=SETS,
             )
         none = [pa.nulls(1, pa.int64())] * 4
-        yield pa.record_batch([*none, pa.array([table.tobytes()], pa.binary())], schema=SETS)
+        # Counts only order the shingles; 255 documents of one task are many enough.
+        small = np.minimum(table, 255).astype(np.uint8)
+        yield pa.record_batch([*none, pa.array([small.tobytes()], pa.binary())], schema=SETS)
 
     return documents.mapInArrow(
         run, "doc_id long, n long, class_a long, class_b long, counts binary"
@@ -109,16 +111,16 @@ def _counts(sets: DataFrame) -> np.ndarray:
     """The tasks' tables added up. Eight partial sums of fixed size come to the driver."""
 
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros(1 << TABLE_BITS, np.int64)
+        table = np.zeros(1 << TABLE_BITS, np.uint32)
         for batch in batches:
             for counts in batch.column(0):
-                table += np.frombuffer(counts.as_buffer(), np.uint32)
+                table += np.frombuffer(counts.as_buffer(), np.uint8)
         yield pa.record_batch([pa.array([table.tobytes()], pa.binary())], names=["counts"])
 
     parts = sets.where("counts IS NOT NULL").select("counts")
     sums = parts.repartition(8).mapInArrow(total, "counts binary")
     zero = np.zeros(1 << TABLE_BITS, np.int64)
-    return sum((np.frombuffer(row[0], np.int64) for row in sums.toLocalIterator()), zero)
+    return sum((np.frombuffer(row[0], np.uint32) for row in sums.toLocalIterator()), zero)
 
 
 def _entries(documents: DataFrame, counts: np.ndarray, ranges: int) -> DataFrame:
@@ -337,6 +339,34 @@ def cell_links(
     return links
 
 
+def partnered(
+    size: np.ndarray, group: np.ndarray, early: np.ndarray, home: np.ndarray
+) -> np.ndarray:
+    """Which members of a tile have another one, not connected yet, whose size lets them link."""
+    order = np.lexsort((~(home & early), size))
+    size, group, shorter = size[order], group[order], (home & early)[order]
+    until = np.searchsorted(size, 4 * size // 3, "right")
+    keep = np.zeros(len(size), bool)
+    for i in np.flatnonzero(shorter):
+        others = slice(i + 1, until[i])
+        apart = group[others] != group[i]
+        keep[others] |= apart
+        keep[i] |= apart.any()
+    found = np.zeros(len(size), bool)
+    found[order] = keep
+    return found
+
+
+def _partnered(members: DataFrame) -> DataFrame:
+    def run(rows: pa.Table) -> pa.Table:
+        columns = (
+            rows.column(name).to_numpy() for name in ("n", "group", "early", "home")
+        )
+        return rows.filter(pa.array(partnered(*columns)))
+
+    return members.groupBy("tile").applyInArrow(run, members.schema)
+
+
 def _compared(members: DataFrame) -> DataFrame:
     """The full comparison of ``members(tile, cell_i, cell_j, block, doc_id, ...)``, cell by cell."""
 
@@ -447,18 +477,17 @@ def _rest(members: DataFrame, arrays: DataFrame, star_links: DataFrame) -> DataF
     """Links between documents that share a tile and are not connected through its first one."""
     labels = components(star_links)
     tile = Window.partitionBy("tile")
-    open_ = (
+    apart = (
         members.where("rows > 2")
         .join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
         .withColumn("group", F.coalesce("component", "doc_id"))
-        .withColumns(
-            {
-                "lowest": F.min("group").over(tile),
-                "highest": F.max("group").over(tile),
-                "weight": F.sum("n").over(tile),
-            }
-        )
+        .withColumns({"lowest": F.min("group").over(tile), "highest": F.max("group").over(tile)})
         .where("lowest <> highest")
+        .select("tile", "doc_id", "n", "group", "early", "home")
+    )
+    open_ = (
+        _partnered(apart)
+        .withColumn("weight", F.sum("n").over(tile))
         .withColumn("blocks", F.ceil(F.col("weight") / CELL_SHINGLES).cast("int"))
         .withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
     )
