@@ -1,0 +1,99 @@
+"""Pseudonyms keep their format, stay linked, can be undone, and leave everything else alone."""
+
+import datetime
+import random
+import re
+
+import pytest
+
+from shopmarts.llm import pii
+from tests.llm.conftest import ODD
+
+
+def luhn(digits):
+    own = [int(d) for d in digits][::-1]
+    return sum(d if i % 2 == 0 else sum(divmod(2 * d, 10)) for i, d in enumerate(own)) % 10
+
+
+def card(rng, size=16):
+    digits = "".join(rng.choices("0123456789", k=size - 1))
+    return digits + str((10 - luhn(digits + "0")) % 10)
+
+
+@pytest.fixture(scope="module")
+def replaced(spark, documents):
+    rng = random.Random(7)
+    cards = [card(rng, rng.choice([13, 15, 16, 19])) for _ in range(30)]
+    days = [datetime.date(1900, 1, 1) + datetime.timedelta(rng.randrange(70_000)) for _ in range(30)]
+    texts = [f"pay {c} now, {c[:4]} {c[4:8]}-{c[8:]}." for c in cards]
+    texts += [f"born {d.isoformat()}, {d:%d.%m.%Y}, {d:%d/%m/%Y}." for d in days]
+    texts += [f"host {'.'.join(str(rng.randrange(256)) for _ in range(4))}." for _ in range(20)]
+    texts += [f"call +1 ({rng.randrange(1000):03}) 555-{rng.randrange(10000):04}!" for _ in range(20)]
+    texts += [f"mail ab.{i}@mail{i}.example.com, token = \"{rng.randbytes(16).hex()}\"" for i in range(20)]
+    texts += ["GB82 WEST 1234 5698 7654 32 and GB82WEST12345698765432", "ssn 123-45-6789", *ODD]
+    docs = documents(*texts)
+    rows = pii.pseudonymised(docs, "key").orderBy("doc_id").collect()
+    return docs, texts, [r.text for r in rows], [r.pii_found for r in rows], cards, days
+
+
+def test_formats_are_kept(replaced):
+    _, texts, found, kinds, cards, days = replaced
+    shape = lambda text: re.sub("[a-z]", "a", re.sub("[A-Z]", "A", re.sub("[0-9]", "9", text)))
+    for i in range(30):
+        a, b = re.findall(r"[0-9][0-9 -]+[0-9]", found[i])
+        assert a != cards[i] and luhn(a) == 0 and re.sub("[ -]", "", b) == a  # linked
+        assert shape(found[i]) == shape(texts[i])
+    for i, day in enumerate(days, 30):
+        iso, dotted, slashed = re.findall(r"[0-9][0-9./-]+[0-9]", found[i])
+        other = datetime.date.fromisoformat(iso)
+        assert other != day and f"{other:%d.%m.%Y}" == dotted and f"{other:%d/%m/%Y}" == slashed
+    for i in range(60, 80):
+        octets = re.search(r"host (\d+)\.(\d+)\.(\d+)\.(\d+)\.$", found[i]).groups()
+        assert all(int(x) < 256 for x in octets) and found[i] != texts[i]
+    for i in range(80, 120):
+        assert shape(found[i])[:20] == shape(texts[i])[:20] and found[i] != texts[i]
+    assert [x.kind for x in kinds[100]] == ["mail", "key"]
+    first, second = re.findall(r"GB[0-9A-Z ]*[0-9]", found[120].replace("GB82 ", "GB82 "))
+    assert first.replace(" ", "") == second
+    turned = "".join(str(int(c, 36)) for c in second[4:] + second[:4])
+    assert int(turned) % 97 == 1 and "1234" not in second
+
+
+def test_who_has_the_key_can_undo_it(replaced):
+    docs, texts, found, *_ = replaced
+    again = pii.pseudonymised(pii.pseudonymised(docs, "key"), "key", undo=True).orderBy("doc_id")
+    assert [r.text for r in again.collect()] == texts
+    wrong = pii.pseudonymised(pii.pseudonymised(docs, "key"), "other", undo=True).orderBy("doc_id")
+    assert [r.text for r in wrong.collect()][:120] != texts[:120]
+    assert [r.text for r in pii.pseudonymised(docs, "other").orderBy("doc_id").collect()][:30] != found[:30]
+
+
+def test_what_is_no_personal_number_stays(documents):
+    texts = [
+        "4845168114407328 fails Luhn",
+        "300.1.1.1 and 1.2.3 and 1.2.3.4.5 and 01.2.3.4",
+        "2023-02-29 31.04.2020 2020-13-01 1700-01-01",
+        "000-12-3456 666-12-3456 900-12-3456 123-00-4567",
+        "GB83 WEST 1234 5698 7654 32",
+        "v2.0 costs 12 or 3.5, 1234567 pieces",
+        "a@b and @home and x@y.z",
+        "commit 24be64439e3e49cf46b2d7c90f3602a3d0b907ff",
+        *ODD,
+    ]
+    docs = documents(*texts)
+    rows = pii.pseudonymised(docs, "key").orderBy("doc_id")
+    assert rows.columns == [*docs.columns, "pii_found"]
+    assert [(r.text, len(r.pii_found)) for r in rows.collect()] == [(t, 0) for t in texts]
+    assert pii.pseudonymised(docs.limit(0), "key").count() == 0
+
+
+def test_a_permutation_takes_no_value_twice(documents, spark):
+    texts = [f"123-45-{i:04}" for i in range(1, 2000)] + ["123-45-0007"]
+    found = [r.text for r in pii.pseudonymised(documents(*texts), "key").orderBy("doc_id").collect()]
+    assert len(set(found)) == 1999 and found[-1] == found[6]
+    assert all(re.fullmatch(r"\d{3}-\d{2}-\d{4}", x) for x in found)
+
+
+def test_nothing_but_expressions_runs(documents):
+    plan = pii.pseudonymised(documents("a 1"), "key")._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow|Exchange", plan)

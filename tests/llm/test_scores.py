@@ -1,0 +1,201 @@
+"""Toxicity, language, language-model scores and packing."""
+
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import public_tokenizers
+import pytest
+
+from shopmarts.llm import langid, ngram_lm, packing, toxicity
+from shopmarts.llm.tokenizing import Encoder
+from tests.llm.conftest import ODD
+
+LABELS = "doc_id long, quality int, toxic int, text string, score double"
+
+
+def labels(spark, *pairs):
+    return spark.createDataFrame([(a, 1, b, "x", 0.0) for a, b in pairs], LABELS)
+
+
+def held(name):
+    return zlib.crc32(str(name).encode()) % 4 == 2
+
+
+def test_folding_undoes_disguises():
+    plain = toxicity.fold("an idiot here")
+    for text in ("an 1d10t here", "An IDIOT Here", "an іdіоt here", "an\nidiot...here", "an id10t_here"):
+        assert toxicity.fold(text).split() == plain.split()
+    assert toxicity.fold("$cum c@t 5$") == " scum cat s  " and toxicity.fold(None) == "  "
+
+
+def toxic_corpus(rng):
+    words = [f"plain{c}{d}" for c in "abcdefgh" for d in "stuvw"]
+    texts, marks = [], []
+    for i in range(600):
+        own = [rng.choice(words) for _ in range(rng.randint(5, 80))]
+        toxic = i % 5 == 0
+        for _ in range(1 + len(own) // 15 if toxic else 0):
+            own.insert(rng.randrange(len(own)), rng.choice(["moron", "scum", f"vilest{rng.choice('abcd')}"]))
+        if not toxic and i % 7 == 0:
+            own.insert(rng.randrange(len(own)), "pond scum")
+        texts.append(" ".join(own))
+        marks.append((i, int(toxic)))
+    return texts, marks
+
+
+def test_toxicity_is_learned_and_held_out(spark, documents):
+    texts, marks = toxic_corpus(random.Random(1))
+    texts += ODD + ["a M0R0N and a morоn", "pond scum again"]
+    docs = documents(*texts)
+    model = toxicity.train(docs, labels(spark, *marks, (1, None), (10**6, 1)))
+    assert any(p.startswith(" vilest") for p in model.weights) and " moron " in model.weights
+    assert any("pond scum" in phrase for phrase in model.exceptions)
+    found = {r.doc_id: r for r in toxicity.scored(docs, model).collect()}
+    assert len(found) == len(texts) and all(0 <= r.score <= 1 for r in found.values())
+    assert all(r.held_out == held(r.doc_id) for r in found.values())
+    wrong = [i for i, toxic in marks if held(i) and found[i].predicted != toxic]
+    assert len(wrong) <= 2
+    assert [found[600 + i].predicted for i in range(len(ODD) + 2)] == [0] * len(ODD) + [1, 0]
+    kept = toxicity.kept(docs, model)
+    assert kept.columns == docs.columns
+    assert kept.count() == sum(r.predicted == 0 for r in found.values())
+
+
+def test_held_out_labels_are_not_read(spark, documents):
+    texts, marks = toxic_corpus(random.Random(2))
+    docs = documents(*texts)
+    flipped = [(i, 1 - t if held(i) else t) for i, t in marks]
+    models = [toxicity.train(docs, labels(spark, *m)) for m in (marks, flipped)]
+    assert models[0] == models[1]
+
+
+def test_without_labels_all_score_alike(spark, documents):
+    docs = documents("a", "moron", None, (None, "x"))
+    for given in (labels(spark, (0, 0)), labels(spark, (0, 0)).limit(0)):
+        model = toxicity.train(docs, given)
+        rows = toxicity.scored(docs, model).collect()
+        assert len({r.score for r in rows}) == 1 and {r.predicted for r in rows} == {0}
+    assert toxicity.scored(docs.limit(0), model).count() == 0
+
+
+def test_languages_are_told_apart(spark):
+    from shopmarts.llm.shipping import shipped
+
+    docs = shipped(spark).read.parquet("/root/testdata/sf0.01/documents.parquet")
+    profiles = langid.train(docs)
+    rows = langid.identified(docs, profiles).join(docs.select("doc_id", "lang"), "doc_id").collect()
+    judged = [r.lang == r.lang_pred for r in rows if r.held_out and r.lang]
+    assert len(judged) > 150 and sum(judged) / len(judged) > 0.97
+    assert all(r.held_out == held(r.doc_id) and 0 <= r.score <= 1 for r in rows)
+
+
+def test_profiles_follow_the_definition(documents):
+    keys, counts = langid.grams("ab a!")
+    assert sorted(counts.tolist()) == sorted(
+        Counter(["a", "b", "a", " a", "ab", "b ", " a", "a ", " ab", "ab ", " a "]).values()
+    )
+    own = langid.ranked(keys, counts, 3)
+    assert len(own) == 3 and counts[list(keys).index(own[0])] == 2
+    listed = [(keys[:2], langid.np.array([1, 0]))]
+    far = langid.distances(keys[[1, 0, 3]], listed)
+    assert far.tolist() == [0 + 0 + langid.LISTED]
+
+
+def test_texts_without_letters_are_undetermined(documents):
+    langs = ["en", "fr", None, "en"] + ["en"] * len(ODD)
+    docs = documents("the cat sat", "le chat noir", "der hund", (None, "x y"), *ODD, langs=langs)
+    for profiles in (langid.train(docs), {}):
+        rows = langid.identified(docs, profiles).collect()
+        assert len(rows) == len(langs)
+        for row, text in zip(rows, ["a", "a", "a", "a", *ODD], strict=True):
+            none = not any(c.isalpha() for c in text or "") or not profiles
+            assert (row.lang_pred == "und") == none and (row.score == 0 or not none)
+    assert langid.identified(docs.limit(0), langid.train(docs.limit(0))).count() == 0
+
+
+def backoff_scores(texts, order, least, backoff=0.4):
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    docs = [re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(lower)) for t in texts]
+    counts = Counter(
+        tuple(w[i : i + n]) for w in docs for n in range(1, order + 1) for i in range(len(w) - n + 1)
+    )
+    total = sum(map(len, docs))
+
+    def score(gram):
+        if len(gram) == 1:
+            return math.log(counts[gram] / total)
+        enough = [counts[g] >= (least if len(g) > 1 else 1) for g in (gram, gram[:-1])]
+        if all(enough):
+            return math.log(counts[gram] / counts[gram[:-1]])
+        return math.log(backoff) + score(gram[1:])
+
+    return [
+        (len(w), sum(score(tuple(w[max(0, i - order + 1) : i + 1])) for i in range(len(w)))) for w in docs
+    ]
+
+
+@pytest.mark.parametrize("order,least", [(1, 1), (2, 2), (3, 2), (3, 1)])
+def test_scores_are_those_of_brute_force(documents, order, least):
+    rng = random.Random(order)
+    texts = [" ".join(rng.choices("the a cat Dog sat on é.".split(), k=rng.randint(0, 30))) for _ in range(40)]
+    texts += ODD + texts[:3]
+    docs = documents(*texts).repartition(3)
+    docs.write.mode("overwrite").parquet(path := f"/tmp/lm-{order}-{least}-{random.random()}")
+    again = docs.sparkSession.read.parquet(path)
+    found = {r.doc_id: r for r in ngram_lm.scored(again, order, least).collect()}
+    for i, (n, total) in enumerate(backoff_scores(texts, order, least)):
+        assert found[i].n_words == n and found[i].log_score == pytest.approx(total, abs=1e-9)
+        assert (found[i].mean_log_score is None) == (n == 0)
+    assert ngram_lm.scored(again.limit(0)).count() == 0
+
+
+def test_packing_covers_every_id_once(documents):
+    rng = random.Random(4)
+    texts = [" ".join(rng.choices(["alpha", "beta", "γ", "\n"], k=rng.choice([0, 1, 5, 50, 700, 3000]))) for _ in range(80)]
+    texts += ODD + [texts[5]]
+    docs = documents(*texts, (3, "an id again"), (None, "no id")).repartition(3)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    rows = packing.packed(docs, path, block_tokens=20_000).collect()
+    coder = Encoder(path)
+    ids = {i: coder.encode([t])[0] + b"\0\0\0\0" for i, t in enumerate(texts)}
+    for i in set(range(len(texts))) - {3}:
+        own = sorted((r for r in rows if r.doc_id == i), key=lambda r: r.start)
+        at = 0
+        for r in own:
+            assert r.start == at and r.length > 0 and r.doc_tokens == len(ids[i]) // 4
+            assert r.ids_crc32 == zlib.crc32(ids[i][4 * at : 4 * (at + r.length)])
+            at += r.length
+        assert at == len(ids[i]) // 4
+    sequences = {}
+    for r in rows:
+        sequences.setdefault(r.sequence_id, []).append(r)
+    for own in sequences.values():
+        at = 0
+        for r in sorted(own, key=lambda r: r.offset):
+            assert r.offset == at
+            at += r.length
+        assert at == own[0].sequence_length <= 1024 and at & (at - 1) == 0  # no padding
+    assert packing.packed(docs.limit(0), path).count() == 0
+
+
+def test_costs_are_balanced():
+    rng = random.Random(9)
+    cost = packing.Cost(quadratic=1 / 64)
+    lengths = [rng.randint(1, 400) for _ in range(2000)]
+    pieces, sequences = packing.pack(lengths, 1024, cost)
+    full = [c for n, c in sequences if n == 1024]
+    in_order, left = [0.0], 1024
+    for n in lengths:  # the same documents one after the other
+        while n:
+            if not left:
+                in_order.append(0.0)
+                left = 1024
+            take = min(n, left)
+            in_order[-1] += cost.of(take)
+            n, left = n - take, left - take
+    assert max(full) - min(full) < max(in_order[:-1]) - min(in_order[:-1])
+    assert sum(p[2] for p in pieces) == sum(lengths) == sum(n for n, _ in sequences)
+    assert packing.room_for(2500, 1024) == [1024, 1024, 256, 128, 64, 4] and packing.room_for(0, 1024) == []
