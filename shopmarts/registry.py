@@ -356,11 +356,18 @@ def _run(spark: SparkSession, folder: str, load_id: str = LANDED_BY) -> dict[str
     return export(spark, layout)
 
 
+# Where an application's run over a folder has exported what, so that the queries below share it.
+_EXPORTED: dict[tuple[str, str], dict[str, str]] = {}
+
+
 def _register_exports() -> None:
     """The reports and extracts as a run exports them: from stored, checked and published marts."""
 
     def exported(spark: SparkSession, folder: str, name: str) -> DataFrame:
-        return spark.read.parquet(_run(spark, folder)[name])
+        key = (spark.sparkContext.applicationId, folder)
+        if key not in _EXPORTED:
+            _EXPORTED[key] = _run(spark, folder)
+        return spark.read.parquet(_EXPORTED[key][name])
 
     for name in (*REPORTS, "fct_orders", "fct_order_items", "dim_customers", "dim_products"):
         QUERIES[f"exported_{name}"] = partial(exported, name=name)
