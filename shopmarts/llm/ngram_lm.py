@@ -37,9 +37,10 @@ from shopmarts.session import scratch_dir
 RANGES_PER_BLOCK = 4  # ranges of hashes for each block of the input
 ASKED = pa.schema(
     [("range", pa.int32()), ("block", pa.int32()), ("n", pa.int32())]
-    + [("hashes", pa.binary()), ("counts", pa.binary()), ("words", pa.int64())]
+    + [("hashes", pa.binary()), ("counts", pa.binary())]
 )
-ASKED_SQL = "range int, block int, n int, hashes binary, counts binary, words long"
+ASKED_SQL = "range int, block int, n int, hashes binary, counts binary"
+ANSWERS = ASKED.append(pa.field("words", pa.int64()))
 
 
 class ChangedInput(RuntimeError):
@@ -75,11 +76,9 @@ def _asked(documents: DataFrame, order: int, ranges: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId()
         pending: list[list[tuple]] = [[] for _ in range(order)]
-        words = 0
         for batch in batches:
             for _, texts in blocks(batch.column(1), 8 << 20):
-                counts, hashes, _ = _grams(texts, order)
-                words += int(counts.sum())
+                _, hashes, _ = _grams(texts, order)
                 for n, own in enumerate(hashes):
                     pending[n].append(np.unique(own, return_counts=True))
                     if len(pending[n]) == 8:  # keep what is held close to what is different
@@ -94,8 +93,6 @@ def _asked(documents: DataFrame, order: int, ranges: int) -> DataFrame:
                 zip(np.split(joint, cuts), np.split(counts, cuts), strict=True)
             ):
                 row = [r, block, n, own.tobytes(), times.astype(np.uint32).tobytes()]
-                # The block's number of words goes with one of its rows.
-                row.append(words if n == 1 and r == 0 else 0)
                 yield pa.record_batch(
                     [pa.array([x], kind) for x, kind in zip(row, ASKED.types, strict=True)],
                     schema=ASKED,
@@ -105,7 +102,8 @@ def _asked(documents: DataFrame, order: int, ranges: int) -> DataFrame:
 
 
 def _answers(asked: DataFrame, least: int) -> DataFrame:
-    """The totals of one range's n-grams, for each block those that it asked for."""
+    """The totals of one range's n-grams, for each block those that it asked for. ``words`` of one row
+    of each range is how many words the range's n-grams of one word stand for."""
 
     def run(rows: pa.Table) -> pa.Table:
         made = []
@@ -116,19 +114,23 @@ def _answers(asked: DataFrame, least: int) -> DataFrame:
                 np.frombuffer(x.as_buffer(), np.uint32).astype(np.int64) for x in own.column("counts")
             ]
             joint, totals = _merged(hashes, counts)
+            words = int(totals.sum()) if n == 1 else 0
             for block, wanted in zip(own.column("block").to_pylist(), hashes, strict=True):
                 total = totals[np.searchsorted(joint, wanted)]
                 keep = total >= (least if n > 1 else 1)
                 packed = (wanted[keep].tobytes(), total[keep].astype(np.uint64).tobytes())
-                made.append((rows.column("range")[0].as_py(), block, n, *packed, 0))
+                made.append((rows.column("range")[0].as_py(), block, n, *packed, words))
+                words = 0
         columns = zip(*made, strict=True)
-        return pa.table([pa.array(x, k) for x, k in zip(columns, ASKED.types, strict=True)], schema=ASKED)
+        kinds = ANSWERS.types
+        return pa.table([pa.array(x, k) for x, k in zip(columns, kinds, strict=True)], schema=ANSWERS)
 
-    return asked.groupBy("range").applyInArrow(run, ASKED_SQL)
+    return asked.groupBy("range").applyInArrow(run, ASKED_SQL + ", words long")
 
 
 def _stored(answers: DataFrame, folder: str) -> DataFrame:
-    """A file per block: for every n, ascending hashes and totals. Returns the names."""
+    """A file per block: for every n, ascending hashes and totals. Returns what the blocks' rows say of
+    the number of words."""
 
     def run(rows: pa.Table) -> pa.Table:
         rows = rows.sort_by([("n", "ascending"), ("range", "ascending")])
@@ -137,11 +139,15 @@ def _stored(answers: DataFrame, folder: str) -> DataFrame:
         for n in range(1, max(rows.column("n").to_pylist()) + 1):
             own = rows.filter(pa.compute.equal(rows.column("n"), n))
             hashes, totals = (b"".join(own.column(c).to_pylist()) for c in ("hashes", "counts"))
-            parts += [(len(hashes) // 8).to_bytes(8, "little"), hashes, totals]
+            totals = np.frombuffer(totals, np.uint64)
+            width = 4 if int(totals.max(initial=0)) < 1 << 32 else 8
+            head = (len(totals).to_bytes(8, "little"), width.to_bytes(8, "little"))
+            parts += [*head, hashes, totals.astype(f"<u{width}").tobytes()]
         put(f"{folder}/block-{block}.counts", b"".join(parts))
-        return pa.table({"block": pa.array([block], pa.int32())})
+        words = sum(rows.column("words").to_pylist())
+        return pa.table({"block": pa.array([block], pa.int32()), "words": pa.array([words])})
 
-    return answers.groupBy("block").applyInArrow(run, "block int")
+    return answers.groupBy("block").applyInArrow(run, "block int, words long")
 
 
 def _tables(uri: str, order: int) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -150,11 +156,10 @@ def _tables(uri: str, order: int) -> list[tuple[np.ndarray, np.ndarray]]:
         content = file.read()
     tables, at = [], 0
     for _ in range(order):
-        size = int.from_bytes(content[at : at + 8], "little")
-        hashes = np.frombuffer(content, np.uint64, size, at + 8)
-        totals = np.frombuffer(content, np.uint64, size, at + 8 + 8 * size).astype(np.int64)
-        tables.append((hashes, totals))
-        at += 8 + 16 * size
+        size, width = (int.from_bytes(content[i : i + 8], "little") for i in (at, at + 8))
+        hashes = np.frombuffer(content, np.uint64, size, at + 16)
+        tables.append((hashes, np.frombuffer(content, f"<u{width}", size, at + 16 + 8 * size)))
+        at += 16 + (8 + width) * size
     return tables
 
 
@@ -164,7 +169,7 @@ def _looked_up(table: tuple[np.ndarray, np.ndarray], wanted: np.ndarray) -> np.n
     if not len(hashes):
         return np.zeros(len(wanted), np.int64)
     at = np.minimum(np.searchsorted(hashes, wanted), len(hashes) - 1)
-    return np.where(hashes[at] == wanted, totals[at], 0)
+    return np.where(hashes[at] == wanted, totals[at], 0).astype(np.int64)
 
 
 def _logs(
@@ -210,12 +215,9 @@ def scored(
     texts = documents.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column))
     folder = scratch_dir(spark, "ngrams")
     ranges = RANGES_PER_BLOCK * max(texts.rdd.getNumPartitions(), 1)
-    asked_path = os.path.join(folder, "asked")
-    _asked(texts, order, ranges).write.parquet(asked_path)
-    asked = spark.read.parquet(asked_path)
-    all_words = asked.agg(F.sum("words")).first()[0] or 0
-    counts = os.path.join(folder, "counts")
-    _stored(_answers(asked, least), counts).write.parquet(os.path.join(folder, "blocks"))
+    counts, told = os.path.join(folder, "counts"), os.path.join(folder, "blocks")
+    _stored(_answers(_asked(texts, order, ranges), least), counts).write.parquet(told)
+    all_words = spark.read.parquet(told).agg(F.sum("words")).first()[0] or 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = None
