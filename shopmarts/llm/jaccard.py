@@ -12,10 +12,11 @@ No link is lost and no pair is compared without need:
    packed arrays in ranges of tiles; tiles of one class go, and tiles of the same documents are one.
 3. Every document of a tile is compared with the tile's smallest document id first. That joins the
    groups of true copies with as many comparisons as members, and not with their square.
-4. Only tiles whose documents are still not connected are compared in full, in cells of bounded
-   size. A pair that is already connected is skipped; then bitmaps of the shingles' hashes bound the
-   overlap from above by counting bits that only one side has; what passes is intersected exactly.
-   A cell returns the links that connect it, not all its links.
+4. Bitmaps of the shingles' hashes bound the overlap of a pair from above, by the bits that only one
+   side has; what passes is intersected exactly. Only these pairs meet their arrays.
+5. Tiles whose documents are still not connected are compared in full: small ones pair by pair, each
+   pair once for all its tiles; larger ones in cells of bounded size, where pairs that are connected
+   already are skipped, and which return the links that connect them, not all their links.
 
 Shingles are 64-bit hashes: two different shingles of one pair are taken for one with a probability
 of 2^-64 each. Classes are told apart by 128 bits.
@@ -41,6 +42,7 @@ TABLE_BITS = 20  # of the table of counts: 4 MB, whatever the input's size
 ENTRIES_HELD = 2_000_000  # of a task before it passes them on, about 32 MB
 RANGES_PER_PARTITION = 4
 BITMAP_BITS = 24  # 2 MB, whatever the number of candidates
+SMALL_TILE = 24  # members of a tile that is compared pair by pair
 CELL_SHINGLES = 400_000  # of one side of a cell, about 3 MB
 
 
@@ -247,17 +249,43 @@ def _arrays(documents: DataFrame, needed: DataFrame) -> DataFrame:
         for batch in batches:
             some = batch.filter(pa.array(bits[batch.column(2).to_numpy()]))
             sets = [x.view(np.int64) for x in shingle_sets(some.column(1))]
+            bitmaps = [signature(x.view(np.uint64)) for x in sets]
             yield pa.record_batch(
-                [some.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["doc_id", "shingles"]
+                [
+                    some.column(0),
+                    pa.array(sets, pa.list_(pa.int64())),
+                    pa.array(bitmaps, pa.binary()),
+                    pa.array([len(x) for x in sets], pa.int64()),
+                ],
+                names=["doc_id", "shingles", "bitmap", "n"],
             )
 
     return (
         documents.where("doc_id IS NOT NULL")
         .select("doc_id", "text", bit.alias("bit"))
-        .mapInArrow(run, "doc_id long, shingles array<long>")
+        .mapInArrow(run, "doc_id long, shingles array<long>, bitmap binary, n long")
     )
 
 
+def signature(shingles: np.ndarray) -> bytes:
+    """A bitmap of the shingles' hashes: 4 to 8 bits a shingle, a power of two in all."""
+    words = 1 << max((4 * max(len(shingles), 1) - 1).bit_length() - 6, 0)
+    return _bitmap(shingles, words).tobytes()
+
+
+def may_link(a: bytes, n_a: int, b: bytes, n_b: int) -> bool:
+    """False only for sets that cannot link: a bit that one side alone has stands for a shingle that
+    the other lacks. The longer bitmap is folded to the length of the other."""
+    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    words = min(len(x), len(y))
+    x = np.bitwise_or.reduce(x.reshape(-1, words))
+    y = np.bitwise_or.reduce(y.reshape(-1, words))
+    only_x = int(np.bitwise_count(x & ~y).sum())
+    only_y = int(np.bitwise_count(y & ~x).sum())
+    bound = min(n_a - only_x, n_b - only_y)
+    return 100 * bound >= 75 * (n_a + n_b - bound)
+
+
 def overlap(a: np.ndarray, b: np.ndarray) -> int:
     """How many values two ascending arrays without repeats share."""
     if len(a) > len(b):
@@ -276,6 +304,24 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
     return bool(n) and 100 * shared >= 75 * (n - shared)
 
 
+def _bounded(pairs: DataFrame, arrays: DataFrame) -> DataFrame:
+    """The pairs whose bitmaps leave room for a link. Bitmaps have a sixteenth of the arrays' bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [batch.column(i).to_pylist() for i in range(2, 6)]
+            keep = [may_link(*row) for row in zip(*columns, strict=True)]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    def side(name: str) -> DataFrame:
+        return arrays.select(
+            F.col("doc_id").alias(name), F.col("bitmap").alias(f"of_{name}"), F.col("n").alias(f"n_{name}")
+        )
+
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    return both.select("a", "b", "of_a", "n_a", "of_b", "n_b").mapInArrow(run, "a long, b long")
+
+
 def _verified(pairs: DataFrame, arrays: DataFrame) -> DataFrame:
     """The pairs that link."""
 
@@ -418,8 +464,13 @@ def near_duplicates(
 
     stars = members.where("doc_id <> first AND 3 * n <= 4 * first_n AND 3 * first_n <= 4 * n")
     stars = stars.select(F.col("first").alias("a"), F.col("doc_id").alias("b")).distinct()
-    star_links = written(_verified(stars, arrays), "star_links")
-    links = star_links.unionByName(written(_rest(members, arrays, star_links), "links"))
+    stars = written(stars, "stars")
+    star_links = written(_verified(written(_bounded(stars, arrays), "near_stars"), arrays), "star_links")
+    apart = written(_apart(members, star_links), "apart")
+    pairs = written(_bounded(_pairs(apart).join(stars, ["a", "b"], "left_anti"), arrays), "near_pairs")
+    pair_links = written(_verified(pairs, arrays), "pair_links")
+    cell_links = written(_compared(_cells(apart).join(arrays.select("doc_id", "shingles"), "doc_id")), "cells")
+    links = star_links.unionByName(pair_links).unionByName(cell_links)
     named = classes.select(
         F.col("doc_id").alias("node"), "class_a", "class_b"
     ).join(components(links.unionByName(_same_id(keyed, classes))), "node", "left")
@@ -473,8 +524,9 @@ def _members(standing: DataFrame) -> DataFrame:
     )
 
 
-def _rest(members: DataFrame, arrays: DataFrame, star_links: DataFrame) -> DataFrame:
-    """Links between documents that share a tile and are not connected through its first one."""
+def _apart(members: DataFrame, star_links: DataFrame) -> DataFrame:
+    """The members of tiles that are not connected through their first one, as far as their sizes let
+    them link. ``left`` is how many of a tile there are."""
     labels = components(star_links)
     tile = Window.partitionBy("tile")
     apart = (
@@ -485,14 +537,42 @@ def _rest(members: DataFrame, arrays: DataFrame, star_links: DataFrame) -> DataF
         .where("lowest <> highest")
         .select("tile", "doc_id", "n", "group", "early", "home")
     )
-    open_ = (
-        _partnered(apart)
+    return _partnered(apart).withColumn("left", F.count("*").over(tile))
+
+
+def _pairs(apart: DataFrame) -> DataFrame:
+    """The pairs of small tiles. Documents share many tiles with nearly the same members, so their
+    pairs are much fewer than the tiles' members; a tile gives a bounded number of them."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        ids = rows.column("doc_id").to_numpy()
+        size, group, early, home = (
+            rows.column(name).to_numpy() for name in ("n", "group", "early", "home")
+        )
+        pairs = [
+            (min(ids[i], ids[j]), max(ids[i], ids[j]))
+            for i in np.flatnonzero(home & early)
+            for j in range(len(ids))
+            if group[i] != group[j] and 3 * size[i] <= 3 * size[j] <= 4 * size[i]
+        ]
+        a, b = zip(*pairs, strict=True) if pairs else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    small = apart.where(F.col("left") <= SMALL_TILE)
+    return small.groupBy("tile").applyInArrow(run, "a long, b long").distinct()
+
+
+def _cells(apart: DataFrame) -> DataFrame:
+    """The larger tiles, cut into pairs of blocks of bounded size."""
+    tile = Window.partitionBy("tile")
+    blocked = (
+        apart.where(F.col("left") > SMALL_TILE)
         .withColumn("weight", F.sum("n").over(tile))
         .withColumn("blocks", F.ceil(F.col("weight") / CELL_SHINGLES).cast("int"))
         .withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
     )
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    cells = open_.select("*", other.alias("other")).select(
+    return blocked.select("*", other.alias("other")).select(
         "tile",
         F.least("block", "other").alias("cell_i"),
         F.greatest("block", "other").alias("cell_j"),
@@ -502,7 +582,6 @@ def _rest(members: DataFrame, arrays: DataFrame, star_links: DataFrame) -> DataF
         "early",
         "home",
     )
-    return _compared(cells.join(arrays, "doc_id"))
 
 
 def deduplicated(documents: DataFrame, **options: Callable) -> DataFrame:

@@ -107,9 +107,10 @@ def edited(rng, words, edits):
     return words
 
 
-@pytest.mark.parametrize("cell", [400_000, 900])
-def test_components_are_those_of_brute_force(spark, documents, monkeypatch, cell):
+@pytest.mark.parametrize("cell,small", [(400_000, 24), (400_000, 2), (900, 2)])
+def test_components_are_those_of_brute_force(spark, documents, monkeypatch, cell, small):
     monkeypatch.setattr(jaccard, "CELL_SHINGLES", cell)
+    monkeypatch.setattr(jaccard, "SMALL_TILE", small)
     rng = random.Random(5)
     licence = some_words(rng, 60, 10**6)
     texts = []
@@ -153,6 +154,18 @@ def test_a_tile_of_similar_documents_returns_a_forest():
     assert jaccard.cell_links(sets, np.zeros(60, int), np.full(60, -1), flags, flags) == []
 
 
+def test_bitmaps_never_rule_out_a_link():
+    rng = np.random.default_rng(2)
+    for n in (1, 3, 15, 16, 17, 60, 250):
+        for _ in range(50):
+            one = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+            other = np.unique(np.concatenate([one[: rng.integers(0, n + 1)], rng.integers(0, 1 << 63, rng.integers(0, n // 3 + 1), dtype=np.uint64)]))
+            if len(other) and jaccard.similar(one, other):
+                assert jaccard.may_link(jaccard.signature(one), len(one), jaccard.signature(other), len(other))
+    far = [np.unique(rng.integers(0, 1 << 63, 300, dtype=np.uint64)) for _ in range(2)]
+    assert not jaccard.may_link(*(x for s in far for x in (jaccard.signature(s), len(s))))
+
+
 def test_overlap_and_threshold():
     a, b = np.arange(0, 40, dtype=np.uint64), np.arange(10, 50, dtype=np.uint64)
     assert jaccard.overlap(a, b) == 30 and jaccard.overlap(a, a[:0]) == 0
