@@ -34,12 +34,13 @@ from shopmarts.llm.files import put
 from shopmarts.llm.words import NOT_SPACE, blocks, find_words, shingle_hashes
 from shopmarts.session import scratch_dir
 
+BUCKET_BITS = 10
 RANGES_PER_BLOCK = 4  # ranges of hashes for each block of the input
 ASKED = pa.schema(
-    [("range", pa.int32()), ("block", pa.int32()), ("n", pa.int32())]
-    + [("hashes", pa.binary()), ("counts", pa.binary())]
+    [("range", pa.int32()), ("block", pa.int32()), ("n", pa.int32()), ("hashes", pa.binary())]
+    + [("width", pa.int32()), ("counts", pa.binary())]
 )
-ASKED_SQL = "range int, block int, n int, hashes binary, counts binary"
+ASKED_SQL = "range int, block int, n int, hashes binary, width int, counts binary"
 ANSWERS = ASKED.append(pa.field("words", pa.int64()))
 
 
@@ -70,6 +71,34 @@ def _merged(hashes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndar
     return joint[first], np.add.reduceat(weights, first) if len(first) else weights
 
 
+def _packed(hashes: np.ndarray, low: int, width: int) -> bytes:
+    """Ascending hashes of a range: how many begin with each few bits, and the bytes of the rest."""
+    shift = max(width.bit_length() - BUCKET_BITS, 0)
+    offset = hashes - np.uint64(low)
+    filled = np.bincount((offset >> np.uint64(shift)).astype(np.int64), minlength=(1 << BUCKET_BITS) + 1)
+    rest = offset & np.uint64((1 << shift) - 1)
+    used = -(-shift // 8)
+    return filled.astype("<u4").tobytes() + rest.view(np.uint8).reshape(-1, 8)[:, :used].tobytes()
+
+
+def _unpacked(packed: pa.Buffer | bytes, low: int, width: int) -> np.ndarray:
+    shift = max(width.bit_length() - BUCKET_BITS, 0)
+    used = -(-shift // 8)
+    filled = np.frombuffer(packed, "<u4", (1 << BUCKET_BITS) + 1)
+    rest = np.frombuffer(packed, np.uint8, offset=filled.nbytes).reshape(-1, used)
+    wide = np.zeros((len(rest), 8), np.uint8)
+    wide[:, :used] = rest
+    first = np.repeat(np.arange(len(filled), dtype=np.uint64) << np.uint64(shift), filled)
+    return first + wide.reshape(-1).view(np.uint64) + np.uint64(low)
+
+
+def _narrow(totals: np.ndarray) -> tuple[int, bytes]:
+    """Numbers in as few bytes as the largest needs."""
+    largest = int(totals.max(initial=0))
+    width = next(w for w in (1, 2, 4, 8) if largest < 1 << 8 * w)
+    return width, totals.astype(f"<u{width}").tobytes()
+
+
 def _asked(documents: DataFrame, order: int, ranges: int) -> DataFrame:
     """What each block asks for: its n-grams and their counts in it, by range of hashes."""
 
@@ -92,7 +121,7 @@ def _asked(documents: DataFrame, order: int, ranges: int) -> DataFrame:
             for r, (own, times) in enumerate(
                 zip(np.split(joint, cuts), np.split(counts, cuts), strict=True)
             ):
-                row = [r, block, n, own.tobytes(), times.astype(np.uint32).tobytes()]
+                row = [r, block, n, _packed(own, r * width, width), *_narrow(times)]
                 yield pa.record_batch(
                     [pa.array([x], kind) for x, kind in zip(row, ASKED.types, strict=True)],
                     schema=ASKED,
@@ -101,25 +130,27 @@ def _asked(documents: DataFrame, order: int, ranges: int) -> DataFrame:
     return documents.mapInArrow(run, ASKED_SQL)
 
 
-def _answers(asked: DataFrame, least: int) -> DataFrame:
+def _answers(asked: DataFrame, least: int, ranges: int) -> DataFrame:
     """The totals of one range's n-grams, for each block those that it asked for. ``words`` of one row
     of each range is how many words the range's n-grams of one word stand for."""
 
     def run(rows: pa.Table) -> pa.Table:
         made = []
+        r, width = rows.column("range")[0].as_py(), (1 << 64) // ranges + 1
         for n in set(rows.column("n").to_pylist()):
             own = rows.filter(pa.compute.equal(rows.column("n"), n))
-            hashes = [np.frombuffer(x.as_buffer(), np.uint64) for x in own.column("hashes")]
+            hashes = [_unpacked(x.as_buffer(), r * width, width) for x in own.column("hashes")]
             counts = [
-                np.frombuffer(x.as_buffer(), np.uint32).astype(np.int64) for x in own.column("counts")
+                np.frombuffer(x.as_buffer(), f"<u{w.as_py()}").astype(np.int64)
+                for x, w in zip(own.column("counts"), own.column("width"), strict=True)
             ]
             joint, totals = _merged(hashes, counts)
             words = int(totals.sum()) if n == 1 else 0
             for block, wanted in zip(own.column("block").to_pylist(), hashes, strict=True):
                 total = totals[np.searchsorted(joint, wanted)]
                 keep = total >= (least if n > 1 else 1)
-                packed = (wanted[keep].tobytes(), total[keep].astype(np.uint64).tobytes())
-                made.append((rows.column("range")[0].as_py(), block, n, *packed, words))
+                packed = (_packed(wanted[keep], r * width, width), *_narrow(total[keep]))
+                made.append((r, block, n, *packed, words))
                 words = 0
         columns = zip(*made, strict=True)
         kinds = ANSWERS.types
@@ -129,38 +160,38 @@ def _answers(asked: DataFrame, least: int) -> DataFrame:
 
 
 def _stored(answers: DataFrame, folder: str) -> DataFrame:
-    """A file per block: for every n, ascending hashes and totals. Returns what the blocks' rows say of
-    the number of words."""
+    """An Arrow file per block with its answers. Returns what the blocks' rows say of the number of
+    words."""
 
     def run(rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by([("n", "ascending"), ("range", "ascending")])
         block = rows.column("block")[0].as_py()
-        parts = []
-        for n in range(1, max(rows.column("n").to_pylist()) + 1):
-            own = rows.filter(pa.compute.equal(rows.column("n"), n))
-            hashes, totals = (b"".join(own.column(c).to_pylist()) for c in ("hashes", "counts"))
-            totals = np.frombuffer(totals, np.uint64)
-            width = 4 if int(totals.max(initial=0)) < 1 << 32 else 8
-            head = (len(totals).to_bytes(8, "little"), width.to_bytes(8, "little"))
-            parts += [*head, hashes, totals.astype(f"<u{width}").tobytes()]
-        put(f"{folder}/block-{block}.counts", b"".join(parts))
+        with pa.BufferOutputStream() as out:
+            stored = rows.select(["range", "n", "hashes", "width", "counts"]).combine_chunks()
+            with pa.ipc.new_file(out, stored.schema) as file:
+                file.write_table(stored)
+            put(f"{folder}/block-{block}.arrow", out.getvalue().to_pybytes())
         words = sum(rows.column("words").to_pylist())
         return pa.table({"block": pa.array([block], pa.int32()), "words": pa.array([words])})
 
     return answers.groupBy("block").applyInArrow(run, "block int, words long")
 
 
-def _tables(uri: str, order: int) -> list[tuple[np.ndarray, np.ndarray]]:
+def _tables(uri: str, order: int, ranges: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Per n ascending hashes and their totals."""
     system, path = fs.FileSystem.from_uri(uri)
-    with system.open_input_stream(path) as file:
-        content = file.read()
-    tables, at = [], 0
-    for _ in range(order):
-        size, width = (int.from_bytes(content[i : i + 8], "little") for i in (at, at + 8))
-        hashes = np.frombuffer(content, np.uint64, size, at + 16)
-        tables.append((hashes, np.frombuffer(content, f"<u{width}", size, at + 16 + 8 * size)))
-        at += 16 + (8 + width) * size
-    return tables
+    with system.open_input_file(path) as file:
+        stored = pa.ipc.open_file(file).read_all().sort_by([("n", "ascending"), ("range", "ascending")])
+    width = (1 << 64) // ranges + 1
+    tables: list[list[list[np.ndarray]]] = [[[], []] for _ in range(order)]
+    for r, n, hashes, used, counts in zip(*stored.columns, strict=True):
+        table = tables[n.as_py() - 1]
+        table[0].append(_unpacked(hashes.as_buffer(), r.as_py() * width, width))
+        table[1].append(np.frombuffer(counts.as_buffer(), f"<u{used.as_py()}"))
+    none = np.zeros(0, np.uint64)
+    return [
+        (np.concatenate([none, *hashes]), np.concatenate([none[:0].astype(np.uint8), *totals]))
+        for hashes, totals in tables
+    ]
 
 
 def _looked_up(table: tuple[np.ndarray, np.ndarray], wanted: np.ndarray) -> np.ndarray:
@@ -216,7 +247,7 @@ def scored(
     folder = scratch_dir(spark, "ngrams")
     ranges = RANGES_PER_BLOCK * max(texts.rdd.getNumPartitions(), 1)
     counts, told = os.path.join(folder, "counts"), os.path.join(folder, "blocks")
-    _stored(_answers(_asked(texts, order, ranges), least), counts).write.parquet(told)
+    _stored(_answers(_asked(texts, order, ranges), least, ranges), counts).write.parquet(told)
     all_words = spark.read.parquet(told).agg(F.sum("words")).first()[0] or 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -224,7 +255,8 @@ def scored(
         for batch in batches:
             for at, part in blocks(batch.column(1), 8 << 20):
                 if tables is None:
-                    tables = _tables(f"{counts}/block-{TaskContext.get().partitionId()}.counts", order)
+                    block = TaskContext.get().partitionId()
+                    tables = _tables(f"{counts}/block-{block}.arrow", order, ranges)
                 words, hashes, ends = _grams(part, order)
                 logs = np.append(_logs(tables, hashes, ends, all_words, backoff), 0.0)
                 first = np.cumsum(words) - words
