@@ -26,10 +26,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from shopmarts.llm.sampling import bounded_sample
 from shopmarts.session import scratch_dir
 
 BRANCHES = 8
-SAMPLE_ROWS = 50_000  # of the vectors with the smallest hashes of their ids
+SAMPLE_ROWS = 50_000  # at most, of the vectors with small hashes of their ids
 LEAF_SAMPLE = 300  # sampled vectors in a leaf at most, but for equal ones
 CALIBRATION_QUERIES = 200
 RECALL = 0.95  # wanted on the calibration queries; 0.9 is promised
@@ -228,9 +229,9 @@ def build(
     points = usable(vectors, id_column, vector_column, dimensions)
     norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x))
     radius = points.agg(F.max(norm)).first()[0] or 0.0
-    by_hash = [F.xxhash64("vec_id"), "vec_id"]
-    sample = points.orderBy(*by_hash).limit(SAMPLE_ROWS).select("vector").toArrow().column(0)
-    tree = fit(_matrix(sample.combine_chunks()), radius * (1 + 1e-9))
+    sample = bounded_sample(points, "vec_id", SAMPLE_ROWS).toPandas().sort_values("vec_id")
+    rows = np.array(sample["vector"].tolist(), np.float64).reshape(len(sample), dimensions)
+    tree = fit(rows, radius * (1 + 1e-9))
     shared = spark.sparkContext.broadcast(tree)  # bounded by the sample
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -245,10 +246,9 @@ def build(
 
     asked = [
         (row[0], row[1])
-        for row in usable(queries, id_column, vector_column, dimensions)
-        .orderBy(*by_hash)
-        .limit(CALIBRATION_QUERIES)
-        .collect()
+        for row in bounded_sample(
+            usable(queries, id_column, vector_column, dimensions), "vec_id", CALIBRATION_QUERIES
+        ).collect()
     ]
     if not asked:
         return Index(tree, indexed, dimensions, 1, 1.0)

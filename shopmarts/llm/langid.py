@@ -5,7 +5,7 @@ between blanks. A document has such a list of its own. Its distance to a languag
 its n-grams, of how far each is out of place in the language's list; an n-gram that the language does
 not list counts as the whole list's length. The nearest language is the prediction.
 
-Profiles are trained on at most ``rows`` documents of each language, those with the smallest hashes of
+Profiles are trained on about ``rows`` documents of each language at most, those with small hashes of
 their ids, outside the held-out fold.
 """
 
@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shopmarts.llm.sampling import bounded_sample_by
+
 TRAINING_ROWS = 2_000
 LISTED = 400
 ORDERS = (1, 2, 3)
@@ -73,14 +75,11 @@ Profiles = dict[str, np.ndarray]
 
 def train(documents: DataFrame, rows: int = TRAINING_ROWS, listed: int = LISTED) -> Profiles:
     """A profile for each language of the labelled documents outside the held-out fold."""
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = (
-        documents.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id"))
-        .select("doc_id", "lang", F.row_number().over(by_hash).alias("place"))
-        .where(F.col("place") <= rows)
-        .select("doc_id", "lang")
+    labelled = documents.where(
+        F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id")
     )
-    sample = documents.select("doc_id", "text").join(chosen, "doc_id")
+    chosen = bounded_sample_by(labelled.select("doc_id", "lang"), "lang", "doc_id", rows)
+    sample = documents.select("doc_id", "text").join(chosen.distinct(), "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

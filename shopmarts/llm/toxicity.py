@@ -9,7 +9,7 @@ and its neighbour that clean documents use and toxic ones do not is an exception
 word's weight back. A document's weights are summed, divided by its length, and a logistic
 function of sum and rate, fitted on the same labelled documents, gives the score.
 
-Training reads at most ``rows`` labelled documents, those with the smallest hashes of their ids; the
+Training reads at most ``rows`` labelled documents, those with small hashes of their ids; the
 lexicon has at most ``entries`` entries.
 """
 
@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shopmarts.llm.sampling import bounded_sample
+
 TRAINING_ROWS = 20_000
 ENTRIES = 1_000
 PREFIX_LETTERS = (3, 12)  # bytes of UTF-8
@@ -112,11 +114,10 @@ def _sample(documents: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
         labels.where(F.col("toxic").isNotNull() & ~held_out("doc_id"))
         .groupBy("doc_id")
         .agg(F.max("toxic").alias("toxic"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(rows)
     )
-    # At most ``rows`` pairs of numbers.
-    return documents.select("doc_id", "text").join(F.broadcast(labelled), "doc_id")
+    # At most ``rows`` pairs of numbers are broadcast.
+    some = bounded_sample(labelled, "doc_id", rows)
+    return documents.select("doc_id", "text").join(F.broadcast(some), "doc_id")
 
 
 def _frequencies(sample: DataFrame) -> DataFrame:

@@ -25,10 +25,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopmarts.llm.files import put
+from shopmarts.llm.sampling import bounded_sample
 
 LEAST_REVISIT = 1_000
-SAMPLE_PAGES = 500  # for the dictionary, those with the smallest hashes of their ids
-SAMPLE_BYTES = 16_384  # of each
+SAMPLE_PAGES = 500  # for the dictionary at most, of those with small hashes of their ids
+SAMPLE_CHARS = 4_096  # of each
 DICTIONARY_BYTES = 64 << 10
 FILE_BYTES = 32 << 20
 
@@ -190,14 +191,9 @@ def archive_records(content: bytes) -> Iterator[Record]:
 
 def trained_dictionary(pages: DataFrame) -> bytes:
     """A dictionary from the beginnings of a bounded sample of pages; empty if they are too few."""
-    sample = (
-        pages.where(F.length("html") > 0)
-        .select("page_id", F.substring("html", 1, SAMPLE_BYTES // 4).alias("html"))
-        .orderBy(F.xxhash64("page_id"), "html")
-        .limit(SAMPLE_PAGES)
-        .collect()
-    )
-    texts = [row["html"].encode() for row in sample]
+    some = pages.where("html <> ''").select("page_id", F.substring("html", 1, SAMPLE_CHARS).alias("html"))
+    sample = bounded_sample(some, "page_id", SAMPLE_PAGES).collect()
+    texts = sorted(row["html"].encode() for row in sample)
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, texts).as_bytes()
     except (zstandard.ZstdError, ValueError):
