@@ -23,7 +23,7 @@ from tokenizers import Tokenizer  # noqa: E402
 # such a pair stays in one piece.
 TOUCHING = re.compile(r"\s\s")
 LONE_SPACE = re.compile(r"(?<=\S)(?= \S)")
-KEPT_PIECES = 1_800_000  # of a worker's dictionary, about 350 MB
+KEPT_PIECES = 800_000  # of a worker's dictionary, about 160 MB
 KEPT_LENGTH = 48  # longer pieces are encoded each time
 # A word of Latin letters with punctuation, perhaps the next line's first one too. Apostrophes are
 # left out, as both vocabularies treat some of them with the letters after them, and so is U+0130,
