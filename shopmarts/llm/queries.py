@@ -38,8 +38,8 @@ def op2_kmeans_tree(spark: SparkSession, folder: str) -> DataFrame:
 
 def op3_repair_ids(spark: SparkSession, folder: str) -> DataFrame:
     files = scratch_dir(spark, "repair")
-    vocabulary = vocabulary("word_bpe_49k.json")
-    manifest = repair.write_shards(table(spark, folder, "documents"), files, vocabulary)
+    path = vocabulary("word_bpe_49k.json")
+    manifest = repair.write_shards(table(spark, folder, "documents"), files, path)
     return repair.stored_documents(spark, files, manifest)
 
 
@@ -78,8 +78,8 @@ def op9_stupid_backoff(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_cost_balanced_packing(spark: SparkSession, folder: str) -> DataFrame:
-    vocabulary = vocabulary("byte_bpe_50k.json")
-    return packing.packed(table(spark, folder, "documents"), vocabulary)
+    path = vocabulary("byte_bpe_50k.json")
+    return packing.packed(table(spark, folder, "documents"), path)
 
 
 QUERIES: dict[str, Query] = {
