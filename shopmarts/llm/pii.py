@@ -8,6 +8,11 @@ turns. So a pseudonym has the format of its value and passes the same test (chec
 anew), equal values stay equal in all documents, also when they are written with other separators, and
 different values of one format stay different. Who has the key can undo it.
 
+Values are found in whole runs of numbers: at each word the longest number that begins there and passes
+its test is taken (of IBANs first the one of its country's length), and the search goes on behind it.
+Where other numbers touch a value, they can pass the test together with it by chance, before or after;
+then undoing may take other borders than were replaced.
+
 Everything happens in one projection per document: the text is cut at the matches and joined again
 with the pseudonyms in their places. Nothing is shuffled, and texts without a digit or "@" are only
 tested for one.
@@ -46,8 +51,37 @@ PHONE = (
     r"|(?<![0-9+])\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9])"
     r"|(?<![0-9-])[0-9]{3}-[0-9]{3}-[0-9]{4}(?![0-9-])"
 )
-CARD = r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])"
-PATTERN = "|".join((MAIL, KEY, IBAN, IPV4, DATE, SSN, PHONE, CARD))
+# Card numbers, IBANs and international telephone numbers are found in whole runs of words, so that a
+# number beside a value neither hides it nor is cut in two. Possessive loops need no stack.
+NO_MAIL = r"(?![A-Za-z0-9._%+-]{1,64}@)"
+MORE = rf"(?:[ ./-]{NO_MAIL}[0-9]++)*+"
+IBAN_RUN = (
+    r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?= ?[A-Z0-9]{4} ?[A-Z0-9]{4})[A-Z0-9]*+"
+    rf"(?:[ ./-]{NO_MAIL}[A-Z0-9]++)*+"
+)
+CARD_RUN = rf"(?<![0-9])(?![0-9]{{20}})(?=[0-9](?:[ -]?[0-9]){{12}})[0-9]++{MORE}"
+PATTERN = "|".join((MAIL, KEY, IBAN_RUN, IPV4, DATE, SSN, rf"(?:{PHONE}){MORE}", CARD_RUN))
+# What may stand in a run, tried in this order at the beginning of each word.
+IBAN_SHAPES = [
+    rf"[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{fours}}}{f' ?[A-Z0-9]{{{rest}}}' if rest else ''}(?![A-Za-z0-9])"
+    for fours in range(7, 1, -1)
+    for rest in (3, 2, 1, 0)
+]
+SHAPES = [
+    ("ipv4", IPV4),
+    ("date", DATE),
+    ("ssn", SSN),
+    ("phone", PHONE),
+    *[("phone", PHONE.replace("){2,4}(?![0-9])", f"){{2,{most}}}(?![0-9])")) for most in (3, 2)],
+    *[("card", rf"[0-9](?:[ -]?[0-9]){{{digits - 1}}}(?![0-9])") for digits in range(19, 12, -1)],
+]
+LONGEST = 60  # characters of a value in a run
+IBAN_LENGTHS = (
+    "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DK18 DO28 EE20 EG29 "
+    "ES24 FI18 FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 "
+    "LB28 LC32 LI21 LT20 LU20 LV21 LY25 MC27 MD24 ME22 MK19 MR27 MT31 MU30 NL18 NO15 PK24 PL28 PS29 PT25 "
+    "QA29 RO24 RS22 SA24 SC31 SE24 SI19 SK24 SM27 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20"
+).split()
 
 FIRST_DAY = "1800-01-01"
 DAYS = (189, 773)  # 400 years of the calendar have 189 * 773 days
@@ -310,10 +344,10 @@ def _kind(m: Column) -> Column:
         F.when(m.contains("@"), "mail")
         .when(m.rlike("^[0-9a-fA-F]{24,}$"), "key")
         .when(m.rlike("^[A-Z]"), "iban")
-        .when(m.rlike(r"^[0-9]+(\.[0-9]+){3}$"), "ipv4")
+        .when(m.rlike(r"^[0-9]{1,3}(\.[0-9]{1,3}){3}$"), "ipv4")
         .when(m.rlike(f"^(?:{'|'.join(DATES)})$"), "date")
         .when(m.rlike("^[0-9]{3}-[0-9]{2}-[0-9]{4}$"), "ssn")
-        .when(m.rlike(r"^[+(]|^[0-9]{3}-[0-9]{3}-[0-9]{4}$"), "phone")
+        .when(m.rlike(r"^[+(]|^[0-9]{3}-[0-9]{3}-[0-9]{4}(?![0-9-])"), "phone")
         .otherwise("card")
     )
 
@@ -338,18 +372,82 @@ def _pseudonym(m: Column, kind: Column, permute: Permutation) -> Column:
     return found
 
 
+def _part(value: Column, kind: Column, pseudonym: Column) -> Column:
+    return F.struct(value.alias("value"), kind.alias("kind"), pseudonym.alias("pseudonym"))
+
+
+def _plain(value: Column) -> Column:
+    nothing = F.lit(None).cast("string")
+    return F.array(_part(value, nothing, nothing))
+
+
+def _first_valid(tail: Column, permute: Permutation) -> Column:
+    """The value that begins at the second character of ``tail``, or null."""
+
+    def shaped(kind: str, shape: str) -> Column:
+        value = F.regexp_extract(tail, f"^[\\s\\S]({shape})", 1)
+        return F.struct(value.alias("value"), F.lit(kind).alias("kind"))
+
+    def usual(x: Column) -> Column:
+        plain = F.regexp_replace(x["value"], " ", "")
+        name = F.concat(F.substring(plain, 1, 2), F.length(plain).cast("string"))
+        return name.isin(IBAN_LENGTHS)
+
+    def ibans(found: Column) -> Column:
+        return F.concat(F.filter(found, usual), F.filter(found, lambda x: ~usual(x)))
+
+    of_ibans = let(F.array(*[shaped("iban", shape) for shape in IBAN_SHAPES]), ibans)
+    others = F.array(*[shaped(kind, shape) for kind, shape in SHAPES])
+    shapes = F.when(tail.rlike(r"^[\s\S][A-Z]{2}[0-9]{2}"), of_ibans).otherwise(others)
+    tried = F.transform(
+        F.filter(shapes, lambda x: x["value"] != ""),
+        lambda x: _part(x["value"], x["kind"], _pseudonym(x["value"], x["kind"], permute)),
+    )
+    return F.get(F.filter(tried, lambda x: x["pseudonym"].isNotNull()), F.lit(0))
+
+
+def _parts(run: Column, permute: Permutation) -> Column:
+    """The run cut into values that pass their tests, the longest from the first word that begins one,
+    and what stands between them."""
+    padded = F.concat(F.lit(" "), run)
+    begins = F.filter(
+        F.sequence(F.lit(1), F.length(run)),
+        lambda i: F.substring(padded, i, F.lit(2)).rlike(r"^[^0-9A-Za-z][0-9A-Z+(]"),
+    )
+    start = F.struct(
+        F.lit(1).alias("next"),
+        F.array().cast("array<struct<value:string,kind:string,pseudonym:string>>").alias("parts"),
+    )
+
+    def step(state: Column, i: Column) -> Column:
+        def taken(hit: Column) -> Column:
+            before = _plain(F.substring(run, state["next"], i - state["next"]))
+            after = F.struct(
+                (i + F.length(hit["value"])).alias("next"),
+                F.concat(state["parts"], before, F.array(hit)).alias("parts"),
+            )
+            return F.when(hit.isNotNull(), after).otherwise(state)
+
+        tail = F.substring(padded, i, F.lit(LONGEST + 4))  # and what stands around it
+        return F.when(i < state["next"], state).otherwise(let(_first_valid(tail, permute), taken))
+
+    def ended(state: Column) -> Column:
+        return F.concat(state["parts"], _plain(F.substring(run, state["next"], F.length(run))))
+
+    return F.aggregate(begins, start, step, ended)
+
+
 def found_in(text: Column, key: str, undo: bool = False) -> Column:
-    """Matches of a text in order, as structs of ``value``, ``kind`` and ``pseudonym``."""
+    """Matches of a text in order, each as the parts it is cut into: structs of ``value``, ``kind`` and
+    ``pseudonym``, which is null for what stays."""
     permute = Permutation(key, undo)
     matches = F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))
     named = F.transform(matches, lambda m: F.struct(m.alias("value"), _kind(m).alias("kind")))
     return F.transform(
         named,
-        lambda m: F.struct(
-            m["value"].alias("value"),
-            m["kind"].alias("kind"),
-            _pseudonym(m["value"], m["kind"], permute).alias("pseudonym"),
-        ),
+        lambda m: F.when(
+            m["kind"].isin("iban", "phone", "card"), _parts(m["value"], permute)
+        ).otherwise(F.array(_part(m["value"], m["kind"], _pseudonym(m["value"], m["kind"], permute)))),
     )
 
 
@@ -365,24 +463,26 @@ def pseudonymised(
     """
     text = F.col(text_column)
     may = text.rlike("[0-9@]")
-    nothing = F.array().cast("array<struct<value:string,kind:string,pseudonym:string>>")
+    nothing = F.array().cast("array<array<struct<value:string,kind:string,pseudonym:string>>>")
     matched = documents.withColumn(
         "pii_found", F.when(may, found_in(text, key, undo)).otherwise(nothing)
     )
     gaps = F.split(text, PATTERN, -1)
+    written = F.transform(
+        "pii_found",
+        lambda parts: F.array_join(F.transform(parts, lambda x: F.coalesce(x["pseudonym"], x["value"])), ""),
+    )
     joined = F.array_join(
         F.transform(
             gaps,
             lambda gap, i: F.concat(
                 gap,
-                F.coalesce(
-                    F.get(F.col("pii_found.pseudonym"), i), F.get(F.col("pii_found.value"), i), F.lit("")
-                ),
+                F.coalesce(F.get(written, i), F.lit("")),
             ),
         ),
         "",
     )
-    replaced = F.filter("pii_found", lambda x: x["pseudonym"].isNotNull())
+    replaced = F.filter(F.flatten("pii_found"), lambda x: x["pseudonym"].isNotNull())
     return matched.withColumn(
         text_column, F.when(F.size(replaced) > 0, joined).otherwise(text)
     ).withColumn(

@@ -97,3 +97,23 @@ def test_a_permutation_takes_no_value_twice(documents, spark):
 def test_nothing_but_expressions_runs(documents):
     plan = pii.pseudonymised(documents("a 1"), "key")._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|Exchange", plan)
+
+
+def test_values_beside_other_numbers_are_found(documents):
+    card, iban = "4111 1111 1111 1111", "BE68 5390 0754 7034"
+    cases = [
+        (f"{card} 123", card, " 123"),
+        (f"{card} 12/27", card, " 12/27"),
+        (f"5 {card}", card, "5 "),
+        (f"1234 {card} x", card, "1234 "),
+        (f"{iban} EUR", iban, " EUR"),
+        (f"{iban} EUR {card}", card, " EUR "),
+        (f"GB12 {card} 12", card, "GB12 "),
+        (f"{card} 123-45-6789", "123-45-6789", " "),
+        (f"{card} 12 ab@mail.example.com", "ab@", "@mail.example.com"),
+        (f"+49 30 1234 5678 {card}", card, "+49 "),
+    ]
+    rows = pii.pseudonymised(documents(*[text for text, _, _ in cases]), "key").orderBy("doc_id").collect()
+    for row, (text, value, stays) in zip(rows, cases, strict=True):
+        assert value not in row.text and stays in row.text and len(row.text) == len(text), text
+        assert not any(x in row.text for x in (card, iban)), text
