@@ -76,26 +76,29 @@ def pack(lengths: list[int], width: int, cost: Cost) -> tuple[list[tuple[int, ..
 
     rest.sort(key=lambda x: (-cost.of(x[0]), x[1]))
     lowest = [(0.0, sequence) for sequence in range(len(room))]
+    aside: list[tuple[int, tuple[float, int]]] = []
     uncut = []
     for length, item in rest:
-        # Items come in descending length, so a sequence without room for this one may have room
-        # for a later one: those passed over go back. Few are tried; the rest is cut below.
-        passed = []
+        # Items come in descending length: a sequence without room for this one is set aside until an
+        # item is as short as its room.
+        while aside and -aside[0][0] >= length:
+            heapq.heappush(lowest, heapq.heappop(aside)[1])
         found = None
-        while lowest and len(passed) < 16:
+        while lowest and found is None:
             entry = heapq.heappop(lowest)
-            if room[entry[1]] - used[entry[1]] >= length:
+            left = room[entry[1]] - used[entry[1]]
+            if left >= length:
                 found = entry[1]
-                break
-            passed.append(entry)
-        for entry in passed:
-            heapq.heappush(lowest, entry)
+            else:
+                heapq.heappush(aside, (-left, entry))
         if found is None:
             uncut.append((length, item))
             continue
         place(item, lengths[item] - length, length, found)
         if used[found] < room[found]:
             heapq.heappush(lowest, (spent[found], found))
+    lowest += [entry for _, entry in aside]
+    heapq.heapify(lowest)
     for length, item in uncut:
         start = lengths[item] - length
         while length:

@@ -199,3 +199,19 @@ def test_costs_are_balanced():
     assert max(full) - min(full) < max(in_order[:-1]) - min(in_order[:-1])
     assert sum(p[2] for p in pieces) == sum(lengths) == sum(n for n, _ in sequences)
     assert packing.room_for(2500, 1024) == [1024, 1024, 256, 128, 64, 4] and packing.room_for(0, 1024) == []
+
+
+def test_only_what_fits_nowhere_is_cut():
+    rng = random.Random(3)
+    cost = packing.Cost()
+    for lengths in ([rng.randint(1, 1023) for _ in range(1500)], [rng.randint(300, 700) for _ in range(1500)]):
+        room = packing.room_for(sum(lengths), 1024)
+        left, spent, whole = room[:], [0.0] * len(room), {}
+        for length, item in sorted(((n, i) for i, n in enumerate(lengths)), key=lambda x: (-x[0], x[1])):
+            fits = [s for s in range(len(room)) if left[s] >= length]
+            if fits:
+                whole[item] = chosen = min(fits, key=lambda s: (spent[s], s))
+                left[chosen] -= length
+                spent[chosen] += cost.of(length)
+        pieces, _ = packing.pack(lengths, 1024, cost)
+        assert {p[0]: p[3] for p in pieces if p[2] == lengths[p[0]]} == whole
