@@ -103,3 +103,91 @@ WITH doc AS (
 SELECT doc_id, coalesce(n_words, 0) AS n_words, round(coalesce(s, 0), 4) AS log_score
 FROM doc LEFT JOIN total USING (doc_id)
 """
+
+# CRC-32 over the bytes of a text ``s``: the table of the reflected polynomial, then a step per byte.
+_CRC_TABLE = """
+SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, _:
+  CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384::UBIGINT) ELSE a >> 1 END) ORDER BY i) AS t
+FROM (SELECT unnest(range(256))::UBIGINT AS i)
+"""
+
+
+def _crc(s: str) -> str:
+    data = f"list_transform(regexp_extract_all(hex({s}), '..'), lambda x: ('0x' || x)::UBIGINT)"
+    step = "xor(a >> 8, t[(xor(a, b) & 255)::BIGINT + 1])"
+    return f"xor(list_reduce(list_prepend(4294967295::UBIGINT, {data}), lambda a, b: {step}), 4294967295::UBIGINT)"
+
+
+OP11 = rf"""
+WITH RECURSIVE crc AS ({_CRC_TABLE}), run AS (
+  SELECT doc_id, r, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '[a-z\x{{00C0}}-\x{{00FF}}]+')) AS r FROM documents)
+  WHERE length(r) >= 7 GROUP BY 1, 2
+), summed AS (
+  SELECT r, n, ({_crc("coalesce(CAST(doc_id AS VARCHAR), '') || ':' || r")})::BIGINT AS h FROM run, crc
+), word AS (
+  SELECT CASE WHEN h % 31 = 0 THEN substr(r, 1, h % length(r)) || substr(r, h % length(r) + 2) ELSE r END AS word,
+         sum(n)::BIGINT AS n
+  FROM summed GROUP BY 1 HAVING length(word) >= 7 AND sum(n) >= 2
+), cut AS (
+  SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS d
+  FROM (SELECT word, n, unnest(generate_series(1, length(word))) AS i FROM word)
+), pair AS (
+  SELECT x.word AS a, y.word AS b FROM cut x JOIN cut y ON x.i = y.i AND x.d = y.d AND x.word <> y.word
+  UNION
+  SELECT cut.word, word.word FROM cut JOIN word ON cut.d = word.word
+  UNION
+  SELECT word.word, cut.word FROM cut JOIN word ON cut.d = word.word
+), ranked AS (
+  SELECT a, b, word.n AS m, count(*) OVER (PARTITION BY a) AS n_near,
+         row_number() OVER (PARTITION BY a ORDER BY word.n DESC, b COLLATE "C") AS place
+  FROM pair JOIN word ON word.word = b
+), formed AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near,
+         CASE WHEN m >= 10 * n THEN b END AS form, CASE WHEN m >= 10 * n THEN m END AS form_n
+  FROM word LEFT JOIN ranked ON a = word AND place = 1
+), way AS (
+  SELECT word, word AS root FROM formed
+  UNION ALL
+  SELECT way.word, formed.form FROM way JOIN formed ON formed.word = way.root WHERE formed.form IS NOT NULL
+)
+SELECT formed.word, formed.form, way.root, formed.n, formed.n_near, formed.form_n
+FROM formed JOIN way ON way.word = formed.word
+JOIN formed ended ON ended.word = way.root AND ended.form IS NULL
+"""
+
+OP13 = rf"""
+WITH RECURSIVE crc AS ({_CRC_TABLE}), own AS (
+  SELECT conv_id, list({{'r': r, 'x': x}} ORDER BY turn NULLS FIRST, r, x) AS turns
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations)
+  WHERE conv_id IS NOT NULL GROUP BY 1
+), begun AS (
+  SELECT o.conv_id, o.turns, b.turns AS taken, ({_crc("CAST(o.conv_id AS VARCHAR)")} % 9)::BIGINT AS h
+  FROM crc, own o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 5
+), rebuilt AS (
+  SELECT conv_id, list_concat(coalesce(taken[1:h], []), turns[h + 1:]) AS s FROM begun
+), prefix AS (
+  SELECT conv_id, d, len(s) AS many, md5(CAST(s[1:d] AS VARCHAR)) AS own,
+         CASE WHEN d > 0 THEN md5(CAST(s[1:d - 1] AS VARCHAR)) END AS above,
+         CASE WHEN d > 0 THEN strlen(s[d].x) ELSE 0 END AS bytes
+  FROM (SELECT conv_id, s, unnest(range(len(s) + 1)) AS d FROM rebuilt)
+), node AS (
+  SELECT own, d, any_value(above) AS above, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(bytes) AS bytes,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (many = d), '')) AS ends
+  FROM prefix GROUP BY 1, 2
+), child AS (
+  SELECT above, d - 1 AS d, count(*) AS n FROM node WHERE above IS NOT NULL GROUP BY 1, 2
+), up AS (
+  SELECT own, d, own AS top, d AS top_d FROM node
+  UNION ALL
+  SELECT up.own, up.d, node.above, node.d - 1 FROM up JOIN node ON node.own = up.top AND node.d = up.top_d WHERE node.d > 0
+), under AS (
+  SELECT top, top_d, count(*) FILTER (child.n IS NULL) AS leaves, sum((node.n_convs - 1) * node.bytes)::BIGINT AS saved
+  FROM up JOIN node USING (own, d) LEFT JOIN child ON child.above = own AND child.d = up.d GROUP BY 1, 2
+)
+SELECT node.conv_id, node.d AS depth, parent.conv_id AS parent_conv_id, node.n_convs, coalesce(child.n, 0) AS n_children,
+       under.leaves AS n_leaves, under.saved AS saved_tokens, node.ends AS ends_sha256
+FROM node JOIN under ON under.top = node.own AND under.top_d = node.d
+LEFT JOIN node parent ON parent.own = node.above AND parent.d = node.d - 1
+LEFT JOIN child ON child.above = node.own AND child.d = node.d
+"""

@@ -8,7 +8,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopmarts.llm import ann, decontaminate, jaccard, langid, ngram_lm, oracle, packing, pii, repair, toxicity, warc
+from shopmarts.llm import (
+    ann,
+    decontaminate,
+    jaccard,
+    langid,
+    ngram_lm,
+    oracle,
+    packing,
+    pii,
+    prefix_trie,
+    repair,
+    simhash,
+    spelling,
+    toxicity,
+    warc,
+)
 from shopmarts.llm.shipping import shipped
 from shopmarts.session import scratch_dir
 
@@ -82,6 +97,19 @@ def op10_cost_balanced_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(table(spark, folder, "documents"), path)
 
 
+def op11_spelling_tiles(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(spelling.counted_words(table(spark, folder, "documents")))
+
+
+def op12_simhash_bktree(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    sequences = prefix_trie.turn_sequences(table(spark, folder, "conversations"))
+    return prefix_trie.prefix_trie(prefix_trie.branched(sequences))
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_kmeans_tree": op2_kmeans_tree,
@@ -93,6 +121,9 @@ QUERIES: dict[str, Query] = {
     "op8_language": op8_language,
     "op9_stupid_backoff": op9_stupid_backoff,
     "op10_cost_balanced_packing": op10_cost_balanced_packing,
+    "op11_spelling_tiles": op11_spelling_tiles,
+    "op12_simhash_bktree": op12_simhash_bktree,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 ORACLE: dict[str, str] = {
@@ -100,4 +131,6 @@ ORACLE: dict[str, str] = {
     "op4_warc": oracle.OP4,
     "op6_jaccard_join": oracle.OP6,
     "op9_stupid_backoff": oracle.OP9,
+    "op11_spelling_tiles": oracle.OP11,
+    "op13_prefix_trie": oracle.OP13,
 }
