@@ -2,24 +2,34 @@
 
 Layout of one table below the raw root::
 
-    orders/_bucket=0/ ...          the table, partitioned by key range
-    _package/orders/               the last batch, landed once and read many times
-    _staged/orders/_bucket=0/ ...  full new content of the buckets the last batch touched
-    _marked/orders/<step>/         keys of the loaded rows that sit exactly on the mark
-    _journal/orders/               one row per step of a load; the last row is the state
-
-A batch rewrites the buckets it touches and leaves the others alone. The new buckets are first
-written beside the table, then recorded in the journal, then swapped in as they are. A driver that dies
-at any point leaves either an untouched table (the batch is read again) or complete staged buckets (the
-next load swaps them in first). A first load is recorded before it writes; data without a journal are
-never taken for an unfinished first load. Lost executors only repeat tasks.
+    orders/_load=<name>/_bucket=0/ ...  what one load wrote, by key range; never changed afterwards
+    _files/orders/<step>/               the table after a load: its files, with the keys they span
+    _package/orders/<step>/             the batch of a load, landed once and read many times
+    _marked/orders/<step>/              keys of the loaded rows that sit exactly on the mark
+    _journal/orders/                    one small record per step; the last one is the state
+
+A load writes each row it touches once. It finds the files that hold a key of the batch, writes their
+rows anew together with the batch, and lists its files and the untouched ones as the next state of the
+table. The journal's record makes that state the current one; a driver that dies before leaves files that no
+state lists, and the batch is read again. Readers hold the files of the state they opened, and keep
+them while later loads run: the files of the last ``KEPT`` states stay, older ones are removed.
+
+Which files hold a key is found in two steps: by the keys that each file spans, and then, in the files
+that this leaves, by the key column itself. Files are sorted by key, so that column is about as small as a
+Bloom filter of it would be, and it gives no false answers.
+
+A first load is recorded before it writes; data without a journal are never taken for an unfinished
+first load. Lost executors only repeat tasks. One writer per table.
 """
 
 from __future__ import annotations
 
 import json
 import os
-from dataclasses import dataclass, replace
+import uuid
+from dataclasses import dataclass
+from datetime import date, datetime
+from decimal import Decimal
 from functools import partial
 from typing import Any
 
@@ -39,9 +49,12 @@ from shopmarts.operators.upsert import (
 )
 from shopmarts.schemas import LOAD_ID, TABLES, TableSpec
 from shopmarts.session import together
+from shopmarts.sources.folders import children, put, remove, text_of
 
-BUCKET = "_bucket"
-BEGUN, STAGED, DONE = "begun", "staged", "done"
+BUCKET, LOAD, FILE = "_bucket", "_load", "_file"
+BEGUN, DONE = "begun", "done"
+KEPT = 3  # states whose files stay
+_PLACE = [T.StructField(LOAD, T.StringType()), T.StructField(BUCKET, T.LongType())]
 NEVER_WRITTEN = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
 
 
@@ -62,10 +75,11 @@ class State:
 
 @dataclass(frozen=True)
 class Measured:
-    rows: int
+    rows: int  # distinct keys
     mark: Any
     low: int | None  # first and last bucket
     high: int | None
+    repeated: bool  # whether a key occurs more than once
 
 
 class RawTable:
@@ -75,33 +89,29 @@ class RawTable:
         self.spark = spark
         self.spec = spec
         self.path = os.path.join(root, spec.name)
+        self.files = os.path.join(root, "_files", spec.name)
         self.package = os.path.join(root, "_package", spec.name)
-        self.staged = os.path.join(root, "_staged", spec.name)
-        self._key_and_cursor = list(dict.fromkeys([spec.key, spec.cursor]))
         self.marked = os.path.join(root, "_marked", spec.name)
         self.journal = os.path.join(root, "_journal", spec.name)
+        self._key_and_cursor = list(dict.fromkeys([spec.key, spec.cursor]))
 
     def state(self) -> State | None:
-        try:
-            steps = self.spark.read.parquet(self.journal)
-        except AnalysisException as error:
-            if error.getCondition() in NEVER_WRITTEN:
-                return None
-            raise  # an unreadable journal must not pass for a first load
-        last = steps.orderBy(F.desc("step")).first()
-        if last is None:
+        steps = children(self.spark, self.journal)
+        if not steps:
             return None
-        schema = T.StructType.fromJson(json.loads(last["schema"]))
-        known = (last[name] for name in ("rows", "marked"))
-        return State(last["step"], last["phase"], last["load_id"], last["mark"], schema, *known)
+        # A record that cannot be read is an error: it must not pass for a first load.
+        known = json.loads(text_of(self.spark, os.path.join(self.journal, steps[-1])))
+        schema = T.StructType.fromJson(known.pop("schema"))
+        mark = _value(known.pop("mark"), schema[self.spec.cursor].dataType)
+        return State(**known, schema=schema, mark=mark)
 
     def read(self) -> DataFrame:
         """The landed rows. The journal knows the columns, so no file footers are compared, and
-        files older than a column read NULL for it."""
+        files older than a column read NULL for it. Later loads do not change what is read here."""
         state = self.state()
         if state is None or state.phase == BEGUN:
             raise LoadError(f"{self.spec.name} has not been loaded into {self.path}")
-        return self._open(self.path, state.schema).drop(BUCKET)
+        return self._stored(self._paths(self._listed(state.step)), state.schema).drop(BUCKET)
 
     def load(self, source: DataFrame, load_id: str, in_order: bool = True) -> State:
         """Bring the source's new and changed rows in. Running it twice changes nothing.
@@ -109,32 +119,37 @@ class RawTable:
         A source read ``in_order`` has nothing new below the mark. Without that promise every row is
         considered, and gives way to a stored version that is at least as new.
         """
-        state = self._finish(self.state())
+        state = self.state()
         if state is None or state.phase == BEGUN:
             return self._first(source, load_id, state)
-        batch = self._land(source, load_id, state, in_order)
-        seen = self._measure(batch)
+        batch, seen = self._land(source, load_id, state, in_order)
         if seen.rows == 0:
             return state
         columns = _evolve(state.schema, batch.schema)
-        current = self._touched(self._open(self.path, state.schema), batch, seen)
+        touched = self._touched(self._listed(state.step), batch, seen)
+        current = self._stored(self._paths(touched), state.schema)
         rows = seen.rows
         if not in_order:
             batch = newer(batch, current, self.spec.key, self.spec.cursor)
             rows = batch.count()
             if rows == 0:  # a batch that is replayed after its load
                 return state
-        self._write(merge(current, batch, self.spec.key), self.staged)
+        written = self._write(merge(current, batch, self.spec.key))
         mark = seen.mark if state.mark is None else max(seen.mark, state.mark)
         step = state.step + 1
-        self._mark(batch, mark, step, state)
-        pending = State(step, STAGED, load_id, mark, columns, rows, step)
-        self._record(pending)
-        return self._finish(pending)
+        kept = self._listed(state.step).join(touched, [LOAD, BUCKET, FILE], "left_anti")
+        jobs = {
+            "files": lambda: self._list(kept.unionByName(self._spans(written)), step),
+            "mark": lambda: self._mark(batch, mark, step, state),
+        }
+        together(self.spark, jobs)
+        done = self._record(State(step, DONE, load_id, mark, columns, rows, step))
+        self._trim(step)
+        return done
 
     def _first(self, source: DataFrame, load_id: str, begun: State | None) -> State:
         """Replaces what an interrupted first load left, which the journal tells, and nothing else."""
-        rows = self._bucketed(with_lineage(self._newest(source), load_id, self.spec.key))
+        rows = self._bucketed(with_lineage(source, load_id, self.spec.key))
         columns = _nullable(rows.schema)
         if begun is None:
             if self._holds_data():
@@ -143,12 +158,21 @@ class RawTable:
                     "journal, or move the data away to load anew"
                 )
             begun = self._record(State(0, BEGUN, load_id, None, columns, 0))
-        self._write(rows, self.path)
-        stored = self._open(self.path, columns)
+        written = self._write(rows)
+        stored = self._stored([written], columns)
         seen = self._measure(stored)
+        if seen.repeated:
+            written = self._write(self._newest(stored))
+            stored = self._stored([written], columns)
         step = begun.step + 1
-        self._mark(stored, seen.mark, step, None)
-        return self._record(State(step, DONE, load_id, seen.mark, columns, seen.rows, step))
+        jobs = {
+            "files": lambda: self._list(self._spans(written), step),
+            "mark": lambda: self._mark(stored, seen.mark, step, None),
+        }
+        together(self.spark, jobs)
+        done = self._record(State(step, DONE, load_id, seen.mark, columns, seen.rows, step))
+        self._trim(step)
+        return done
 
     def _holds_data(self) -> bool:
         try:
@@ -158,7 +182,9 @@ class RawTable:
                 return False
             raise
 
-    def _land(self, source: DataFrame, load_id: str, state: State, in_order: bool) -> DataFrame:
+    def _land(
+        self, source: DataFrame, load_id: str, state: State, in_order: bool
+    ) -> tuple[DataFrame, Measured]:
         """Write the batch once, so that counting, locating and merging it see the same rows. The
         stored table is not read: the keys on the mark stand beside it."""
         key, cursor = self.spec.key, self.spec.cursor
@@ -169,9 +195,13 @@ class RawTable:
         if in_order and state.mark is not None:
             on_mark = self._on_mark(state, typed)
             typed = unseen(since(typed, cursor, state.mark), on_mark, key, cursor)
-        batch = self._bucketed(with_lineage(self._newest(typed), load_id, key))
-        batch.write.mode("overwrite").parquet(self.package)
-        return self._open(self.package, batch.schema)
+        rows = self._bucketed(with_lineage(typed, load_id, key))
+        path = os.path.join(self.package, str(state.step + 1))
+        rows.write.mode("overwrite").parquet(path)
+        batch = self._open(path, rows.schema)
+        seen = self._measure(batch)
+        # Versions of one key are rare, and only then are rows compared.
+        return (self._newest(batch) if seen.repeated else batch), seen
 
     def _on_mark(self, state: State, like: DataFrame) -> DataFrame:
         kinds = like.select(*self._key_and_cursor).schema
@@ -187,24 +217,75 @@ class RawTable:
             now = now.unionByName(self._on_mark(state, batch)).distinct()
         now.write.mode("overwrite").parquet(os.path.join(self.marked, str(step)))
 
-    def _touched(self, target: DataFrame, batch: DataFrame, seen: Measured) -> DataFrame:
-        """The target's buckets that the batch falls into; the rest is not read.
+    def _listed(self, step: int) -> DataFrame:
+        """The files of the table after a step: ``_load, _bucket, _file, low, high, n``."""
+        return self.spark.read.parquet(os.path.join(self.files, str(step)))
+
+    def _list(self, files: DataFrame, step: int) -> None:
+        files.write.mode("overwrite").parquet(os.path.join(self.files, str(step)))
+
+    def _spans(self, written: str) -> DataFrame:
+        """What a load has written, file by file; only the key column is read."""
+        key = self.spec.key
+        return (
+            self._keys([written])
+            .groupBy(LOAD, BUCKET, FILE)
+            .agg(F.min(key).alias("low"), F.max(key).alias("high"), F.count("*").alias("n"))
+        )
+
+    def _keys(self, paths: list[str]) -> DataFrame:
+        kind = self.state().schema[self.spec.key].dataType
+        columns = T.StructType([T.StructField(self.spec.key, kind), *_PLACE])
+        table = self.spark.read.option("basePath", self.path).schema(columns).parquet(*paths)
+        return table.select(self.spec.key, LOAD, BUCKET, F.col("_metadata.file_name").alias(FILE))
+
+    def _touched(self, listed: DataFrame, batch: DataFrame, seen: Measured) -> DataFrame:
+        """The files that hold a key of the batch, and short files of its buckets, which grow that way.
 
-        Buckets outside the batch's range are pruned when the plan is made, those between its
-        buckets when the join's small side is known.
+        Files whose keys the batch does not reach are not opened, and of the others only keys.
         """
-        within = F.col(BUCKET).between(F.lit(seen.low), F.lit(seen.high))
-        buckets = batch.where(within).select(BUCKET).distinct()
-        return target.where(within).join(buckets, BUCKET, "left_semi")
-
-    def _finish(self, state: State | None) -> State | None:
-        """Swap staged buckets in, file by file. Safe to repeat: they are complete and no longer read
-        the table."""
-        if state is None or state.phase in (BEGUN, DONE):
-            return state
-        staged = self._open(self.staged, state.schema)
-        self._partitioned(staged, self.path, "dynamic")
-        return self._record(replace(state, step=state.step + 1, phase=DONE))
+        keys = batch.select(F.col(BUCKET).alias("_at"), F.col(self.spec.key).alias("_key"))
+        short = F.col("n") * 2 < self.spec.file_rows
+        within = listed.where(F.col(BUCKET).between(F.lit(seen.low), F.lit(seen.high)))
+        near = within.join(
+            keys,
+            (F.col(BUCKET) == F.col("_at")) & (short | F.col("_key").between(F.col("low"), F.col("high"))),
+            "left_semi",
+        ).select(LOAD, BUCKET, FILE, short.alias("short"))
+        # The plan's names of files, which a driver that reads the table holds in any case.
+        found = near.collect()
+        sure = [row[:3] for row in found if row["short"]]
+        if len(sure) < len(found):
+            paths = [self._path(*row[:3]) for row in found if not row["short"]]
+            held = self._keys(paths).join(keys, F.col(self.spec.key) == F.col("_key"), "left_semi")
+            sure += held.select(LOAD, BUCKET, FILE).distinct().collect()
+        return self.spark.createDataFrame([tuple(row) for row in sure], T.StructType([*_PLACE, T.StructField(FILE, T.StringType())]))
+
+    def _path(self, load: str, bucket: int, file: str) -> str:
+        return os.path.join(self.path, f"{LOAD}={load}", f"{BUCKET}={bucket}", file)
+
+    def _paths(self, listed: DataFrame) -> list[str]:
+        return [self._path(*row) for row in listed.select(LOAD, BUCKET, FILE).collect()]
+
+    def _trim(self, step: int) -> None:
+        """Remove the files that none of the last states lists, and what older loads left beside them.
+        What a driver that died has not removed goes with the next load."""
+        first = step - KEPT + 1
+        if first <= 1:
+            return
+        stay = self._listed(first).select(LOAD, BUCKET, FILE)
+        for later in range(first + 1, step + 1):
+            stay = stay.union(self._listed(later).select(LOAD, BUCKET, FILE))
+        loads = {f"{LOAD}={row[0]}" for row in stay.select(LOAD).distinct().collect()}
+        here = set(children(self.spark, self.path))
+        remove(self.spark, [os.path.join(self.path, name) for name in here - loads])
+        for old in children(self.spark, self.files):
+            if int(old) < first:
+                gone = self._listed(int(old)).join(stay, [LOAD, BUCKET, FILE], "left_anti")
+                remove(self.spark, self._paths(gone))
+        for folder in (self.files, self.package, self.marked):
+            old = [name for name in children(self.spark, folder) if int(name) < first]
+            remove(self.spark, [os.path.join(folder, name) for name in old])
 
     def _newest(self, rows: DataFrame) -> DataFrame:
         return newest_per_key(rows, self.spec.key, self.spec.cursor)
@@ -218,55 +299,68 @@ class RawTable:
         return F.expr(f"({key} - pmod({key}, {width})) div {width}")
 
     def _measure(self, batch: DataFrame) -> Measured:
-        cursor = F.col(self.spec.cursor)
-        seen = batch.agg(
-            F.count("*").alias("rows"),
+        """Counted per key first, which shuffles keys and no rows."""
+        key, cursor = F.col(self.spec.key), F.col(self.spec.cursor)
+        per_key = batch.groupBy(key.alias("_key"), BUCKET).agg(
+            F.count("*").alias("n"),
             F.max(cursor).alias("mark"),
+            F.count_if(cursor.isNull() | key.isNull()).alias("unusable"),
+        )
+        seen = per_key.agg(
+            F.count("*").alias("rows"),
+            F.max("mark").alias("mark"),
             F.min(BUCKET).alias("low"),
             F.max(BUCKET).alias("high"),
-            F.count_if(cursor.isNull() | F.col(self.spec.key).isNull()).alias("unusable"),
+            F.coalesce(F.sum("unusable"), F.lit(0)).alias("unusable"),
+            F.coalesce(F.max("n"), F.lit(0)).alias("most"),
         ).first()
         if seen["unusable"]:
             raise LoadError(
                 f"{self.spec.name}: {seen['unusable']} rows lack {self.spec.key} or {self.spec.cursor}"
             )
-        return Measured(seen["rows"], seen["mark"], seen["low"], seen["high"])
+        return Measured(seen["rows"], seen["mark"], seen["low"], seen["high"], seen["most"] > 1)
 
     def _open(self, path: str, schema: T.StructType) -> DataFrame:
         return self.spark.read.schema(schema).parquet(path)
 
-    def _write(self, rows: DataFrame, path: str) -> None:
-        """Even files per bucket: the rebalance joins small parts and splits large ones."""
-        self._partitioned(rows.hint("rebalance", F.col(BUCKET)), path, "static")
+    def _stored(self, paths: list[str], schema: T.StructType) -> DataFrame:
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.option("basePath", self.path).schema(schema).parquet(*paths).drop(LOAD)
 
-    def _partitioned(self, rows: DataFrame, path: str, overwrite: str) -> None:
+    def _write(self, rows: DataFrame) -> str:
+        """Into a new folder, and its path. The rebalance joins small buckets and splits large ones;
+        files are sorted by key and cut after so many rows, so that each spans few keys."""
+        path = os.path.join(self.path, f"{LOAD}=l{uuid.uuid4().hex}")
         (
-            rows.write.mode("overwrite")
-            .option("partitionOverwriteMode", overwrite)
+            rows.hint("rebalance", F.col(BUCKET))
+            .sortWithinPartitions(BUCKET, self.spec.key)
+            .write.option("maxRecordsPerFile", self.spec.file_rows)
             .partitionBy(BUCKET)
             .parquet(path)
         )
+        return path
 
     def _record(self, state: State) -> State:
-        kind = state.schema[self.spec.cursor].dataType
-        columns = T.StructType(
-            [
-                T.StructField("step", T.LongType()),
-                T.StructField("phase", T.StringType()),
-                T.StructField("load_id", T.StringType()),
-                T.StructField("mark", kind),
-                T.StructField("schema", T.StringType()),
-                T.StructField("rows", T.LongType()),
-                T.StructField("marked", T.LongType()),
-            ]
-        )
-        known = (state.schema.json(), state.rows, state.marked)
-        row = (state.step, state.phase, state.load_id, state.mark, *known)
-        step = self.spark.createDataFrame([row], columns).coalesce(1)
-        step.write.mode("append").parquet(self.journal)
+        mark = None if state.mark is None else str(state.mark)
+        known = {**vars(state), "schema": state.schema.jsonValue(), "mark": mark}
+        put(self.spark, os.path.join(self.journal, f"{state.step:012d}.json"), json.dumps(known))
         return state
 
 
+def _value(text: str | None, kind: T.DataType) -> Any:
+    """A mark as Spark would collect it, from its text."""
+    if text is None or isinstance(kind, T.StringType):
+        return text
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return datetime.fromisoformat(text)
+    if isinstance(kind, T.DateType):
+        return date.fromisoformat(text)
+    if isinstance(kind, T.DecimalType):
+        return Decimal(text)
+    return float(text) if isinstance(kind, T.FractionalType) else int(text)
+
+
 def _nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema])
 

@@ -25,7 +25,9 @@ class TableSpec:
 
     ``bucket_width`` is the span of key values stored together in the raw layer. Keys are handed
     out in rising order, so recent changes touch the few newest buckets, and a bucket of an integer
-    key can never hold more than ``bucket_width`` rows however large the table grows.
+    key can never hold more than ``bucket_width`` rows however large the table grows. Within a bucket
+    files are sorted by key and hold at most ``file_rows`` rows, so that a change of scattered old keys
+    rewrites files and not buckets.
     """
 
     name: str
@@ -33,6 +35,7 @@ class TableSpec:
     cursor: str
     schema: T.StructType
     bucket_width: int = 5_000_000
+    file_rows: int = 500_000
 
 
 CUSTOMERS = TableSpec(

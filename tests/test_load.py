@@ -9,12 +9,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from shopmarts.operators.upsert import merge, newest_per_key, unseen
-from shopmarts.plans.load import LoadError, RawTable, load_tables, loads_by_id, read_raw
+from shopmarts.plans.load import KEPT, LoadError, RawTable, load_tables, loads_by_id, read_raw
 from shopmarts.schemas import ORDERS, TABLES
 from shopmarts.streaming.landing import land_new_files
 from tests.conftest import at
 
-NARROW = {name: replace(spec, bucket_width=10) for name, spec in TABLES.items()}
+NARROW = {name: replace(spec, bucket_width=10, file_rows=4) for name, spec in TABLES.items()}
 
 
 @pytest.fixture
@@ -142,21 +142,102 @@ def test_a_narrower_type_is_widened_to_the_stored_one(spark, root, source):
     assert raw.read().count() == 2
 
 
-def test_only_touched_buckets_are_rewritten(spark, root, source, tmp_path):
+def listed(raw):
+    """The files of the current state, with the keys they span."""
+    rows = raw._listed(raw.state().step).collect()
+    assert sum(row.n for row in rows) == raw.read().count()
+    return {(row._bucket, row._file): (row._bucket, row.low, row.high) for row in rows}
+
+
+def stored(tmp_path):
+    """Every file there is, with its bucket."""
+    found = (tmp_path / "raw" / "orders").rglob("*.parquet")
+    return {(int(p.parent.name.removeprefix("_bucket=")), p.name) for p in found}
+
+
+def named(raw, steps):
+    return {(row._bucket, row._file) for step in steps for row in raw._listed(step).collect()}
+
+
+def paid(source, *keys, when="2027-01-01"):
+    return source.table("orders", *[{"id": i, "status": "paid", "updated_at": at(when)} for i in keys])
+
+
+def test_only_files_that_hold_a_key_are_rewritten(spark, root, source):
+    """Old keys scattered over the table: the files between them stay as they are."""
     raw = orders(spark, root)
-    raw.load(source.table("orders", *[{"id": i} for i in range(35)]), "1.5")
+    raw.load(source.table("orders", *[{"id": i * 2} for i in range(20)]), "1.5")
+    before = listed(raw)
+    assert sorted(before.values()) == [
+        (0, 0, 6), (0, 8, 8), (1, 10, 16), (1, 18, 18), (2, 20, 26), (2, 28, 28), (3, 30, 36), (3, 38, 38),
+    ]
+    raw.load(paid(source, 2, 24, 34), "2.5")
+    after = listed(raw)
+    gone = {before[name] for name in before.keys() - after.keys()}
+    # The files of the keys, and the short files beside them, which join what is written anew.
+    assert gone == {(0, 0, 6), (0, 8, 8), (2, 20, 26), (2, 28, 28), (3, 30, 36), (3, 38, 38)}
+    landed = {row.id: row.status for row in raw.read().collect()}
+    assert len(landed) == 20 and {i for i, status in landed.items() if status == "paid"} == {2, 24, 34}
 
-    def files():
-        base = tmp_path / "raw" / "orders"
-        return {p.name: sorted(f.name for f in p.glob("*.parquet")) for p in base.glob("_b*")}
 
-    before = files()
-    assert set(before) == {f"_bucket={i}" for i in range(4)}
-    raw.load(source.table("orders", {"id": 21, "updated_at": at("2027-01-01")}), "2.5")
-    after = files()
-    changed = {name for name in before if before[name] != after[name]}
-    assert changed == {"_bucket=2"}
-    assert raw.read().count() == 35
+def test_a_new_key_between_old_ones_rewrites_no_full_file(spark, root, source):
+    raw = orders(spark, root)
+    raw.load(source.table("orders", *[{"id": i * 2} for i in range(10)]), "1.5")
+    before = listed(raw)
+    raw.load(paid(source, 3, 11), "2.5")  # in the spans of full files, but in none of them
+    after = listed(raw)
+    assert {before[name] for name in before.keys() - after.keys()} == {(0, 8, 8), (1, 18, 18)}
+    assert raw.read().count() == 12
+
+
+def test_files_stay_sorted_and_full(spark, root, source):
+    """Short files of a touched bucket are taken up, so that many small loads leave few of them."""
+    raw = orders(spark, root)
+    for i in range(10):
+        raw.load(paid(source, i, when=f"2027-01-{i + 1:02d}"), f"{i}.5")
+    found = sorted(listed(raw).values())
+    assert len(found) <= 5 and all(bucket == 0 for bucket, _, _ in found)
+    assert raw.read().count() == 10
+
+
+def test_a_reader_keeps_what_it_opened(spark, root, source, tmp_path):
+    raw = orders(spark, root)
+    raw.load(source.table("orders", *[{"id": i} for i in range(25)]), "1.5")
+    opened = raw.read()
+    wanted = sorted(opened.collect())
+    for load in range(1, KEPT):
+        raw.load(paid(source, 3, 14, when=f"2027-01-0{load}"), f"{load + 1}.5")
+        assert sorted(opened.collect()) == wanted
+    assert sorted(raw.read().collect()) != wanted
+    first = named(raw, [1])
+    assert first <= stored(tmp_path)
+    raw.load(paid(source, 3, 14, when="2027-02-01"), "9.5")  # the first state is one too many now
+    left = stored(tmp_path)
+    assert first - left and first & left == first & set(listed(raw))
+    states = sorted(int(p.name) for p in (tmp_path / "raw" / "_files" / "orders").iterdir())
+    assert states == [raw.state().step - i for i in range(KEPT - 1, -1, -1)]
+    assert left == named(raw, states)
+    assert raw.read().count() == 25
+
+
+def test_rows_are_written_once_after_one_exchange(spark, root, source, monkeypatch):
+    raw = orders(spark, root)
+    written = []
+    original = RawTable._write
+
+    def watched(self, rows):
+        written.append(rows.hint("rebalance", F.col("_bucket"))._jdf.queryExecution().executedPlan().toString())
+        return original(self, rows)
+
+    monkeypatch.setattr(RawTable, "_write", watched)
+    raw.load(source.table("orders", {"id": 1}, {"id": 2}), "1.5")
+    raw.load(paid(source, 2), "2.5")
+    assert len(written) == 2
+    assert [len(re.findall(r"\bExchange ", plan)) for plan in written] == [1, 1]  # beside broadcasts
+    # Versions of one key are rare, and only then are rows compared before the write.
+    twice = paid(source, 2, when="2027-01-02").unionByName(paid(source, 2, when="2027-01-03"))
+    raw.load(twice, "3.5")
+    assert len(written) == 3 and "Window" not in written[1] and "Window" in written[2]
 
 
 def test_buckets_of_negative_and_wide_keys(spark, root):
@@ -183,35 +264,20 @@ def test_a_batch_reads_no_other_bucket(spark, root, source):
     raw = orders(spark, root)
     raw.load(source.table("orders", *[{"id": i} for i in range(45)]), "1.5")
     state = raw.state()
-    batch = raw._land(source.table("orders", {"id": 21, "updated_at": at("2027-01-01")}), "2.5", state, True)
-    current = raw._touched(raw._open(raw.path, state.schema), batch, raw._measure(batch))
-    assert {row[0] for row in current.select("_bucket").collect()} == {2}
-    pruned = current._jdf.queryExecution().executedPlan().toString()
-    assert re.search(r"PartitionFilters: \[[^]]*_bucket#\d+L? >= 2", pruned)
-    plan = unseen_plan(raw, source, state)
-    assert "_marked" in plan and raw.path + "/_bucket" not in plan
-
-
-def unseen_plan(raw, source, state):
+    batch, seen = raw._land(paid(source, 21), "2.5", state, True)
+    assert (seen.rows, seen.low, seen.high, seen.repeated) == (1, 2, 2, False)
+    touched = raw._touched(raw._listed(state.step), batch, seen).collect()
+    assert {row._bucket for row in touched} == {2}
     typed = source.table("orders", {"id": 1})
-    seen = unseen(typed, raw._on_mark(state, typed), "id", "updated_at")
-    return " ".join(seen.inputFiles())
+    read = unseen(typed, raw._on_mark(state, typed), "id", "updated_at").inputFiles()
+    assert read and all("/_marked/" in file for file in read)
 
 
-def test_the_swap_does_not_shuffle(spark, root, source, monkeypatch):
+def test_only_keys_are_read_to_find_files(spark, root, source):
     raw = orders(spark, root)
     raw.load(source.table("orders", {"id": 1}), "1.5")
-    plans = []
-    original = RawTable._partitioned
-
-    def watched(self, rows, path, overwrite):
-        if overwrite == "dynamic":
-            plans.append(rows._jdf.queryExecution().executedPlan().toString())
-        return original(self, rows, path, overwrite)
-
-    monkeypatch.setattr(RawTable, "_partitioned", watched)
-    raw.load(source.table("orders", {"id": 2, "updated_at": at("2027-01-01")}), "2.5")
-    assert len(plans) == 1 and "Exchange" not in plans[0]
+    plan = raw._keys(raw._paths(raw._listed(1)))._jdf.queryExecution().executedPlan().toString()
+    assert re.findall(r"ReadSchema: struct<([^>]*)>", plan) == ["id:bigint"]
 
 
 def test_data_without_a_journal_are_not_replaced(spark, root, source):
@@ -250,37 +316,40 @@ def test_loads_do_not_depend_on_the_systems_time_zone():
     assert len(found) == 1 and "load_rerun" in found.pop()
 
 
-@pytest.mark.parametrize("step", ["_write", "_record"])
-@pytest.mark.parametrize("call", [1, 2, 3])
+@pytest.mark.parametrize(
+    "step, after",
+    [("_land", False), ("_write", False), ("_list", False), ("_list", True), ("_record", False), ("_trim", False)],
+)
 def test_a_crash_at_any_step_is_healed_by_the_next_load(
-    spark, root, source, monkeypatch, step, call
+    spark, root, source, monkeypatch, tmp_path, step, after
 ):
     raw = orders(spark, root)
     first = source.table("orders", *[{"id": i} for i in range(25)])
     raw.load(first, "1.5")
-    second = first.unionByName(
-        source.table("orders", {"id": 40, "status": "paid", "updated_at": at("2027-01-01")})
-    )
-    seen = {"calls": 0}
+    second = first.unionByName(paid(source, 3, 40))
     original = getattr(RawTable, step)
 
     def dies(self, *arguments):
-        seen["calls"] += 1
-        if seen["calls"] == call:
-            raise RuntimeError("driver lost")
-        return original(self, *arguments)
+        if after:
+            original(self, *arguments)
+        raise RuntimeError("driver lost")
 
     monkeypatch.setattr(RawTable, step, dies)
-    try:
+    with pytest.raises(RuntimeError):
         raw.load(second, "2.5")
-    except RuntimeError:
-        assert call < 3
     monkeypatch.undo()
+    recorded = step == "_trim"
+    landed = {row.id: row.status for row in raw.read().collect()}
+    assert len(landed) == (26 if recorded else 25)  # the old state or the new one, never a mixture
     state = raw.load(second, "3.5")
     assert state.phase == "done" and state.mark == at("2027-01-01")
     landed = {row.id: row.status for row in raw.read().collect()}
-    assert len(landed) == 26 and landed[40] == "paid"
+    assert len(landed) == 26 and {i for i, s in landed.items() if s == "paid"} == {3, 40}
     assert raw.load(second, "4.5") == state
+    for month in (3, 4):  # what the crash has left goes when old states do
+        raw.load(paid(source, 7, when=f"2027-{month:02d}-01"), f"{month + 2}.5")
+    states = [int(p.name) for p in (tmp_path / "raw" / "_files" / "orders").iterdir()]
+    assert stored(tmp_path) == named(raw, states)
 
 
 def test_a_crashed_first_load_starts_over(spark, root, source, monkeypatch):
@@ -381,8 +450,8 @@ def test_a_backlog_out_of_order_stays_whole(spark, root, source, tmp_path):
 def test_an_unreadable_journal_is_no_first_load(spark, root, source, tmp_path):
     raw = orders(spark, root)
     raw.load(source.table("orders", {"id": 1}), "1.5")
-    for file in (tmp_path / "raw" / "_journal" / "orders").glob("*.parquet"):
-        file.write_bytes(b"not parquet")
+    for file in (tmp_path / "raw" / "_journal" / "orders").glob("*.json"):
+        file.write_bytes(b"not a record")
     with pytest.raises(Exception):  # noqa: B017
         raw.load(source.table("orders", {"id": 2}), "2.5")
     assert spark.read.parquet(raw.path).count() == 1
