@@ -1,8 +1,9 @@
 """Data-quality checks as Spark jobs.
 
 Every check yields ``(check_name, rows_checked, failures)``, one row also when its table is empty.
-The not-null and accepted-value checks of a table share one scan. Uniqueness and relationship checks
-count per value before they compare, so a value that fills a third of the table stays cheap.
+The not-null and accepted-value checks of a table share one scan, and so do its uniqueness checks, which
+shuffle hashes instead of values. Uniqueness and relationship checks count per value before they
+compare, so a value that fills a third of the table stays cheap.
 """
 
 from __future__ import annotations
@@ -38,12 +39,50 @@ def _unpivot(counted: DataFrame, names: list[str], checked: list[str], failed: l
     return counted.select(F.inline(F.array(*results)))
 
 
-def unique(model: str, table: DataFrame, column: str) -> DataFrame:
-    """Failures are values that occur more than once. NULL is no value."""
-    per_value = table.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
-    return per_value.agg(
-        F.lit(_name("unique", model, column)).alias("check_name"),
-        F.coalesce(F.sum("n"), F.lit(0)).alias("rows_checked"),
+def hash_counts(model: str, table: DataFrame, columns: list[str]) -> DataFrame:
+    """``check_name, hash, n`` over all given columns in one pass. NULL is no value."""
+    hashes = [
+        F.struct(
+            F.lit(_name("unique", model, c)).alias("check_name"),
+            F.when(F.col(c).isNotNull(), F.xxhash64(c)).alias("hash"),
+        )
+        for c in columns
+    ]
+    return table.select(F.inline(F.array(*hashes))).where("hash IS NOT NULL")
+
+
+def unique(declared: dict[str, list[str]], models: dict[str, DataFrame]) -> DataFrame:
+    """Failures are values that occur more than once, in the declared columns of each model.
+
+    One job reads every model once and counts 64-bit hashes. A hash that occurs once belongs to a value
+    that does; only where one is repeated are the values themselves compared, and only those with such
+    a hash. That first job runs when this is called, and one row a check comes back from it.
+    """
+    names = {_name("unique", model, c): (model, c) for model, columns in declared.items() for c in columns}
+    hashes = stack(hash_counts(model, models[model], columns) for model, columns in declared.items())
+    counts = hashes.groupBy("check_name", "hash").agg(F.count("*").alias("n"))
+    seen = counts.groupBy("check_name").agg(
+        F.sum("n").alias("rows_checked"), F.count_if(F.col("n") > 1).alias("repeated")
+    )
+    found = {row["check_name"]: row for row in seen.collect()}
+    spark = hashes.sparkSession
+    settled, open_checks = [], []
+    for name, (model, column) in names.items():
+        rows, repeated = found[name][1:] if name in found else (0, 0)
+        if not repeated:
+            settled.append((name, rows, 0))
+        else:
+            open_checks.append(_repeated_values(name, models[model], column, rows))
+    return stack([spark.createDataFrame(settled, RESULT), *open_checks])
+
+
+def _repeated_values(name: str, table: DataFrame, column: str, rows: int) -> DataFrame:
+    hashed = table.where(F.col(column).isNotNull()).select(column, F.xxhash64(column).alias("hash"))
+    again = hashed.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
+    values = hashed.join(again, "hash", "left_semi").groupBy(column).agg(F.count("*").alias("n"))
+    return values.agg(
+        F.lit(name).alias("check_name"),
+        F.lit(rows).cast("bigint").alias("rows_checked"),
         F.count_if(F.col("n") > 1).alias("failures"),
     )
 

@@ -2,7 +2,7 @@
 
 Rows are compared by counting equal ones on both sides, not by joining them. That treats NULL as
 equal to NULL, works with and without a key, and cannot blow up on repeated rows: copies are
-counted before the shuffle.
+counted before the shuffle. Only a row's key and a digest of 128 bits are shuffled, however wide it is.
 """
 
 from __future__ import annotations
@@ -39,19 +39,27 @@ def schema_diff(before: DataFrame, after: DataFrame) -> DataFrame:
     return both.withColumn("change", change)
 
 
-def _counted(before: DataFrame, after: DataFrame) -> DataFrame:
-    """The distinct rows of both sides over the shared columns, and how often each side has them."""
+def _digest(columns: list[str]) -> list[Column]:
+    """128 bits that stand for a row. A hash passes over NULLs, so where they are is hashed as well."""
+    content = [F.col(name) for name in columns] + [F.col(name).isNull() for name in columns]
+    return [F.xxhash64(F.lit(seed), *content).alias(f"_digest_{seed}") for seed in (1, 2)]
+
+
+def _counted(before: DataFrame, after: DataFrame, key: str | None) -> DataFrame:
+    """The distinct rows of both sides over the shared columns, as keys and digests, and how often
+    each side has them."""
     shared = [name for name in before.columns if name in after.columns]
 
     def side(table: DataFrame, is_after: int) -> DataFrame:
         flags = [F.lit(1 - is_after).alias("_before"), F.lit(is_after).alias("_after")]
         return table.select(*shared, *flags)
 
-    return (
-        side(before, 0)
-        .union(side(after, 1))
-        .groupBy(*shared)
-        .agg(F.sum("_before").alias("_before"), F.sum("_after").alias("_after"))
+    # The union comes first: it brings columns that were retyped to one type.
+    both = side(before, 0).union(side(after, 1))
+    named = [F.col(key).alias("_key")] if key else []
+    short = both.select(*named, *_digest(shared), "_before", "_after")
+    return short.groupBy(*short.columns[:-2]).agg(
+        F.sum("_before").alias("_before"), F.sum("_after").alias("_after")
     )
 
 
@@ -61,13 +69,13 @@ def row_diff(before: DataFrame, after: DataFrame, key: str | None = None) -> Dat
     With a key, a row gone on one side and back with other values on the other counts as changed;
     without one, it counts as removed and added.
     """
-    counted = _counted(before, after)
+    counted = _counted(before, after, key)
     old, new = F.col("_before"), F.col("_after")
     differs = old != new
     # Equal rows fold into one group before the second shuffle; only differing ones keep their key.
     groups = [differs.alias("_differs")]
     if key:
-        groups.append(F.when(differs, F.col(key)).alias("_key"))
+        groups.append(F.when(differs, F.col("_key")).alias("_key"))
     per_key = counted.groupBy(*groups).agg(
         F.sum(old).alias("rows_before"),
         F.sum(new).alias("rows_after"),

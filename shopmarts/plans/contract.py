@@ -87,11 +87,8 @@ COMPARED = "decimal(30,2)"
 
 
 def unique(models: dict[str, DataFrame]) -> DataFrame:
-    return checks.stack(
-        checks.unique(model, models[model], column)
-        for model, columns in UNIQUE.items()
-        for column in columns
-    )
+    """Thirteen columns of nine models; every model is read once."""
+    return checks.unique(UNIQUE, models)
 
 
 def not_null(models: dict[str, DataFrame]) -> DataFrame:

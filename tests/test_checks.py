@@ -169,3 +169,34 @@ def test_freshness(source, seconds, status):
 def test_a_table_never_loaded_is_stale(source):
     raw = {name: with_lineage(source.table("orders"), "1.5") for name in contract.FRESH_TABLES}
     assert {row.status for row in contract.freshness(raw, 100).collect()} == {"error"}
+
+
+def plan_of(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_uniqueness_reads_a_table_once_and_shuffles_hashes(spark):
+    table = spark.createDataFrame([(i, f"mail {i}") for i in range(9)], "id int, email string")
+    counts = checks.hash_counts("m", table, ["id", "email"]).groupBy("check_name", "hash").count()
+    plan = plan_of(counts)
+    assert plan.count("Scan ") == 1 and "email" not in plan[: plan.index("Exchange")]
+    results = checks.unique({"m": ["id", "email"]}, {"m": table})
+    assert "Exchange" not in plan_of(results)  # settled by the hashes alone
+    assert sorted(map(tuple, results.collect())) == [("unique m.email", 9, 0), ("unique m.id", 9, 0)]
+
+
+def test_a_repeated_hash_is_settled_by_its_values(spark, monkeypatch):
+    """With a hash that falls together often, only values that are equal count."""
+    rows = [(i, f"mail {i % 7}", None) for i in range(9)] + [(None, None, None)]
+    table = spark.createDataFrame(rows, "id int, email string, nothing string")
+    monkeypatch.setattr(checks.F, "xxhash64", lambda column: F.length(F.col(column).cast("string")).cast("long"))
+    results = checks.unique({"m": ["id", "email", "nothing"]}, {"m": table})
+    assert sorted(map(tuple, results.collect())) == [
+        ("unique m.email", 9, 2), ("unique m.id", 9, 0), ("unique m.nothing", 0, 0),
+    ]
+
+
+def test_uniqueness_of_empty_tables(spark):
+    table = spark.createDataFrame([], "id int, email string")
+    results = checks.unique({"m": ["id", "email"]}, {"m": table})
+    assert sorted(map(tuple, results.collect())) == [("unique m.email", 0, 0), ("unique m.id", 0, 0)]

@@ -41,6 +41,31 @@ def test_the_diff_never_joins(spark):
     assert "Join" not in plan
 
 
+def test_no_row_is_shuffled_whole(spark):
+    """Equal or not, only keys and digests move."""
+    table = frame(spark, *[(i, "a" * 100, None) for i in range(20)])
+    for key in ("id", None):
+        plan = row_diff(table, table, key)._jdf.queryExecution().executedPlan().toString()
+        moved = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+        assert moved and all("_digest_1" in moved[-1] and "name#" not in line for line in moved)
+        assert "SortAggregate" not in plan
+
+
+def test_where_nulls_are_is_part_of_a_row(spark):
+    kind = "id int, a string, b string"
+    one = spark.createDataFrame([(1, None, "x")], kind)
+    other = spark.createDataFrame([(1, "x", None)], kind)
+    assert counts(one, other, "id") == (1, 1, 1, 0, 0)
+    split = spark.createDataFrame([(1, "xy", "z")], kind), spark.createDataFrame([(1, "x", "yz")], kind)
+    assert counts(*split, "id") == (1, 1, 1, 0, 0)
+
+
+def test_a_retyped_column_with_equal_values_is_no_change(spark):
+    before = frame(spark, (1, "a", Decimal(1)), (2, None, None))
+    after = before.withColumn("id", F.col("id").cast("long")).withColumn("amount", F.col("amount").cast("decimal(20,4)"))
+    assert counts(before, after, "id") == counts(before, after) == (2, 2, 0, 0, 0)
+
+
 def test_columns_added_removed_and_retyped(spark):
     before = frame(spark, (1, "a", None), (2, None, None))
     after = before.drop("name").withColumn("id", F.col("id").cast("long")).withColumn("new", F.lit(1))
