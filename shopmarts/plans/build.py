@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import os
-import uuid
+import warnings
+from collections.abc import Callable
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 
 from shopmarts.operators import checks
 from shopmarts.plans import contract
@@ -14,7 +15,8 @@ from shopmarts.plans.intermediate import order_money
 from shopmarts.plans.marts import Marts, marts_of, stage
 from shopmarts.plans.reports import REPORTS
 from shopmarts.session import together
-from shopmarts.sources.layout import Layout, open_marts, publish
+from shopmarts.sources.exposure import require_exposed
+from shopmarts.sources.layout import Layout, new_name, open_marts, publish, publish_export
 
 MONEY = "int_orders__items_aggregated"
 
@@ -32,17 +34,17 @@ def _store(table: DataFrame, path: str) -> None:
 def build(spark: SparkSession, raw: dict[str, DataFrame], layout: Layout) -> Marts:
     """Build the marts of a target in full, beside the builds there are; ``verify`` publishes them.
 
-    Staging stays a set of views. Order money is stored, because two marts read it and a plan can
+    Staging stays a set of views, named by target. Order money is stored, because two marts read it and a plan can
     share a shuffle only within one query.
     """
-    name = uuid.uuid4().hex
+    name = new_name()
     staged = stage(raw)
-    for view, table in staged.items():
-        table.createOrReplaceTempView(view)
+    for model, table in staged.items():
+        table.createOrReplaceTempView(layout.view(model))
     lines = staged["stg_webshop__order_items"]
     _store(order_money(lines), layout.stored(MONEY, name))
     money = spark.read.parquet(layout.stored(MONEY, name))
-    money.createOrReplaceTempView(MONEY)
+    money.createOrReplaceTempView(layout.view(MONEY))
     marts = marts_of(staged, money).named()
     jobs = {model: partial(_store, table, layout.stored(model, name)) for model, table in marts.items()}
     together(spark, jobs)
@@ -61,7 +63,8 @@ def verify(
     spark: SparkSession, raw: dict[str, DataFrame], layout: Layout, build: str, now_second: int
 ) -> DataFrame:
     """Run every check over a build. Publish it when all pass; else raise, and readers keep the former
-    build. A source whose last load is too long before ``now_second`` fails the run as well."""
+    build. A source whose last load is too long before ``now_second`` fails the run as well; one that is
+    getting old is a warning."""
     marts, built = open_marts(spark, layout, build), models(spark, raw, layout, build)
     exact = contract.money_is_exact(marts).selectExpr(
         "concat('exact ', table_name, '.', column_name) as check_name",
@@ -69,23 +72,26 @@ def verify(
         # The type is wrong also where no row shows it.
         "if(is_exact, 0, greatest(failures, 1)) as failures",
     )
-    fresh = contract.freshness(raw, now_second).selectExpr(
-        "concat('fresh ', table_name) as check_name",
-        "1L as rows_checked",
-        "cast(status = 'error' as bigint) as failures",
-    )
-    results = {
-        "scans": contract.scans(built),
-        "unique": contract.unique(built),
-        "relationships": contract.relationships(built),
-        "reconcile": contract.reconcile(marts),
-        "realised": contract.realised(marts),
-        "exact": exact,
-        "fresh": fresh,
+    results: dict[str, Callable[[], DataFrame]] = {
+        "scans": partial(contract.scans, built),
+        "unique": partial(contract.unique, built),
+        "relationships": partial(contract.relationships, built),
+        "reconcile": partial(contract.reconcile, marts),
+        "realised": partial(contract.realised, marts),
+        "exact": lambda: exact,
+        "fresh": partial(contract.freshness, raw, now_second),
     }
     # One short row per declared check comes back, however large the tables.
-    found = together(spark, {name: checked.collect for name, checked in results.items()})
+    found = together(spark, {name: lambda make=make: make().collect() for name, make in results.items()})
+    aged = found.pop("fresh")
+    for row in aged:
+        if row.status == "warn":
+            warnings.warn(f"{row.table_name} was loaded {row.age_seconds // 3600} hours ago", stacklevel=2)
     rows = [row for group in found.values() for row in group]
+    rows += [
+        Row(check_name=f"fresh {row.table_name}", rows_checked=1, failures=int(row.status == "error"))
+        for row in aged
+    ]
     failed = [f"{row.check_name}: {row.failures}" for row in rows if row.failures]
     if failed:
         raise ChecksFailed("; ".join(failed))
@@ -93,11 +99,21 @@ def verify(
     return spark.createDataFrame(rows, checks.RESULT)
 
 
-def export(spark: SparkSession, layout: Layout) -> dict[str, str]:
-    """Write the extract of every mart and the result of every report; always from the published build."""
+def export(
+    spark: SparkSession, layout: Layout, reports: dict[str, Callable[[Marts], DataFrame]] = REPORTS
+) -> dict[str, str]:
+    """Write the extract of every mart and the result of every report, from the published build.
+
+    Parts are written to a folder of their own, and one record publishes them together: a report that
+    fails leaves the former set readable, and no reader sees two builds. A report that reads anything
+    but marts is refused first.
+    """
     marts = open_marts(spark, layout)
     tables = {f"extracts/{name}": table for name, table in marts.named().items()}
-    tables |= {f"reports/{name}": report(marts) for name, report in REPORTS.items()}
-    paths = {name: os.path.join(layout.exports(), name) for name in tables}
-    together(spark, {name: partial(_store, table, paths[name]) for name, table in tables.items()})
-    return {os.path.basename(name): path for name, path in paths.items()}
+    tables |= {f"reports/{name}": report(marts) for name, report in reports.items()}
+    require_exposed(spark, layout, marts.build, tables)
+    name = new_name()
+    paths = {part: os.path.join(layout.exports(), name, part) for part in tables}
+    together(spark, {part: partial(_store, table, paths[part]) for part, table in tables.items()})
+    publish_export(spark, layout, name)
+    return {os.path.basename(part): path for part, path in paths.items()}

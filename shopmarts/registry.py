@@ -23,6 +23,7 @@ from shopmarts.plans.reports import REPORTS
 from shopmarts.schemas import LOAD_ID, ROW_ID, TABLES
 from shopmarts.session import scratch_dir
 from shopmarts.sources import defects, trade_tables
+from shopmarts.sources.folders import stamp
 from shopmarts.sources.layout import Layout, open_marts
 from shopmarts.streaming.landing import land_new_files
 
@@ -356,15 +357,15 @@ def _run(spark: SparkSession, folder: str, load_id: str = LANDED_BY) -> dict[str
     return export(spark, layout)
 
 
-# Where an application's run over a folder has exported what, so that the queries below share it.
-_EXPORTED: dict[tuple[str, str], dict[str, str]] = {}
+# Where an application's run over given files has exported what, so that the queries below share it.
+_EXPORTED: dict[tuple, dict[str, str]] = {}
 
 
 def _register_exports() -> None:
     """The reports and extracts as a run exports them: from stored, checked and published marts."""
 
     def exported(spark: SparkSession, folder: str, name: str) -> DataFrame:
-        key = (spark.sparkContext.applicationId, folder)
+        key = (spark.sparkContext.applicationId, folder, stamp(spark, folder))
         if key not in _EXPORTED:
             _EXPORTED[key] = _run(spark, folder)
         return spark.read.parquet(_EXPORTED[key][name])

@@ -31,6 +31,19 @@ def remove(spark: SparkSession, paths: Iterable[str]) -> None:
         system.delete(place, True)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with its scheme, as plans name it."""
+    system, place = _open(spark, path)
+    return system.makeQualified(place).toString()
+
+
+def stamp(spark: SparkSession, path: str) -> tuple:
+    """What tells that the files of a folder have changed: their names, lengths and times."""
+    system, place = _open(spark, path)
+    found = system.listStatus(place)
+    return tuple(sorted((s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in found))
+
+
 def put(spark: SparkSession, path: str, text: str) -> None:
     """Write a small file so that readers see all of it or nothing. There must be none of that name."""
     folder, name = os.path.split(path)

@@ -24,23 +24,26 @@ def read_csv(spark: SparkSession, root: str, spec: TableSpec) -> DataFrame:
     )
 
 
-def jdbc_options(
-    url: str, spec: TableSpec, schema: str, low: int, high: int, partitions: int
-) -> dict[str, str]:
-    """Options of a parallel table scan, split over the key between ``low`` and ``high``.
+def cut_query(spec: TableSpec, schema: str, partitions: int) -> str:
+    """SQL for the smallest key of each of ``partitions`` parts of equally many rows."""
+    return (
+        f"select min({spec.key}) as low from (select {spec.key}, ntile({partitions}) over "
+        f"(order by {spec.key}) as part from {schema}.{spec.name} where {spec.key} is not null) ranked "
+        "group by part"
+    )
+
+
+def key_predicates(key: str, cuts: list) -> list[str]:
+    """Conditions that put every row in exactly one part, each from one cut up to the next.
 
-    The bounds only place the cuts. Rows outside them still fall in the first or last part.
+    Parts hold equally many rows whatever gaps the key has. The first has all below the first cut and rows
+    without a key, the last all above the last, so rows that came after the cuts were taken count too.
     """
-    return {
-        "url": url,
-        "dbtable": f"{schema}.{spec.name}",
-        "partitionColumn": spec.key,
-        "lowerBound": str(low),
-        "upperBound": str(high + 1),
-        "numPartitions": str(max(1, min(partitions, high - low + 1))),
-        "preferTimestampNTZ": "true",
-        "pushDownPredicate": "true",
-    }
+    cuts = sorted(set(cuts))[1:]
+    if not cuts:
+        return ["1 = 1"]
+    inner = [f"{key} >= {low} and {key} < {high}" for low, high in zip(cuts, cuts[1:])]
+    return [f"{key} < {cuts[0]} or {key} is null", *inner, f"{key} >= {cuts[-1]}"]
 
 
 def read_jdbc(
@@ -51,12 +54,12 @@ def read_jdbc(
     partitions: int = 64,
     **connection: str,
 ) -> DataFrame:
-    """A database table, read by ``partitions`` tasks. A cursor filter on it runs in the database."""
-    reader = spark.read.format("jdbc").options(**connection).option("url", url)
-    bounds = f"(select min({spec.key}) as low, max({spec.key}) as high from {schema}.{spec.name}) b"
-    ends = reader.option("dbtable", bounds).load().toDF("low", "high").first()
-    low, high = (0, 0) if ends.low is None else (int(ends.low), int(ends.high))
-    options = jdbc_options(url, spec, schema, low, high, partitions)
-    table = spark.read.format("jdbc").options(**connection, **options).load()
+    """A database table, read by ``partitions`` tasks of equally many rows. A cursor filter on it runs in
+    the database."""
+    options = {"preferTimestampNTZ": "true", "pushDownPredicate": "true", **connection}
+    cuts = spark.read.format("jdbc").options(**options, url=url, query=cut_query(spec, schema, partitions))
+    found = [row[0] for row in cuts.load().collect()]  # one key a task
+    parts = key_predicates(spec.key, found)
+    table = spark.read.jdbc(url, f"{schema}.{spec.name}", predicates=parts, properties=options)
     # Databases fold the case of names; the pipeline uses lower case.
     return table.select(*[F.col(f"`{name}`").alias(name.lower()) for name in table.columns])

@@ -13,7 +13,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopmarts.operators import draws
+from tests import draws
 from shopmarts.schemas import COFFEE_ORIGINS
 
 # The source's column hints.

@@ -1,4 +1,6 @@
+import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from shopmarts.plans import contract
 from shopmarts.plans.build import ChecksFailed, build, export, models, verify
@@ -7,7 +9,17 @@ from shopmarts.plans.marts import Marts
 from shopmarts.plans.reports import REPORTS
 from shopmarts.schemas import CUSTOMERS, LOAD_ID, TABLES
 from shopmarts.sources import readers
-from shopmarts.sources.layout import EXPOSED_LAYERS, MODEL_LAYERS, Layout, open_marts, publish
+from shopmarts.sources.exposure import NotExposed
+from shopmarts.sources.folders import children
+from shopmarts.sources.layout import (
+    EXPOSED_LAYERS,
+    KEPT,
+    MODEL_LAYERS,
+    Layout,
+    open_export,
+    open_marts,
+    publish,
+)
 from tests.conftest import LOAD
 from tests.test_checks import GOOD
 
@@ -100,8 +112,12 @@ def test_a_stale_source_fails_the_run(spark, source, tmp_path):
 def test_views_of_the_upstream_layers(spark, built):
     layout, raw, _ = built
     made = build(spark, raw, layout)
-    assert spark.table("stg_webshop__orders").count() == 3
-    assert spark.table("int_orders__items_aggregated").count() == 2
+    assert spark.table("shop_staging__stg_webshop__orders").count() == 3
+    assert spark.table("shop_intermediate__int_orders__items_aggregated").count() == 2
+    other = Layout(layout.warehouse, "dev")
+    build(spark, {**raw, "orders": raw["orders"].limit(1)}, other)
+    assert spark.table(layout.view("stg_webshop__orders")).count() == 3
+    assert spark.table(other.view("stg_webshop__orders")).count() == 1
     assert set(models(spark, raw, layout, made.build)) == set(MODEL_LAYERS)
 
 
@@ -118,6 +134,77 @@ def test_export_is_refreshed(spark, source, tmp_path):
     assert spark.read.parquet(written["fct_orders"]).count() == 1
 
 
+def test_a_failing_report_leaves_the_former_export(spark, source, tmp_path):
+    layout = Layout(str(tmp_path))
+    raw = source.raw(**GOOD)
+    publish(spark, layout, build(spark, raw, layout).build)
+    with pytest.raises(FileNotFoundError, match="nothing was exported"):
+        open_export(spark, layout)
+    written = export(spark, layout)
+    assert open_export(spark, layout) == written
+
+    def fails(marts):
+        return marts.orders.select(F.raise_error(F.lit("no report")).alias("x"))
+
+    publish(spark, layout, build(spark, source.raw(**{**GOOD, "orders": GOOD["orders"][:1]}), layout).build)
+    with pytest.raises(Exception, match="no report"):
+        export(spark, layout, {"headline": REPORTS["headline"], "broken": fails})
+    assert open_export(spark, layout) == written
+    assert spark.read.parquet(written["headline"]).first().order_count == 3
+
+
+def test_old_builds_and_exports_go(spark, source, tmp_path):
+    layout = Layout(str(tmp_path))
+    raw = source.raw(**GOOD)
+    headline = {"headline": REPORTS["headline"]}
+    unpublished = build(spark, raw, layout).build
+    builds, exports = [], []
+    for _ in range(KEPT + 2):
+        made = build(spark, raw, layout)
+        publish(spark, layout, made.build)
+        builds.append(made.build)
+        exports.append(export(spark, layout, headline)["headline"].split("/")[-3])
+    for model in ("fct_orders", "dim_products", "int_orders__items_aggregated"):
+        assert children(spark, layout.path(model)) == builds[-KEPT:]
+    assert unpublished < builds[0]
+    assert [n for n in children(spark, layout.exports()) if n != "_published"] == exports[-KEPT:]
+    assert open_marts(spark, layout).orders.count() == 3
+
+
+def test_a_report_that_reads_anything_else_is_refused(spark, source, built):
+    layout, raw, stored = built
+    publish(spark, layout, stored.build)
+    other = build(spark, raw, layout)  # a build that nobody has checked
+    staged = spark.table(layout.view("stg_webshop__orders"))
+    hidden = {
+        "staging": lambda marts: staged,
+        "raw": lambda marts: raw["orders"],
+        "a join": lambda marts: marts.orders.join(staged.select("order_id"), "order_id"),
+        "a view": lambda marts: spark.sql(f"select count(*) from {layout.view('stg_webshop__orders')}"),
+        "another build": lambda marts: other.orders,
+        "an RDD": lambda marts: spark.createDataFrame(spark.sparkContext.parallelize([(1,)]), "a int"),
+    }
+    marts_view = stored.orders.createOrReplaceTempView("orders_mart")
+    assert marts_view is None
+    for name, report in hidden.items():
+        with pytest.raises(NotExposed, match=name):
+            export(spark, layout, {name: report})
+    subquery = f"select * from orders_mart where order_id in (select order_id from {layout.view('stg_webshop__orders')})"
+    with pytest.raises(NotExposed):
+        export(spark, layout, {"subquery": lambda marts: spark.sql(subquery)})
+    allowed = {"view": lambda marts: spark.sql("select count(*) as n from orders_mart")}
+    assert spark.read.parquet(export(spark, layout, allowed)["view"]).first().n == 3
+
+
+def test_an_aging_source_is_a_warning(spark, source, tmp_path):
+    layout = Layout(str(tmp_path))
+    raw = source.raw(**GOOD)
+    made = build(spark, raw, layout)
+    with pytest.warns(UserWarning, match="orders was loaded 40 hours ago"):
+        verify(spark, raw, layout, made.build, LANDED + 40 * 3600)
+    assert open_marts(spark, layout).build == made.build
+
+
 def test_csv_seeds_have_declared_types(spark, source, tmp_path):
     seeds = tmp_path / "customers.csv"
     rows = source.table("customers", {"id": 1, "phone": "0470"}, {"id": 2})
@@ -145,11 +232,27 @@ def test_parquet_source(spark, source, tmp_path):
     assert readers.read_parquet(spark, str(tmp_path), TABLES["orders"]).count() == 1
 
 
-def test_jdbc_scan_is_split_over_the_key():
-    options = readers.jdbc_options("jdbc:x", TABLES["orders"], "raw", 1, 1000, 64)
-    assert options["dbtable"] == "raw.orders" and options["partitionColumn"] == "id"
-    assert (options["lowerBound"], options["upperBound"], options["numPartitions"]) == ("1", "1001", "64")
-    assert readers.jdbc_options("jdbc:x", TABLES["orders"], "raw", 5, 6, 64)["numPartitions"] == "2"
+@pytest.mark.parametrize("partitions", [1, 2, 7, 64])
+def test_database_scan_is_cut_into_equal_parts(partitions):
+    """Run in the process's own SQL engine: keys with wide gaps, and one far away from all others."""
+    keys = [*range(100), *range(10**6, 10**6 + 50), 10**12, 10**12 + 1]
+    con = duckdb.connect()
+    con.execute("create schema raw; create table raw.orders (id bigint)")
+    con.executemany("insert into raw.orders values (?)", [(k,) for k in [*keys, None, None]])
+    cuts = [row[0] for row in con.sql(readers.cut_query(TABLES["orders"], "raw", partitions)).fetchall()]
+    parts = readers.key_predicates("id", cuts)
+    assert len(parts) == partitions
+    con.execute("insert into raw.orders values (-5), (500), (2000000000000)")  # after the cuts were taken
+    rows = [con.sql(f"from raw.orders where {part}").fetchall() for part in parts]
+    assert sorted(str(r) for own in rows for r in own) == sorted(
+        str((k,)) for k in [*keys, None, None, -5, 500, 2 * 10**12]
+    )
+    assert max(map(len, rows)) <= -(-len(keys) // partitions) + 5  # and those without a part of their own
+
+
+def test_database_scan_of_few_or_no_keys():
+    assert readers.key_predicates("id", []) == readers.key_predicates("id", [7]) == ["1 = 1"]
+    assert readers.key_predicates("id", [7, 7, 9]) == ["id < 9 or id is null", "id >= 9"]
 
 
 def test_a_new_table_leaves_the_others_alone(spark, source, built):

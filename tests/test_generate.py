@@ -4,9 +4,9 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from shopmarts.operators import draws
-from shopmarts.plans import generate
-from shopmarts.plans.generate import Shop
+from tests import draws
+from tests import generate
+from tests.generate import Shop
 from shopmarts.schemas import TABLES
 
 SHOP = Shop()
