@@ -296,8 +296,20 @@ def contamination(
     )
 
 
-def clean(documents: DataFrame, items: DataFrame, **options: object) -> DataFrame:
-    """The documents that are not contaminated, with all their columns."""
-    judged = contamination(documents, items, **options)
-    rejected = judged.where("contaminated").select("doc_id").distinct()
-    return documents.join(rejected, "doc_id", "left_anti")
+def clean(
+    documents: DataFrame,
+    items: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    **options: object,
+) -> DataFrame:
+    """The documents that are not contaminated, with all their columns.
+
+    A verdict belongs to a text, so rows are told apart by a hash of theirs: rows without an id, and
+    rows that share one, are each judged by their own text.
+    """
+    keyed = documents.withColumn("_text_hash", F.xxhash64(text_column))
+    judged = contamination(keyed, items, id_column="_text_hash", text_column=text_column, **options)
+    rejected = judged.where("contaminated").select("_text_hash").distinct()
+    kept = keyed.join(rejected, "_text_hash", "left_anti")
+    return kept.select(*documents.columns)

@@ -25,7 +25,7 @@ of 2^-64 each. Classes are told apart by 128 bits.
 from __future__ import annotations
 
 import os
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -584,11 +584,28 @@ def _cells(apart: DataFrame) -> DataFrame:
     )
 
 
-def deduplicated(documents: DataFrame, **options: Callable) -> DataFrame:
+def deduplicated(
+    documents: DataFrame, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
     """One document of each component, the one with the smallest id, with all its columns.
 
-    Rows without an id stay.
+    Of several rows with that id, the one whose text and then other columns come first stays. Rows
+    without an id stay.
     """
-    found = near_duplicates(documents, **options)
-    copies = found.where("component_id <> doc_id").select("doc_id").distinct()
-    return documents.join(copies, "doc_id", "left_anti")
+    spark = documents.sparkSession
+    path = os.path.join(scratch_dir(spark, "deduplicated"), "components")
+    near_duplicates(documents, id_column, text_column).write.parquet(path)
+    found = spark.read.parquet(path)
+    own = F.col(id_column)
+    copies = found.where(F.col("component_id") != own).select(id_column).distinct()
+    kept = documents.join(copies, id_column, "left_anti")
+    again = found.where(own.isNotNull()).groupBy(id_column).agg(F.count("*").alias("_rows")).where("_rows > 1")
+    if again.isEmpty():
+        return kept
+    # Only rows of repeated ids are compared, and of those each task hands on one a key.
+    repeated = again.select(id_column)
+    rest = [c for c in sorted(documents.columns) if c not in (id_column, text_column)]
+    order = Window.partitionBy(id_column).orderBy(text_column, *rest)
+    first = kept.join(repeated, id_column, "left_semi").withColumn("_place", F.row_number().over(order))
+    single = kept.join(repeated, id_column, "left_anti")
+    return single.unionByName(first.where("_place = 1").drop("_place")).select(*documents.columns)

@@ -68,6 +68,33 @@ def test_clean_documents_stay(spark, documents):
     assert decontaminate.contamination(docs, items.limit(0)).where("contaminated").count() == 0
 
 
+def test_each_row_is_judged_by_its_own_text(spark, documents):
+    """Rows without an id, and rows that share one; the id column may have any name."""
+    dirty = " ".join(f"q{i}" for i in range(20))
+    items = spark.createDataFrame([(1, dirty, "x", "y")], ITEMS)
+    docs = documents((None, dirty), (None, "no id"), (1, dirty), (1, "same id"), (1, "same id"), (2, None))
+    for rows, name in ((docs, "doc_id"), (docs.withColumnRenamed("doc_id", "name"), "name")):
+        kept = decontaminate.clean(rows, items, id_column=name)
+        assert kept.columns == rows.columns
+        assert sorted(str((r[name], r.text)) for r in kept.collect()) == sorted(
+            str(x) for x in [(None, "no id"), (1, "same id"), (1, "same id"), (2, None)]
+        )
+        assert decontaminate.clean(rows.limit(0), items, id_column=name).count() == 0
+
+
+def test_one_row_of_each_group_stays(spark, documents):
+    """Also where rows share the smallest id; rows without an id stay."""
+    copy = "a b c d e f g"
+    docs = documents((1, copy), (1, copy), (2, copy), (3, "other x"), (3, "other"), (None, copy), (None, copy))
+    for rows, name in ((docs, "doc_id"), (docs.withColumnRenamed("doc_id", "name"), "name")):
+        kept = jaccard.deduplicated(rows.repartition(3), id_column=name)
+        assert kept.columns == rows.columns
+        assert sorted(str((r[name], r.text)) for r in kept.collect()) == sorted(
+            str(x) for x in [(1, copy), (3, "other"), (None, copy), (None, copy)]
+        )
+    assert jaccard.deduplicated(docs.limit(0)).count() == 0
+
+
 def sets_of(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(decontaminate._LOWER))
     if not words:
