@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopmarts.llm.components import components
+from shopmarts.llm.memory import tidy
 from shopmarts.llm.words import GOLDEN, NOT_SPACE, _mixed, blocks, find_words, shingle_hashes
 from shopmarts.session import scratch_dir
 
@@ -99,7 +100,7 @@ def _sets(documents: DataFrame) -> DataFrame:
         yield pa.record_batch([*none, pa.array([small.tobytes()], pa.binary())], schema=SETS)
 
     return documents.mapInArrow(
-        run, "doc_id long, n long, class_a long, class_b long, counts binary"
+        tidy(run), "doc_id long, n long, class_a long, class_b long, counts binary"
     )
 
 
@@ -120,7 +121,7 @@ def _counts(sets: DataFrame) -> np.ndarray:
         yield pa.record_batch([pa.array([table.tobytes()], pa.binary())], names=["counts"])
 
     parts = sets.where("counts IS NOT NULL").select("counts")
-    sums = parts.repartition(8).mapInArrow(total, "counts binary")
+    sums = parts.repartition(8).mapInArrow(tidy(total), "counts binary")
     zero = np.zeros(1 << TABLE_BITS, np.int64)
     return sum((np.frombuffer(row[0], np.uint32) for row in sums.toLocalIterator()), zero)
 
@@ -172,7 +173,7 @@ def _entries(documents: DataFrame, counts: np.ndarray, ranges: int) -> DataFrame
         if tiles:
             yield from packed(tiles, classes)
 
-    return documents.select("text").mapInArrow(run, "range int, tiles binary, classes binary")
+    return documents.select("text").mapInArrow(tidy(run), "range int, tiles binary, classes binary")
 
 
 def _tiles(shingles: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -263,7 +264,7 @@ def _arrays(documents: DataFrame, needed: DataFrame) -> DataFrame:
     return (
         documents.where("doc_id IS NOT NULL")
         .select("doc_id", "text", bit.alias("bit"))
-        .mapInArrow(run, "doc_id long, shingles array<long>, bitmap binary, n long")
+        .mapInArrow(tidy(run), "doc_id long, shingles array<long>, bitmap binary, n long")
     )
 
 
@@ -319,7 +320,7 @@ def _bounded(pairs: DataFrame, arrays: DataFrame) -> DataFrame:
         )
 
     both = pairs.join(side("a"), "a").join(side("b"), "b")
-    return both.select("a", "b", "of_a", "n_a", "of_b", "n_b").mapInArrow(run, "a long, b long")
+    return both.select("a", "b", "of_a", "n_a", "of_b", "n_b").mapInArrow(tidy(run), "a long, b long")
 
 
 def _verified(pairs: DataFrame, arrays: DataFrame) -> DataFrame:
@@ -335,7 +336,7 @@ def _verified(pairs: DataFrame, arrays: DataFrame) -> DataFrame:
         return arrays.select(F.col("doc_id").alias(name), F.col("shingles").alias(f"of_{name}"))
 
     both = pairs.join(side("a"), "a").join(side("b"), "b")
-    return both.select("a", "b", "of_a", "of_b").mapInArrow(run, "a long, b long")
+    return both.select("a", "b", "of_a", "of_b").mapInArrow(tidy(run), "a long, b long")
 
 
 def _ascending(lists: pa.ListArray) -> Iterator[np.ndarray]:
