@@ -6,6 +6,7 @@ Each stage takes ``(spark, docs, sf_dir)``. All but the last return the columns
 
 from __future__ import annotations
 
+import functools
 import os
 from collections.abc import Callable
 
@@ -18,6 +19,19 @@ from shopmarts.session import scratch_dir
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+# Rows that pass between Spark and Python at once. Several times as much memory is held for them, on both
+# sides and for every core, and whole texts are long.
+BATCH_ROWS = ("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
+def _in_small_batches(stage: Stage) -> Stage:
+    @functools.wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set(*BATCH_ROWS)
+        return stage(spark, docs, sf_dir)
+
+    return run
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below 0.3 stay. The model is trained on the stage's own documents."""
@@ -50,11 +64,11 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Stage]] = [
-    ("toxicity", drop_toxic),
-    ("jaccard_join", drop_near_copies),
-    ("decontaminate", drop_contaminated),
-    ("pii", pseudonymise),
-    ("packing", pack),
+    ("toxicity", _in_small_batches(drop_toxic)),
+    ("jaccard_join", _in_small_batches(drop_near_copies)),
+    ("decontaminate", _in_small_batches(drop_contaminated)),
+    ("pii", _in_small_batches(pseudonymise)),
+    ("packing", _in_small_batches(pack)),
 ]
 
 # Learned scores, keyed hashes and token ids are not for SQL; tests/llm hold the stages against
