@@ -310,6 +310,11 @@ def clean(
     """
     keyed = documents.withColumn("_text_hash", F.xxhash64(text_column))
     judged = contamination(keyed, items, id_column="_text_hash", text_column=text_column, **options)
-    rejected = judged.where("contaminated").select("_text_hash").distinct()
+    # Written first, so that its size is known when the join is planned: as long as it is small, the
+    # documents are not shuffled.
+    spark = documents.sparkSession
+    path = os.path.join(scratch_dir(spark, "contaminated"), "texts")
+    judged.where("contaminated").select("_text_hash").distinct().write.parquet(path)
+    rejected = spark.read.parquet(path)
     kept = keyed.join(rejected, "_text_hash", "left_anti")
     return kept.select(*documents.columns)

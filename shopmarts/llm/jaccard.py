@@ -594,11 +594,18 @@ def deduplicated(
     without an id stay.
     """
     spark = documents.sparkSession
-    path = os.path.join(scratch_dir(spark, "deduplicated"), "components")
-    near_duplicates(documents, id_column, text_column).write.parquet(path)
-    found = spark.read.parquet(path)
+    folder = scratch_dir(spark, "deduplicated")
+
+    def written(frame: DataFrame, name: str) -> DataFrame:
+        path = os.path.join(folder, name)
+        frame.write.parquet(path)
+        return spark.read.parquet(path)
+
+    found = written(near_duplicates(documents, id_column, text_column), "components")
     own = F.col(id_column)
-    copies = found.where(F.col("component_id") != own).select(id_column).distinct()
+    # Written, so that its size is known when the join is planned: as long as it is small, the texts
+    # are not shuffled.
+    copies = written(found.where(F.col("component_id") != own).select(id_column).distinct(), "copies")
     kept = documents.join(copies, id_column, "left_anti")
     again = found.where(own.isNotNull()).groupBy(id_column).agg(F.count("*").alias("_rows")).where("_rows > 1")
     if again.isEmpty():
