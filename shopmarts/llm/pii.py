@@ -33,7 +33,7 @@ MAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Z
 KEY = (
     r"(?<![0-9A-Za-z])(?=[0-9a-fA-F]{24})"
     r"(?<=(?i:token|key|secret|password|passwd)['\"]{0,1}\s{0,3}[=:]{1,2}\s{0,3}['\"]{0,1})"
-    r"[0-9a-fA-F]{24,128}(?![0-9A-Za-z])"
+    r"[0-9a-fA-F]{24,}+(?![0-9A-Za-z])"
 )
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
 IPV4 = r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9])"
@@ -75,7 +75,8 @@ SHAPES = [
     *[("phone", PHONE.replace("){2,4}(?![0-9])", f"){{2,{most}}}(?![0-9])")) for most in (3, 2)],
     *[("card", rf"[0-9](?:[ -]?[0-9]){{{digits - 1}}}(?![0-9])") for digits in range(19, 12, -1)],
 ]
-LONGEST = 60  # characters of a value in a run
+LONGEST = 60  # characters of a value in a run; no shape above takes more
+WORDS_HELD = 256  # of a run whose values are gathered together
 IBAN_LENGTHS = (
     "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DK18 DO28 EE20 EG29 "
     "ES24 FI18 FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 "
@@ -111,7 +112,8 @@ class Permutation:
             def step(state: Column, r: Column) -> Column:
                 moves_left = r % 2 == 0
                 rest = F.filter(state, lambda _, k: (k < half) != moves_left)
-                rest = F.array_join(rest.cast("array<string>"), ",")
+                # Its digest, so that a round over a long key takes linear time.
+                rest = F.sha2(F.array_join(rest.cast("array<string>"), ",").cast("binary"), 256)
 
                 def moved(symbol: Column, k: Column, rest: Column) -> Column:
                     text = F.concat_ws("|", F.lit(self.key), F.lit(kind), r, k, rest)
@@ -408,33 +410,61 @@ def _first_valid(tail: Column, permute: Permutation) -> Column:
 
 def _parts(run: Column, permute: Permutation) -> Column:
     """The run cut into values that pass their tests, the longest from the first word that begins one,
-    and what stands between them."""
-    padded = F.concat(F.lit(" "), run)
-    begins = F.filter(
-        F.sequence(F.lit(1), F.length(run)),
-        lambda i: F.substring(padded, i, F.lit(2)).rlike(r"^[^0-9A-Za-z][0-9A-Z+(]"),
-    )
-    start = F.struct(
-        F.lit(1).alias("next"),
-        F.array().cast("array<struct<value:string,kind:string,pseudonym:string>>").alias("parts"),
-    )
+    and what stands between them.
+
+    The run is split into characters once, since a position in a text is found by counting from its
+    beginning, and what is found is gathered in blocks of words; a long run takes linear time.
+    """
+    part = "struct<value:string,kind:string,pseudonym:string>"
+
+    def text_of(chars: Column, first: Column, count: Column) -> Column:
+        return F.array_join(F.slice(chars, first, count), "")
+
+    def cut(chars: Column) -> Column:  # a blank and the run
+        size = F.size(chars)
+        begins = F.filter(
+            F.sequence(F.lit(1), size - 1),
+            lambda i: F.get(chars, i).rlike("[0-9A-Z+(]") & ~F.get(chars, i - 1).rlike("[0-9A-Za-z]"),
+        )
 
-    def step(state: Column, i: Column) -> Column:
-        def taken(hit: Column) -> Column:
-            before = _plain(F.substring(run, state["next"], i - state["next"]))
-            after = F.struct(
-                (i + F.length(hit["value"])).alias("next"),
-                F.concat(state["parts"], before, F.array(hit)).alias("parts"),
-            )
-            return F.when(hit.isNotNull(), after).otherwise(state)
+        def step(state: Column, i: Column) -> Column:
+            def taken(hit: Column) -> Column:
+                before = _plain(text_of(chars, state["next"] + 1, i - state["next"]))
+                after = F.struct(
+                    (i + F.length(hit["value"])).alias("next"),
+                    F.concat(state["parts"], before, F.array(hit)).alias("parts"),
+                )
+                return F.when(hit.isNotNull(), after).otherwise(state)
 
-        tail = F.substring(padded, i, F.lit(LONGEST + 4))  # and what stands around it
-        return F.when(i < state["next"], state).otherwise(let(_first_valid(tail, permute), taken))
+            # A value and the characters around it.
+            found = let(text_of(chars, i, F.lit(LONGEST + 4)), lambda tail: _first_valid(tail, permute))
+            return F.when(i < state["next"], state).otherwise(let(found, taken))
 
-    def ended(state: Column) -> Column:
-        return F.concat(state["parts"], _plain(F.substring(run, state["next"], F.length(run))))
+        def block(state: Column, words: Column) -> Column:
+            start = F.struct(state["next"].alias("next"), F.array().cast(f"array<{part}>").alias("parts"))
+
+            def gathered(found: Column) -> Column:
+                return F.struct(
+                    found["next"].alias("next"),
+                    F.concat(state["parts"], F.array(found["parts"])).alias("parts"),
+                )
+
+            return let(F.aggregate(words, start, step), gathered)
+
+        def ended(state: Column) -> Column:
+            rest = _plain(text_of(chars, state["next"] + 1, size))
+            return F.concat(F.flatten(state["parts"]), rest)
+
+        def in_blocks(begins: Column) -> Column:
+            first = F.sequence(F.lit(0), F.floor(F.size(begins) / WORDS_HELD).cast("int"))
+            return F.transform(first, lambda b: F.slice(begins, b * WORDS_HELD + 1, F.lit(WORDS_HELD)))
+
+        none = F.struct(
+            F.lit(1).alias("next"), F.array().cast(f"array<array<{part}>>").alias("parts")
+        )
+        return F.aggregate(let(begins, in_blocks), none, block, ended)
 
-    return F.aggregate(begins, start, step, ended)
+    return let(_chars(F.concat(F.lit(" "), run)), cut)
 
 
 def found_in(text: Column, key: str, undo: bool = False) -> Column:

@@ -117,3 +117,14 @@ def test_values_beside_other_numbers_are_found(documents):
     for row, (text, value, stays) in zip(rows, cases, strict=True):
         assert value not in row.text and stays in row.text and len(row.text) == len(text), text
         assert not any(x in row.text for x in (card, iban)), text
+
+
+def test_long_runs_and_keys(documents):
+    numbers = " ".join(["12345 67890"] * 4_000)
+    key = "0123456789abcdef" * 500
+    texts = [f"{numbers} 4111 1111 1111 1111 {numbers}", f"token = {key}"]
+    found = {r.doc_id: r for r in pii.pseudonymised(documents(*texts), "k").collect()}
+    assert len(found[0].text) == len(texts[0]) and "4111 1111 1111 1111" not in found[0].text
+    assert [x.kind for x in found[1].pii_found] == ["key"] and key not in found[1].text
+    back = pii.pseudonymised(documents(found[1].text), "k", undo=True).first()
+    assert back.text == texts[1]
