@@ -84,19 +84,24 @@ OP9 = rf"""
 WITH doc AS (
   SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents
 ), word AS (
-  SELECT doc_id, i, w[i] AS b, CASE WHEN i > 1 THEN w[i - 1] END AS a
+  SELECT doc_id, i, w[i] AS c, CASE WHEN i > 1 THEN w[i - 1] END AS b, CASE WHEN i > 2 THEN w[i - 2] END AS a
   FROM (SELECT doc_id, w, unnest(generate_series(1, len(w))) AS i FROM doc)
 ), one AS (
-  SELECT b, count(*) AS c FROM word GROUP BY 1
+  SELECT c, count(*) AS n FROM word GROUP BY 1
 ), two AS (
-  SELECT a, b, count(*) AS c FROM word WHERE a IS NOT NULL GROUP BY 1, 2 HAVING count(*) >= 2
+  SELECT b, c, count(*) AS n FROM word WHERE i > 1 GROUP BY 1, 2
+), three AS (
+  SELECT a, b, c, count(*) AS n FROM word WHERE i > 2 GROUP BY 1, 2, 3
 ), scored AS (
   SELECT doc_id, CASE
-    WHEN two.c IS NOT NULL THEN ln(CAST(two.c AS DOUBLE) / before.c)
-    ELSE ln(CAST(one.c AS DOUBLE) / (SELECT count(*) FROM word)) + CASE WHEN word.a IS NULL THEN 0 ELSE ln(0.4::DOUBLE) END
+    WHEN i > 2 THEN ln(CAST(three.n AS DOUBLE) / before_three.n)
+    WHEN i > 1 THEN ln(CAST(two.n AS DOUBLE) / before_two.n)
+    ELSE ln(CAST(one.n AS DOUBLE) / (SELECT count(*) FROM word))
   END AS s
-  FROM word JOIN one ON one.b = word.b
-  LEFT JOIN two ON two.a = word.a AND two.b = word.b LEFT JOIN one before ON before.b = word.a
+  FROM word JOIN one ON one.c = word.c
+  LEFT JOIN two ON two.b = word.b AND two.c = word.c LEFT JOIN one before_two ON before_two.c = word.b
+  LEFT JOIN three ON three.a = word.a AND three.b = word.b AND three.c = word.c
+  LEFT JOIN two before_three ON before_three.b = word.a AND before_three.c = word.b
 ), total AS (
   SELECT doc_id, count(*) AS n_words, sum(s) AS s FROM scored GROUP BY 1
 )
