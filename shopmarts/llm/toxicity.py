@@ -130,7 +130,7 @@ def _frequencies(sample: DataFrame) -> DataFrame:
                 batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True
             ):
                 counts[int(toxic > 0)].update({"", *fold(text).split()})
-        words = [word for word in counts[0].keys() | counts[1].keys() if len(word) <= 40]
+        words = list(counts[0].keys() | counts[1].keys())
         yield pa.record_batch(
             [
                 pa.array(words, pa.string()),
@@ -154,7 +154,10 @@ def train(
     documents: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS, entries: int = ENTRIES
 ) -> Model:
     """A model from the labelled rows outside the held-out fold. Without any of either label it has
-    no lexicon and scores all texts alike."""
+    no lexicon and scores all texts alike.
+
+    At most ``rows`` labelled documents are learned from, their words whatever their length; the model
+    has at most ``entries`` patterns and as many exceptions, those of the most documents."""
     sample = _sample(documents, labels, rows).persist()
     try:
         return _trained(sample, entries)
@@ -203,7 +206,7 @@ def _trained(sample: DataFrame, entries: int) -> Model:
         if len(weights) < entries and not _nested(pattern, weights):
             weights[pattern] = row["weight"]
     model = Model(weights)
-    model.exceptions = _exceptions(sample, model, size)
+    model.exceptions = _exceptions(sample, model, size, entries)
     model.logistic = _fitted(sample, model)
     return model
 
@@ -213,7 +216,9 @@ def _nested(pattern: str, chosen: dict[str, float]) -> bool:
     return any(pattern.startswith(other) or other.startswith(pattern) for other in chosen)
 
 
-def _exceptions(sample: DataFrame, model: Model, size: tuple[int, int]) -> dict[str, float]:
+def _exceptions(
+    sample: DataFrame, model: Model, size: tuple[int, int], entries: int
+) -> dict[str, float]:
     """Two-word phrases around matched words that speak for a clean document."""
     weights = model.weights
 
@@ -229,13 +234,12 @@ def _exceptions(sample: DataFrame, model: Model, size: tuple[int, int]) -> dict[
                 for end, (pattern, _) in automaton.iter(folded) if automaton else ():
                     start = end - len(pattern) + 1
                     until = folded.find(" ", start + 1) + 1
-                    word = folded[start:until]
-                    before = folded[: start + 1].rsplit(None, 1)[-1:]
-                    after = folded[until : until + 60].split(None, 1)[:1]
-                    if before and len(before[0]) <= 40 and folded[start - len(before[0]) : start] == before[0]:
-                        phrases.add((f" {before[0]}{word}", pattern))
-                    if after and folded[until : until + len(after[0])] == after[0]:
-                        phrases.add((f"{word}{after[0]} ", pattern))
+                    begin = folded.rfind(" ", 0, start) + 1
+                    if 0 < begin < start:
+                        phrases.add((folded[begin - 1 : until], pattern))
+                    behind = folded.find(" ", until)
+                    if behind > until:
+                        phrases.add((folded[start : behind + 1], pattern))
                 rows.update((phrase, pattern, int(toxic > 0)) for phrase, pattern in phrases)
         yield pa.record_batch(
             [
@@ -255,7 +259,7 @@ def _exceptions(sample: DataFrame, model: Model, size: tuple[int, int]) -> dict[
         .where(F.col("clean") >= LEAST_DOCUMENTS)
     )
     speaks = _log_odds(F.col("clean"), F.col("toxic"), size[1], size[0]) > 0
-    rows = counted.where(speaks).orderBy(F.desc("clean"), "phrase").limit(ENTRIES).collect()
+    rows = counted.where(speaks).orderBy(F.desc("clean"), "phrase").limit(entries).collect()
     return {row["phrase"]: -weights[row["pattern"]] for row in rows}
 
 
