@@ -26,14 +26,14 @@ LISTED = 400
 ORDERS = (1, 2, 3)
 SCHEMA = "lang_pred string, score double"
 
-_LETTER = np.array([chr(code).isalpha() for code in range(0x30000)])
+_LETTER = np.array([chr(code).isalpha() for code in range(0x110000)])
 _WIDE = np.uint64(21)  # bits of a code point
 
 
 def letters(text: str | None) -> np.ndarray:
     """Code points in lower case; whatever is no letter is one blank, also before and after."""
     points = np.frombuffer(f" {(text or '').lower()} ".encode("utf-32-le", "replace"), np.uint32)
-    is_letter = _LETTER[np.minimum(points, len(_LETTER) - 1)]
+    is_letter = _LETTER[points]
     kept = is_letter.copy()
     kept[1:] |= is_letter[:-1]  # the first blank after a word
     kept[0] = True
@@ -78,8 +78,7 @@ def train(documents: DataFrame, rows: int = TRAINING_ROWS, listed: int = LISTED)
     labelled = documents.where(
         F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id")
     )
-    chosen = bounded_sample_by(labelled.select("doc_id", "lang"), "lang", "doc_id", rows)
-    sample = documents.select("doc_id", "text").join(chosen.distinct(), "doc_id")
+    sample = bounded_sample_by(labelled.select("doc_id", "lang", "text"), "lang", "doc_id", rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

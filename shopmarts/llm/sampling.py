@@ -31,7 +31,10 @@ def bounded_sample(frame: DataFrame, key: str, rows: int) -> DataFrame:
 
 
 def bounded_sample_by(frame: DataFrame, group: str, key: str, rows: int) -> DataFrame:
-    """About ``rows`` rows of each group at most; all of a group that has no more."""
+    """About ``rows`` rows of each group at most; all of a group that has no more.
+
+    One number a group is broadcast, so groups are to be few, as languages are; no row is shuffled.
+    """
     counts = frame.groupBy(group).agg(F.count("*").alias("_rows"))
     bounds = counts.select(group, _bound(F.col("_rows"), rows).alias("_bound"))
-    return frame.join(bounds, group).where(F.xxhash64(key) <= F.col("_bound")).drop("_bound")
+    return frame.join(F.broadcast(bounds), group).where(F.xxhash64(key) <= F.col("_bound")).drop("_bound")

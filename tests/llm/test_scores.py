@@ -6,7 +6,9 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
 from shopmarts.llm import langid, ngram_lm, packing, toxicity
@@ -152,6 +154,57 @@ def test_scores_are_those_of_brute_force(documents, order, least):
     assert ngram_lm.scored(again.limit(0)).count() == 0
 
 
+def test_scores_by_many_ranges(documents, monkeypatch):
+    rng = random.Random(7)
+    texts = [" ".join(rng.choices([f"w{i}" for i in range(300)], k=200)) for _ in range(20)] + ["same words here"] * 400
+    docs = documents(*texts).repartition(3)
+    docs.write.parquet(path := f"/tmp/lm-ranges-{random.random()}")
+    monkeypatch.setattr(ngram_lm, "RANGE_BYTES", 1_000)
+    found = {r.doc_id: r for r in ngram_lm.scored(docs.sparkSession.read.parquet(path)).collect()}
+    for i, (n, total) in enumerate(backoff_scores(texts, 3, 1)):
+        assert found[i].n_words == n and found[i].log_score == pytest.approx(total, abs=1e-9)
+
+
+def test_packed_hashes_and_numbers_come_back():
+    rng = np.random.default_rng(1)
+    for ranges in (1, 3, 1000):
+        width = ngram_lm._width(ranges)
+        for count in (1, 2, 100, 5000):
+            low = (ranges - 1) * width
+            own = np.unique(rng.integers(low, min(low + width, 1 << 64), count, dtype=np.uint64))
+            packed = ngram_lm._packed(own, low, width)
+            assert (ngram_lm._unpacked(packed, low, width) == own).all() and len(packed) < 9 * count + 9
+    numbers = np.array([0, 1, 254, 255, 256, 1 << 40, 3])
+    assert (ngram_lm._wide(ngram_lm._narrow(numbers), len(numbers)) == numbers).all()
+
+
+def test_blocks_hold_bounded_runs_of_documents(monkeypatch):
+    monkeypatch.setattr(ngram_lm, "BLOCK_WORDS", 50)
+    batches = [
+        pa.record_batch([pa.array([i, i + 1]), pa.array(["a b c " * 7, None])], names=["doc_id", "text"])
+        for i in range(0, 20, 2)
+    ]
+    runs = list(ngram_lm._runs(iter(batches), 2))
+    assert [x.names.to_pylist() for x in runs] == [[4 * i, 4 * i + 1, 4 * i + 2, 4 * i + 3] for i in range(5)]
+    assert all(x.words.tolist() == [21, 0, 21, 0] and len(x.hashes[1]) == 40 for x in runs)
+    assert all(x.ends[1].tolist() == [*range(1, 21), *range(22, 42)] for x in runs)
+
+
+def test_letters_of_all_planes(documents):
+    model = {"xx": np.array([0], np.uint64)}
+    (row,) = langid.identified(documents(chr(0x30000) * 3), model).collect()
+    assert row.lang_pred == "xx"
+
+
+def test_long_words_are_learned(spark, documents):
+    long = "v" * 70
+    texts = [f"plain words {'here ' * (i % 7)}" + (long if i % 3 == 0 else "only") for i in range(200)]
+    model = toxicity.train(documents(*texts), labels(spark, *[(i, int(i % 3 == 0)) for i in range(200)]))
+    found = {r.doc_id: r.predicted for r in toxicity.scored(documents(*texts), model).collect()}
+    assert f" {long} " in model.weights or any(f" {long} ".startswith(p) for p in model.weights)
+    assert all(found[i] == (i % 3 == 0) for i in range(200))
+
+
 def test_packing_covers_every_id_once(documents):
     rng = random.Random(4)
     texts = [" ".join(rng.choices(["alpha", "beta", "γ", "\n"], k=rng.choice([0, 1, 5, 50, 700, 3000]))) for _ in range(80)]
