@@ -54,43 +54,53 @@ class Grammar:
     length: np.ndarray
 
 
-def compress(ids: np.ndarray, ends: np.ndarray, rounds: int = 3, least: int = 8) -> tuple:
+def compress(ids: np.ndarray, ends: np.ndarray, least: int = 8) -> tuple:
     """The grammar, the symbols, and where each document's symbols end.
 
-    ``ends`` holds the positions of the documents' last ids. Each round counts all neighbouring
-    pairs in a hashed table, takes those of well-filled buckets without overlaps from left to
-    right, and gives every pair that is left ``least`` times a symbol.
+    ``ends`` holds the positions of the documents' last ids. Each round counts all neighbouring pairs,
+    first in a hashed table and then exactly, and replaces those that occur ``least`` times without
+    overlaps. Where two of them overlap, the more frequent one is taken, so the most frequent pair of
+    all is replaced wherever it stands; rounds go on until no pair is frequent enough. If symbols run
+    out, the most frequent pairs get the last ones.
     """
     symbols = ids.astype(np.int64)
     last = np.zeros(len(ids), bool)
     last[ends] = True
     base = int(ids.max(initial=0)) + 1
-    left, right, length = [], [], [np.ones(base, np.int64)]
-    known = base
-    for _ in range(rounds):
-        if len(symbols) < 2:
-            break
+    left, right, length = [], [], np.ones(base, np.int64)
+    while len(symbols) > 1:
         key = symbols[:-1] << 24 | symbols[1:]
         bucket = (key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - BUCKETS)
         bucket = bucket.astype(np.int32)
         joins = ~last[:-1]
         often = np.bincount(bucket[joins], minlength=1 << BUCKETS) >= least
         at = np.flatnonzero(often[bucket] & joins)
-        at = at[_every_other(at)]
+        twins = symbols[at] == symbols[at + 1]
+        single = ~twins
+        single[twins] = _every_other(at[twins])
+        at = at[single]
         pairs, which, seen = np.unique(key[at], return_inverse=True, return_counts=True)
-        keep = seen >= least
-        if not keep.any() or known + keep.sum() >= SYMBOLS:
+        frequent = (seen >= least)[which]
+        at, which = at[frequent], which[frequent]
+        rank = np.empty(len(pairs), np.int64)
+        rank[np.lexsort((pairs, seen))] = np.arange(len(pairs))
+        own, touch = rank[which], at[1:] - at[:-1] == 1
+        stays = np.ones(len(at), bool)
+        stays[:-1] &= ~(touch & (own[1:] > own[:-1]))
+        stays[1:] &= ~(touch & (own[:-1] > own[1:]))
+        at, which = at[stays], which[stays]
+        seen = np.bincount(which, minlength=len(pairs))
+        chosen = np.flatnonzero(seen >= least)
+        chosen = np.sort(chosen[np.argsort(-seen[chosen], kind="stable")[: SYMBOLS - len(length)]])
+        if not len(chosen):
             break
-        number = np.cumsum(keep) - 1 + known
-        chosen = keep[which]
-        at, symbol = at[chosen], number[which[chosen]]
-        pairs = pairs[keep]
-        left.append(pairs >> 24)
-        right.append(pairs & (SYMBOLS - 1))
-        lengths = np.concatenate(length)
-        length.append(lengths[left[-1]] + lengths[right[-1]])
-        known += len(pairs)
-        symbols[at] = symbol
+        number = np.full(len(pairs), -1)
+        number[chosen] = np.arange(len(chosen)) + len(length)
+        at, which = at[number[which] >= 0], which[number[which] >= 0]
+        left.append(pairs[chosen] >> 24)
+        right.append(pairs[chosen] & (SYMBOLS - 1))
+        length = np.concatenate([length, length[left[-1]] + length[right[-1]]])
+        symbols[at] = number[which]
         last[at] |= last[at + 1]
         stays = np.ones(len(symbols), bool)
         stays[at + 1] = False
@@ -100,7 +110,7 @@ def compress(ids: np.ndarray, ends: np.ndarray, rounds: int = 3, least: int = 8)
         base,
         np.concatenate([none, *left]),
         np.concatenate([none, *right]),
-        np.concatenate([none, *length[1:]]),
+        length[base:],
     )
     return grammar, symbols, np.flatnonzero(last)
 

@@ -4,6 +4,7 @@ import random
 import re
 import zlib
 from array import array
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -215,3 +216,25 @@ def test_a_shared_dictionary_is_read_from_the_archive(spark, documents, tmp_path
     content = spark.read.format("binaryFile").option("pathGlobFilter", "*.zst").load(folder).first().content
     assert int.from_bytes(content[4:8], "little") > 1000
     assert warc.read_archives(spark, folder).count() == 300
+
+
+def test_re_pair_goes_on_until_no_pair_is_frequent():
+    rng = np.random.default_rng(3)
+    for letters, count in ((2, 3_000), (9, 5_000), (200, 20_000), (1, 500)):
+        ids = rng.integers(0, letters, count).astype("<u4")
+        ends = np.unique(np.append(rng.integers(0, count, 20), count - 1))
+        grammar, symbols, stops = repair.compress(ids, ends)
+        assert (repair.expand(symbols, grammar) == ids).all() and len(stops) == len(ends)
+        lengths = [len(repair.expand(x, grammar)) for x in np.split(symbols, stops + 1)[:-1]]
+        assert np.cumsum(lengths).tolist() == (ends + 1).tolist()
+        seen, taken = Counter(), {}
+        for i in sorted(set(range(len(symbols) - 1)) - set(stops.tolist())):
+            pair = (symbols[i], symbols[i + 1])
+            if taken.get(pair, -2) < i - 1:
+                seen[pair] += 1
+                taken[pair] = i
+        assert max(seen.values(), default=0) < 8
+    passage = np.tile(rng.integers(0, 1000, 128), 1_563).astype("<u4")
+    grammar, symbols, _ = repair.compress(passage, np.array([len(passage) - 1]))
+    assert len(symbols) < 32 and grammar.length.max() > 8_000
+    assert (repair.expand(symbols, grammar) == passage).all()
