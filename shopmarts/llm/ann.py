@@ -10,22 +10,29 @@ A vector of norm r is placed, one dimension higher, at height sqrt(R^2 - r^2), R
 norm. All vectors then lie on one sphere, and the nearest by distance to a query (at height 0) is the
 one with the largest inner product.
 
-Leaves are dealt to tasks in blocks of bounded size, so a leaf that holds very many equal vectors is
-spread; each block answers the queries that visit its leaf with its own best, and these are merged.
+Leaves are stored in files of bounded size, so a leaf that holds very many equal vectors is spread. The
+queries are what is dealt to tasks, in blocks that begin at the same leaves: a block reads the files of
+the leaves that its queries visit, one at a time, the most urgent leaves first, and keeps each query's
+best. So a query is one row that meets no join, and gives no more rows than it has neighbours. A file's
+vectors are only looked at more closely if they may beat a query's worst neighbour so far.
 """
 
 from __future__ import annotations
 
 import heapq
+import os
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from shopmarts.llm.files import put
+from shopmarts.llm.memory import tidy
 from shopmarts.llm.sampling import bounded_sample
 from shopmarts.session import scratch_dir
 
@@ -34,7 +41,8 @@ SAMPLE_ROWS = 50_000  # at most, of the vectors with small hashes of their ids
 LEAF_SAMPLE = 300  # sampled vectors in a leaf at most, but for equal ones
 CALIBRATION_QUERIES = 200
 RECALL = 0.95  # wanted on the calibration queries; 0.9 is promised
-BLOCK_ROWS = 4_096  # of a leaf, scanned by one task at a time
+BLOCK_ROWS = 4_096  # scanned at a time; about as many of a leaf are in a file
+QUERY_BLOCK = 256  # queries that read the leaves together
 
 
 @dataclass
@@ -207,6 +215,8 @@ def brute_force(vectors: DataFrame, queries: list[tuple[int, list[float]]], k: i
 class Index:
     tree: Tree
     vectors: DataFrame  # vec_id, vector, leaf; written once
+    folder: str  # holds the leaves' files
+    files: dict[int, int]  # how many each leaf has; there are no more leaves than the sample gives
     dimensions: int  # those that most vectors have
     leaves_visited: int
     recall: float  # measured against brute force on the calibration queries
@@ -240,9 +250,11 @@ def build(
                 leaf = shared.value.leaf_of(_matrix(batch.column(1)))
                 yield pa.record_batch([*batch.columns, pa.array(leaf)], names=["vec_id", "vector", "leaf"])
 
-    path = scratch_dir(spark, "ann")
+    folder = scratch_dir(spark, "ann")
+    path = os.path.join(folder, "vectors")
     points.mapInArrow(run, "vec_id long, vector array<double>, leaf long").write.parquet(path)
     indexed = spark.read.parquet(path)
+    files = _filed(indexed, os.path.join(folder, "leaves"))
 
     asked = [
         (row[0], row[1])
@@ -251,16 +263,80 @@ def build(
         ).collect()
     ]
     if not asked:
-        return Index(tree, indexed, dimensions, 1, 1.0)
+        return Index(tree, indexed, folder, files, dimensions, 1, 1.0)
     true = brute_force(indexed, asked, k)
     true = true.join(indexed.select("vec_id", "leaf"), "vec_id").select("query_id", "leaf").toPandas()
     order = {name: tree.visits(np.array(vector), tree.leaves) for name, vector in asked}
     place = {name: dict(zip(leaves, range(1, len(leaves) + 1), strict=True)) for name, leaves in order.items()}
     needed = np.sort([place[q][leaf] for q, leaf in zip(true["query_id"], true["leaf"], strict=True)])
     if not len(needed):
-        return Index(tree, indexed, dimensions, tree.leaves, 1.0)
+        return Index(tree, indexed, folder, files, dimensions, tree.leaves, 1.0)
     visited = int(needed[min(int(np.ceil(wanted * len(needed))), len(needed)) - 1])
-    return Index(tree, indexed, dimensions, visited, float((needed <= visited).mean()))
+    return Index(tree, indexed, folder, files, dimensions, visited, float((needed <= visited).mean()))
+
+
+def _filed(indexed: DataFrame, folder: str) -> dict[int, int]:
+    """The leaves' vectors as Arrow files. Returns how many files each leaf has."""
+    rows = indexed.groupBy("leaf").agg(F.count("*").alias("rows"))
+    files = {row["leaf"]: -(-row["rows"] // BLOCK_ROWS) for row in rows.collect()}
+    if not files:
+        return files
+    counts = indexed.sparkSession.createDataFrame(sorted(files.items()), "leaf long, files int")
+
+    def run(rows: pa.Table) -> pa.Table:
+        leaf, part = (rows.column(name)[0].as_py() for name in ("leaf", "part"))
+        with pa.BufferOutputStream() as out:
+            stored = rows.select(["vec_id", "vector"]).filter(rows.column("vec_id").is_valid()).combine_chunks()
+            with pa.ipc.new_file(out, stored.schema) as file:
+                file.write_table(stored)
+            put(f"{folder}/leaf-{leaf}-{part}.arrow", out.getvalue().to_pybytes())
+        return pa.table({"leaf": pa.array([leaf]), "part": pa.array([part])})
+
+    dealt = indexed.join(F.broadcast(counts), "leaf").withColumn(
+        "part", F.pmod(F.xxhash64("vec_id", F.monotonically_increasing_id()), F.col("files"))
+    )
+    every = F.explode(F.sequence(F.lit(0), F.col("files") - 1).cast("array<long>")).alias("part")
+    dealt = dealt.unionByName(counts.select("leaf", every), allowMissingColumns=True)  # also empty ones
+    dealt.groupBy("leaf", "part").applyInArrow(run, "leaf long, part long").write.parquet(f"{folder}-written")
+    return files
+
+
+def _stored(uri: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Ids and vectors of a file, a bounded number at a time."""
+    system, path = fs.FileSystem.from_uri(uri)
+    with system.open_input_file(path) as file:
+        table = pa.ipc.open_file(file).read_all()
+    for at in range(0, table.num_rows, BLOCK_ROWS):
+        rows = table.slice(at, BLOCK_ROWS).combine_chunks()
+        yield rows.column("vec_id").to_numpy(), _matrix(rows.column("vector").combine_chunks())
+
+
+class Neighbours:
+    """The best so far of a block of queries."""
+
+    def __init__(self, names: np.ndarray, points: np.ndarray, k: int) -> None:
+        self.names, self.points, self.k = names, points, k
+        self.ids = [np.zeros(0, np.int64) for _ in names]
+        self.scores = [np.zeros(0) for _ in names]
+        self.worst = np.full(len(names), -np.inf)  # of k neighbours
+        self.length = np.linalg.norm(points, axis=1)
+
+    def meet(self, who: np.ndarray, ids: np.ndarray, points: np.ndarray) -> None:
+        """Compare the queries at the places ``who`` with stored vectors."""
+        rough = self.points[who] @ points.T
+        # A product may be off by its rounding, and the exact one must not be missed for it.
+        slack = 1e-14 * points.shape[1] * self.length[who] * np.linalg.norm(points, axis=1).max()
+        may = rough >= (self.worst[who] - slack)[:, None]
+        may &= ids != self.names[who][:, None]
+        for row in np.flatnonzero(may.any(axis=1)):
+            query, some = who[row], np.flatnonzero(may[row])
+            exact = _scores(self.points[query : query + 1], points[some])[0]
+            joint = np.concatenate([self.ids[query], ids[some]])
+            scores = np.concatenate([self.scores[query], exact])
+            best = _best(scores, joint, self.k)
+            self.ids[query], self.scores[query] = joint[best], scores[best]
+            if len(best) == self.k:
+                self.worst[query] = scores[best[-1]]
 
 
 def search(
@@ -272,65 +348,60 @@ def search(
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: each query's nearest found, its own row left out.
 
-    Equal scores go by the smaller id. Rows that repeat an id are candidates each; queries without a
-    usable vector have no rows.
+    Equal scores go by the smaller id. Rows that repeat an id are candidates each; of queries that repeat
+    an id, the one whose vector comes first in order asks. Queries without a usable vector have no rows.
+    A query whose leaves hold fewer than ``k`` candidates goes on to all others.
     """
-    tree, most = index.tree, index.leaves_visited
+    tree, most, files = index.tree, index.leaves_visited, index.files
+    leaves = os.path.join(index.folder, "leaves")
     spark = queries.sparkSession
     shared = spark.sparkContext.broadcast(tree)
 
-    def visits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def homes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            leaves = [shared.value.visits(point, most) for point in _matrix(batch.column(1))]
+            home = [shared.value.visits(point, 1)[0] for point in _matrix(batch.column(1))]
             yield pa.record_batch(
-                [*batch.columns, pa.array(leaves, pa.list_(pa.int64()))],
-                names=["query_id", "vector", "leaves"],
+                [*batch.columns, pa.array(home, pa.int64())], names=["query_id", "vector", "home"]
             )
 
+    def found(names: np.ndarray, points: np.ndarray) -> pa.RecordBatch:
+        own = Neighbours(names, points, k)
+        place = np.full((len(names), tree.leaves), tree.leaves)
+        for row, point in enumerate(points):
+            order = shared.value.visits(point, most)
+            place[row, order] = np.arange(len(order))
+        urgent = [leaf for leaf in np.argsort(place.mean(axis=0), kind="stable").tolist() if leaf in files]
+        for asked in (True, False):
+            for leaf in urgent:
+                visits = place[:, leaf] < tree.leaves
+                who = np.flatnonzero(visits if asked else ~visits & (own.worst == -np.inf))
+                for part in range(files[leaf]) if len(who) else ():
+                    for ids, stored in _stored(f"{leaves}/leaf-{leaf}-{part}.arrow"):
+                        own.meet(who, ids, stored)
+        counts = [len(x) for x in own.ids]
+        ranks = [np.arange(1, count + 1, dtype=np.int32) for count in counts]
+        columns = [np.repeat(names, counts), *(np.concatenate(x) for x in (ranks, own.ids, own.scores))]
+        return pa.record_batch([pa.array(x) for x in columns], names=["query_id", "rank", "vec_id", "score"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, QUERY_BLOCK):
+                rows = batch.slice(at, QUERY_BLOCK)
+                yield found(rows.column(0).to_numpy(), _matrix(rows.column(1)))
+
     asked = (
         usable(queries, id_column, vector_column, index.dimensions)
-        .dropDuplicates(["vec_id"])
+        .groupBy("vec_id")
+        .agg(F.min("vector").alias("vector"))
         .select(F.col("vec_id").alias("query_id"), "vector")
-        .mapInArrow(visits, "query_id long, vector array<double>, leaves array<long>")
-        .select("query_id", "vector", F.explode("leaves").alias("leaf"))
     )
-    rows = index.vectors.groupBy("leaf").agg(F.count("*").alias("rows"))
-    blocks = rows.select("leaf", F.ceil(F.col("rows") / BLOCK_ROWS).cast("int").alias("blocks"))
-    stored = index.vectors.join(blocks, "leaf").select(
-        "leaf", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).alias("block"), "vec_id", "vector"
+    path = os.path.join(scratch_dir(spark, "queries"), "asked")
+    asked.mapInArrow(homes, "query_id long, vector array<double>, home long").write.parquet(path)
+    dealt = spark.read.parquet(path)
+    tasks = max(-(-dealt.count() // QUERY_BLOCK), 1)
+    return (
+        dealt.repartitionByRange(tasks, "home", "query_id")
+        .sortWithinPartitions("home", "query_id")
+        .select("query_id", "vector")
+        .mapInArrow(tidy(run), "query_id long, rank int, vec_id long, score double")
     )
-    visiting = asked.join(blocks, "leaf").select(
-        "leaf",
-        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1).cast("array<long>")).alias("block"),
-        "query_id",
-        "vector",
-    )
-
-    def scan(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows or not right.num_rows:
-            return _NONE
-        ids = left.column("vec_id").to_numpy()
-        points = _matrix(left.column("vector").combine_chunks())
-        names = right.column("query_id").to_numpy()
-        found = []
-        for at in range(0, len(names), 512):
-            part = right.slice(at, 512)
-            scores = _scores(_matrix(part.column("vector").combine_chunks()), points)
-            found.append(_found(names[at : at + 512], ids, scores, k))
-        return pa.Table.from_pandas(pd.concat(found), preserve_index=False)
-
-    found = (
-        stored.groupBy("leaf", "block")
-        .cogroup(visiting.groupBy("leaf", "block"))
-        .applyInArrow(scan, FOUND)
-    )
-    return _merged(found, k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
-
-
-_NONE = pa.table(
-    {
-        "query_id": pa.array([], pa.int64()),
-        "vec_id": pa.array([], pa.int64()),
-        "score": pa.array([], pa.float64()),
-    }
-)
