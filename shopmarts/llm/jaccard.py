@@ -13,7 +13,8 @@ No link is lost and no pair is compared without need:
 3. Every document of a tile is compared with the tile's smallest document id first. That joins the
    groups of true copies with as many comparisons as members, and not with their square.
 4. Bitmaps of the shingles' hashes bound the overlap of a pair from above, by the bits that only one
-   side has; what passes is intersected exactly. Only these pairs meet their arrays.
+   side has; what passes is intersected exactly. Only these pairs meet their arrays, which are cut to
+   the ids of the pairs before they are joined.
 5. Tiles whose documents are still not connected are compared in full: small ones pair by pair, each
    pair once for all its tiles; larger ones in cells of bounded size, where pairs that are connected
    already are skipped, and which return the links that connect them, not all their links.
@@ -323,8 +324,18 @@ def _bounded(pairs: DataFrame, arrays: DataFrame) -> DataFrame:
     return both.select("a", "b", "of_a", "n_a", "of_b", "n_b").mapInArrow(tidy(run), "a long, b long")
 
 
+def _needed(arrays: DataFrame, ids: DataFrame) -> DataFrame:
+    """The arrays of these ids alone. As long as the ids are few they are broadcast, and no other array
+    crosses the network."""
+    return arrays.select("doc_id", "shingles").join(ids.distinct(), "doc_id", "left_semi")
+
+
+def _in_pairs(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))
+
+
 def _verified(pairs: DataFrame, arrays: DataFrame) -> DataFrame:
-    """The pairs that link."""
+    """The pairs that link, by the arrays of the documents in them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -466,11 +477,16 @@ def near_duplicates(
     stars = members.where("doc_id <> first AND 3 * n <= 4 * first_n AND 3 * first_n <= 4 * n")
     stars = stars.select(F.col("first").alias("a"), F.col("doc_id").alias("b")).distinct()
     stars = written(stars, "stars")
-    star_links = written(_verified(written(_bounded(stars, arrays), "near_stars"), arrays), "star_links")
+    near_stars = written(_bounded(stars, arrays), "near_stars")
+    of_stars = written(_needed(arrays, _in_pairs(near_stars)), "star_arrays")
+    star_links = written(_verified(near_stars, of_stars), "star_links")
     apart = written(_apart(members, star_links), "apart")
     pairs = written(_bounded(_pairs(apart).join(stars, ["a", "b"], "left_anti"), arrays), "near_pairs")
-    pair_links = written(_verified(pairs, arrays), "pair_links")
-    cell_links = written(_compared(_cells(apart).join(arrays.select("doc_id", "shingles"), "doc_id")), "cells")
+    of_pairs = written(_needed(arrays, _in_pairs(pairs)), "pair_arrays")
+    pair_links = written(_verified(pairs, of_pairs), "pair_links")
+    cells = written(_cells(apart), "cell_members")
+    of_cells = _needed(arrays, cells.select("doc_id"))
+    cell_links = written(_compared(cells.join(of_cells, "doc_id")), "cells")
     links = star_links.unionByName(pair_links).unionByName(cell_links)
     named = classes.select(
         F.col("doc_id").alias("node"), "class_a", "class_b"
