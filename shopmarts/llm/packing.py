@@ -25,7 +25,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from shopmarts.llm.tokenizing import encoder
+from shopmarts.llm.tokenizing import TEXT_BYTES, encoder
+from shopmarts.llm.words import blocks
 
 SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -160,14 +161,13 @@ def packed(
             return _rows(rows)
 
         for batch in batches:
-            texts = batch.column(1)
-            for at in range(0, len(texts), 256):
-                part = texts.slice(at, 256).to_pylist()
-                found = [x + end for x in coder.encode(part)]
-                for name, x in zip(batch.column(0).slice(at, 256).to_pylist(), found, strict=True):
+            for at, texts in blocks(batch.column(1), TEXT_BYTES):
+                found = coder.encode(texts.to_pylist())
+                own = batch.column(0).slice(at, len(texts)).to_pylist()
+                for name, x in zip(own, found, strict=True):
                     names.append(name)
-                    ids.append(x)
-                    held += len(x) // 4
+                    ids.append(x + end)
+                    held += len(x) // 4 + 1
                     if held >= block_tokens:
                         yield flush()
         if ids:

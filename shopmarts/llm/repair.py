@@ -31,7 +31,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shopmarts.llm.files import put
-from shopmarts.llm.tokenizing import encoder
+from shopmarts.llm.tokenizing import TEXT_BYTES, encoder
+from shopmarts.llm.words import blocks
 
 MAGIC = b"RPR1"
 HEAD = struct.Struct("<4sIIQQII")
@@ -249,10 +250,10 @@ def write_shards(
             return pa.RecordBatch.from_pylist([row], MANIFEST)
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                rows = batch.slice(at, 256)
-                found = coder.encode(rows.column(1).to_pylist())
-                for name, x in zip(rows.column(0).to_pylist(), found, strict=True):
+            for at, texts in blocks(batch.column(1), TEXT_BYTES):
+                found = coder.encode(texts.to_pylist())
+                own = batch.column(0).slice(at, len(texts)).to_pylist()
+                for name, x in zip(own, found, strict=True):
                     names.append(-(1 << 63) if name is None else name)
                     ids.append(x + end)
                     held += len(x) // 4 + 1

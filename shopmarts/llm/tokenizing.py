@@ -3,17 +3,22 @@
 Both public vocabularies cut a text into words before they merge anything. A single space between
 two non-space characters always begins a new word, so a text may be cut in front of every such
 space and the ids of the pieces, one after the other, are the ids of the text. Words repeat, so
-the library sees each piece once and a dictionary serves the rest.
+the library sees each piece once and a dictionary serves the rest. Arrow cuts a list of texts and
+numbers its distinct pieces, so Python looks up each of these once and numpy gathers their ids.
 """
 
 from __future__ import annotations
 
+import itertools
 import os
 import re
 from array import array
 from collections.abc import Callable
 from functools import lru_cache
-from itertools import chain, filterfalse
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark already runs a task per core
 
@@ -25,6 +30,8 @@ TOUCHING = re.compile(r"\s\s")
 LONE_SPACE = re.compile(r"(?<=\S)(?= \S)")
 KEPT_PIECES = 800_000  # of a worker's dictionary, about 160 MB
 KEPT_LENGTH = 48  # longer pieces are encoded each time
+GATHERED = 1 << 20  # pieces whose ids are gathered in one step
+TEXT_BYTES = 8_000_000  # of a list of texts to encode, unless one text is longer
 # A word of Latin letters with punctuation, perhaps the next line's first one too. Apostrophes are
 # left out, as both vocabularies treat some of them with the letters after them, and so is U+0130,
 # whose lower case is two characters.
@@ -34,18 +41,21 @@ PROBES = [" a", "B", " The", " naïve", "Straße", " ÇA", "ɏ", " unbelievably"
 # Byte-level vocabularies write a byte as a visible character: itself, or the next from U+0100 on.
 _SHOWN = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
 LETTERS = {b: 0x100 + i for i, b in enumerate(b for b in range(256) if b not in _SHOWN)}
+SPACE = chr(LETTERS[0x20])
 FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\n", b"abcdefghijklmnopqrstuvwxyz ")
 MARK = "\x01"
 
 
-def pieces(text: str) -> list[str]:
-    """The text cut in front of lone spaces; joined they are the text again."""
-    if "\0" in text or TOUCHING.search(text):
-        return LONE_SPACE.split(text)
-    return text.replace(" ", "\0 ").split("\0")
+def _marked(text: str) -> str:
+    """The text with a NUL in front of every lone space, where it may be cut. It has no NUL itself."""
+    if TOUCHING.search(text):
+        return "\0".join(LONE_SPACE.split(text))
+    return text.replace(" ", "\0 ")
 
 
 def _bytes_as_letters(word: str) -> str:
+    if word.isascii():  # letters stand for themselves
+        return word.replace(" ", SPACE)
     return word.encode().decode("latin-1").translate(LETTERS)
 
 
@@ -57,6 +67,21 @@ def _folded(text: str) -> str:
     return text.encode("utf-8", "surrogatepass").translate(FOLD).decode("utf-8", "surrogatepass")
 
 
+def _gathered(codes: np.ndarray, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all pieces one after the other, and where each piece's begin, with the end of all."""
+    lengths = np.fromiter(map(len, words), np.int64, len(words)) // 4
+    starts = np.cumsum(lengths) - lengths
+    stored = np.frombuffer(b"".join(words), "<u4")
+    ends = np.concatenate([[0], np.cumsum(lengths[codes])])
+    ids = np.empty(ends[-1], "<u4")
+    for at in range(0, len(codes), GATHERED):
+        some = codes[at : at + GATHERED]
+        first, last = ends[at], ends[at + len(some)]
+        shift = np.repeat(starts[some] - ends[at : at + len(some)], lengths[some])
+        ids[first:last] = stored[shift + np.arange(first, last)]
+    return ids, ends
+
+
 class Encoder:
     """Ids as little-endian unsigned 32-bit integers."""
 
@@ -75,21 +100,31 @@ class Encoder:
         """The ids of every whole text; a null text has none."""
         if self.folds:
             texts = [text and _folded(text) for text in texts]
-        cut = [pieces(text) if text else [] for text in texts]
-        new = self._new(cut)
+        apart = {i: self._whole(text) for i, text in enumerate(texts) if text and "\0" in text}
+        marked = [None if i in apart else text and _marked(text) for i, text in enumerate(texts)]
+        cut = pc.split_pattern(pa.array(marked, pa.large_string()), "\0")
+        coded = cut.values.dictionary_encode()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        ids, ends = _gathered(coded.indices.to_numpy(), self._looked_up(words))
+        at = ends[cut.offsets.to_numpy()].tolist()
+        found = [ids[start:stop].tobytes() for start, stop in itertools.pairwise(at)]
+        for i, x in apart.items():
+            found[i] = x
+        return found
+
+    def _looked_up(self, words: list[str]) -> list[bytes]:
+        found = list(map(self.known.get, words))
+        new = [word for word, x in zip(words, found, strict=True) if x is None] if None in found else []
         if len(self.known) + len(new) > self.kept:
             self.known.clear()
-            new = self._new(cut)
-        self._learn(new)
-        look_up = self.known.__getitem__
-        encoded = [b"".join(map(look_up, parts)) for parts in cut]
-        for piece in new:
-            if len(piece) > KEPT_LENGTH:
-                self.known.pop(piece, None)
-        return encoded
-
-    def _new(self, cut: list[list[str]]) -> list[str]:
-        return list(dict.fromkeys(filterfalse(self.known.__contains__, chain.from_iterable(cut))))
+            new = words
+        if new:
+            self._learn(new)
+            found = list(map(self.known.__getitem__, words))
+        for word in new:
+            if len(word) > KEPT_LENGTH:
+                self.known.pop(word, None)
+        return found
 
     def _learn(self, new: list[str]) -> None:
         plain: dict[str, list[str]] = {}
