@@ -69,20 +69,20 @@ def compress(ids: np.ndarray, ends: np.ndarray, least: int = 8) -> tuple:
     last[ends] = True
     base = int(ids.max(initial=0)) + 1
     left, right, length = [], [], np.ones(base, np.int64)
-    while len(symbols) > 1:
-        key = symbols[:-1] << 24 | symbols[1:]
+    at = np.flatnonzero(~last[:-1])
+    while len(at):
+        key = symbols[at] << 24 | symbols[at + 1]
         bucket = (key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - BUCKETS)
         bucket = bucket.astype(np.int32)
-        joins = ~last[:-1]
-        often = np.bincount(bucket[joins], minlength=1 << BUCKETS) >= least
-        at = np.flatnonzero(often[bucket] & joins)
-        twins = symbols[at] == symbols[at + 1]
+        often = np.bincount(bucket, minlength=1 << BUCKETS) >= least
+        at, key = (x[often[bucket]] for x in (at, key))
+        twins = key >> 24 == key & (SYMBOLS - 1)
         single = ~twins
         single[twins] = _every_other(at[twins])
-        at = at[single]
-        pairs, which, seen = np.unique(key[at], return_inverse=True, return_counts=True)
-        frequent = (seen >= least)[which]
-        at, which = at[frequent], which[frequent]
+        pairs, which, seen = np.unique(key[single], return_inverse=True, return_counts=True)
+        frequent = seen >= least
+        asked = at  # what is rare now never gets frequent: an old pair only loses places
+        at, which = (x[frequent[which]] for x in (at[single], which))
         rank = np.empty(len(pairs), np.int64)
         rank[np.lexsort((pairs, seen))] = np.arange(len(pairs))
         own, touch = rank[which], at[1:] - at[:-1] == 1
@@ -105,7 +105,15 @@ def compress(ids: np.ndarray, ends: np.ndarray, least: int = 8) -> tuple:
         last[at] |= last[at + 1]
         stays = np.ones(len(symbols), bool)
         stays[at + 1] = False
+        # Next come the pairs with a new symbol, and those that may be frequent and were not replaced.
+        place = np.cumsum(stays) - 1
         symbols, last = symbols[stays], last[stays]
+        fresh = place[at]
+        again = np.zeros(len(symbols), bool)
+        again[place[asked[stays[asked]]]] = True
+        again[fresh] = True
+        again[fresh[fresh > 0] - 1] = True
+        at = np.flatnonzero(again[:-1] & ~last[:-1])
     none = np.zeros(0, np.int64)
     grammar = Grammar(
         base,
@@ -192,10 +200,20 @@ class Shard:
         return expand(run, self.grammar).astype("<u4")
 
     def ids(self) -> np.ndarray:
-        found = expand(self.symbols, self.grammar).astype("<u4")
-        if len(found) != self.n_ids:
+        """The ids of all documents: each distinct symbol is expanded once."""
+        grammar, symbols = self.grammar, self.symbols
+        length = np.concatenate([np.ones(grammar.base, np.int64), grammar.length])
+        used = np.zeros(len(length), bool)
+        used[symbols] = True
+        distinct = np.flatnonzero(used)
+        stored = expand(distinct, grammar).astype("<u4")
+        start = np.cumsum(np.where(used, length, 0)) - length
+        count = length[symbols]
+        ends = np.cumsum(count)
+        if length[distinct].sum() != len(stored) or count.sum() != self.n_ids:
             raise BadShard("a shard's rules do not give its ids")
-        return found
+        shift = np.repeat(start[symbols] - ends + count, count)
+        return stored[shift + np.arange(self.n_ids)]
 
 
 def shards_of(content: bytes) -> Iterator[Shard]:
