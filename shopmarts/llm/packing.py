@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from shopmarts.llm.memory import tidy
 from shopmarts.llm.tokenizing import TEXT_BYTES, encoder
 from shopmarts.llm.words import blocks
 
@@ -173,7 +174,7 @@ def packed(
         if ids:
             yield flush()
 
-    return documents.select(id_column, text_column).mapInArrow(run, SCHEMA)
+    return documents.select(id_column, text_column).mapInArrow(tidy(run), SCHEMA)
 
 
 def _rows(rows: list[tuple]) -> pa.RecordBatch:

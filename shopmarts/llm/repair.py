@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shopmarts.llm.files import put
+from shopmarts.llm.memory import tidy
 from shopmarts.llm.tokenizing import TEXT_BYTES, encoder
 from shopmarts.llm.words import blocks
 
@@ -290,7 +291,7 @@ def write_shards(
         .sortWithinPartitions(id_column, text_column)
     )
     manifest = f"{folder}/manifest"
-    rows = ordered.mapInArrow(run, "part int, file int, n_docs long, n_ids long, n_bytes long")
+    rows = ordered.mapInArrow(tidy(run), "part int, file int, n_docs long, n_ids long, n_bytes long")
     rows.write.mode("overwrite").parquet(manifest)
     return documents.sparkSession.read.parquet(manifest)
 

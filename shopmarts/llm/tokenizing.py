@@ -31,7 +31,7 @@ LONE_SPACE = re.compile(r"(?<=\S)(?= \S)")
 KEPT_PIECES = 800_000  # of a worker's dictionary, about 160 MB
 KEPT_LENGTH = 48  # longer pieces are encoded each time
 GATHERED = 1 << 20  # pieces whose ids are gathered in one step
-TEXT_BYTES = 8_000_000  # of a list of texts to encode, unless one text is longer
+TEXT_BYTES = 4_000_000  # of a list of texts to encode, unless one text is longer
 # A word of Latin letters with punctuation, perhaps the next line's first one too. Apostrophes are
 # left out, as both vocabularies treat some of them with the letters after them, and so is U+0130,
 # whose lower case is two characters.
