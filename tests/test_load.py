@@ -1,3 +1,4 @@
+import hashlib
 import os
 import re
 import subprocess
@@ -462,3 +463,42 @@ def test_a_failing_table_is_raised_and_leaves_the_others_loaded(spark, root, sho
     with pytest.raises(LoadError, match="orders"):
         load_tables(spark, shop, root, "1.5", NARROW)
     assert RawTable(spark, root, NARROW["customers"]).read().count() == 2
+
+
+def test_keys_are_counted_only_where_a_hash_is_repeated(spark, root, source, monkeypatch):
+    """A first load shuffles neither row ids nor, to count them, the keys; what it stores is the same."""
+    raw = orders(spark, root)
+    plans = []
+    original = RawTable._write
+
+    def watched(self, rows):
+        plans.append(sorted(rows.columns))
+        return original(self, rows)
+
+    monkeypatch.setattr(RawTable, "_write", watched)
+    keys = [-11, -10, -1, 0, 9, 10, 10, 31]
+    raw.load(source.table("orders", *[{"id": i} for i in keys]), "1.5")
+    assert raw.state().rows == 7 and len(plans) == 2  # the second time without the repeated key
+    rows = raw.read().collect()
+    assert sorted(row.id for row in rows) == sorted(set(keys))
+    for row in rows:
+        assert row._dlt_id == hashlib.md5(f"{row.id}|{row._dlt_load_id}".encode()).hexdigest()
+    assert {bucket for bucket, _ in listed(raw)} == {-2, -1, 0, 1, 3}
+    assert "_slice" not in raw.read().columns
+
+
+def test_neighbouring_keys_of_a_first_load_share_a_file(spark, root, source):
+    """However they are dealt in the source, so that sums by key are combined before a shuffle."""
+    spec = replace(NARROW["orders"], bucket_width=4_000, file_rows=4_000)
+    raw = RawTable(spark, root, spec)
+    conf = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(conf, "false")
+    try:
+        rows = spark.range(4_000).selectExpr("(id * 1237) % 4000 as id").repartition(8)
+        raw.load(rows.selectExpr("id", "timestamp_ntz'2026-01-01' as updated_at"), "1.5")
+    finally:
+        spark.conf.set(conf, "true")
+    held = dict(raw.read().select("id", "_metadata.file_name").collect())
+    assert len(held) == 4_000
+    for first in range(0, 4_000, 1_000):
+        assert len({held[key] for key in range(first, first + 1_000)}) == 1
