@@ -25,13 +25,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopmarts.llm.files import put
+from shopmarts.llm.memory import tidy
 from shopmarts.llm.sampling import bounded_sample
+from shopmarts.llm.words import blocks
 
 LEAST_REVISIT = 1_000
 SAMPLE_PAGES = 500  # for the dictionary at most, of those with small hashes of their ids
 SAMPLE_CHARS = 4_096  # of each
 DICTIONARY_BYTES = 64 << 10
 FILE_BYTES = 32 << 20
+READ_BYTES = 4 << 10  # of an archive, in one step
+HTML_BYTES = 4 << 20  # of pages taken from Arrow in one step, unless one page is longer
 
 # Fixed values of the formats.
 SKIPPABLE = 0x184D2A5D
@@ -178,15 +182,19 @@ def archive_records(content: bytes) -> Iterator[Record]:
     while len(rest):
         if len(rest) < 4 or struct.unpack_from("<I", rest)[0] != FRAME:
             raise BadArchive("something other than a frame follows a record")
-        one = decoder.decompressobj()
-        try:
-            raw = one.decompress(rest)
-        except zstandard.ZstdError as error:
-            raise BadArchive(f"a frame that cannot be decoded: {error}") from error
+        # What follows a frame is copied by the library, so it gets a little more than the frame.
+        one, parts, read = decoder.decompressobj(), [], 0
+        while not one.eof and read < len(rest):
+            some = rest[read : read + READ_BYTES]
+            try:
+                parts.append(one.decompress(some))
+            except zstandard.ZstdError as error:
+                raise BadArchive(f"a frame that cannot be decoded: {error}") from error
+            read += len(some)
         if not one.eof:
             raise BadArchive("an archive is cut off in a frame")
-        yield parse_record(raw)
-        rest = rest[len(rest) - len(one.unused_data) :]
+        yield parse_record(b"".join(parts))
+        rest = rest[read - len(one.unused_data) :]
 
 
 def trained_dictionary(pages: DataFrame) -> bytes:
@@ -235,6 +243,12 @@ def write_archives(pages: DataFrame, folder: str, file_bytes: int = FILE_BYTES)
         frames = [begin]
         held = files = records = 0
 
+        def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+            for batch in batches:
+                for at, texts in blocks(batch.column(2), HTML_BYTES):
+                    some = batch.slice(at, len(texts))
+                    yield from zip(*(column.to_pylist() for column in some.columns), strict=True)
+
         def close() -> pa.RecordBatch:
             nonlocal frames, held, files, records
             put(f"{folder}/pages-{part:07d}-{files:07d}.warc.zst", b"".join(frames))
@@ -242,18 +256,15 @@ def write_archives(pages: DataFrame, folder: str, file_bytes: int = FILE_BYTES)
             frames, held, records, files = [begin], 0, 0, files + 1
             return pa.RecordBatch.from_pylist([row])
 
-        for batch in batches:
-            for page_id, url, html, digest, refers_to in zip(
-                *(column.to_pylist() for column in batch.columns), strict=True
-            ):
-                body = (html or "").encode()
-                kind = "response" if refers_to is None else "revisit"
-                record = Record(page_id, url, kind, refers_to, len(body), digest, body)
-                frames.append(coder.compress(record_bytes(record)))
-                held += len(frames[-1])
-                records += 1
-                if held >= file_bytes:
-                    yield close()
+        for page_id, url, html, digest, refers_to in rows_of(batches):
+            body = (html or "").encode()
+            kind = "response" if refers_to is None else "revisit"
+            record = Record(page_id, url, kind, refers_to, len(body), digest, body)
+            frames.append(coder.compress(record_bytes(record)))
+            held += len(frames[-1])
+            records += 1
+            if held >= file_bytes:
+                yield close()
         if records:
             yield close()
 
@@ -264,7 +275,7 @@ def write_archives(pages: DataFrame, folder: str, file_bytes: int = FILE_BYTES)
         .sortWithinPartitions("page_id", "digest", "url")
     )
     manifest = f"{folder}/manifest"
-    rows = placed.mapInArrow(run, "part long, file long, n_records long, n_bytes long")
+    rows = placed.mapInArrow(tidy(run), "part long, file long, n_records long, n_bytes long")
     rows.write.mode("overwrite").parquet(manifest)
     return pages.sparkSession.read.parquet(manifest)
 
@@ -292,7 +303,7 @@ def read_archives(spark: SparkSession, folder: str, payloads: bool = False) -> D
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(folder)
     schema = RECORDS + ", payload binary" if payloads else RECORDS
-    return files.select("content").mapInArrow(run, schema)
+    return files.select("content").mapInArrow(tidy(run), schema)
 
 
 def _batch(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.RecordBatch:

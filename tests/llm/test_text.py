@@ -1,7 +1,9 @@
 """Words in blocks, tokens by pieces, and the shard and archive formats."""
 
+import hashlib
 import random
 import re
+import struct
 import zlib
 from array import array
 from collections import Counter
@@ -10,6 +12,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+import zstandard
 
 from shopmarts.llm import repair, warc
 from shopmarts.llm.tokenizing import Encoder
@@ -238,3 +241,41 @@ def test_re_pair_goes_on_until_no_pair_is_frequent():
     grammar, symbols, _ = repair.compress(passage, np.array([len(passage) - 1]))
     assert len(symbols) < 32 and grammar.length.max() > 8_000
     assert (repair.expand(symbols, grammar) == passage).all()
+
+
+def test_an_archive_is_read_in_small_steps(monkeypatch):
+    """The library copies what stands behind a frame: with the rest of a file, that is the file per record."""
+    real = zstandard.ZstdDecompressor
+
+    class Watched:
+        def __init__(self, one):
+            self.one = one
+
+        eof = property(lambda self: self.one.eof)
+        unused_data = property(lambda self: self.one.unused_data)
+
+        def decompress(self, some):
+            sizes.append(len(some))
+            return self.one.decompress(some)
+
+    class Decompressor:
+        def __init__(self, **options):
+            self.decoder = real(**options)
+
+        def decompressobj(self):
+            return Watched(self.decoder.decompressobj())
+
+    sizes = []
+    monkeypatch.setattr(warc.zstandard, "ZstdDecompressor", Decompressor)
+    rng = random.Random(1)
+    bodies = [rng.randbytes(size) for size in [0, 1, 100, 5_000, 40_000] * 4]
+    frames = []
+    for i, body in enumerate(bodies):
+        digest = hashlib.sha1(body).hexdigest()
+        record = warc.Record(i, "u", "response", None, len(body), digest, body)
+        frames.append(zstandard.ZstdCompressor().compress(warc.record_bytes(record)))
+    content = struct.pack("<II", warc.SKIPPABLE, 0) + b"".join(frames)
+    assert [r.payload for r in warc.archive_records(content)] == bodies
+    assert max(sizes) <= warc.READ_BYTES
+    with pytest.raises(warc.BadArchive, match="cut off"):
+        list(warc.archive_records(content[:-1]))
