@@ -26,6 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -65,14 +66,14 @@ def compress(ids: np.ndarray, ends: np.ndarray, least: int = 8) -> tuple:
     all is replaced wherever it stands; rounds go on until no pair is frequent enough. If symbols run
     out, the most frequent pairs get the last ones.
     """
-    symbols = ids.astype(np.int64)
+    symbols = ids.astype(np.int32)  # less than 2^24
     last = np.zeros(len(ids), bool)
     last[ends] = True
     base = int(ids.max(initial=0)) + 1
     left, right, length = [], [], np.ones(base, np.int64)
     at = np.flatnonzero(~last[:-1])
     while len(at):
-        key = symbols[at] << 24 | symbols[at + 1]
+        key = symbols[at].astype(np.int64) << 24 | symbols[at + 1]
         bucket = (key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - BUCKETS)
         bucket = bucket.astype(np.int32)
         often = np.bincount(bucket, minlength=1 << BUCKETS) >= least
@@ -80,7 +81,7 @@ def compress(ids: np.ndarray, ends: np.ndarray, least: int = 8) -> tuple:
         twins = key >> 24 == key & (SYMBOLS - 1)
         single = ~twins
         single[twins] = _every_other(at[twins])
-        pairs, which, seen = np.unique(key[single], return_inverse=True, return_counts=True)
+        pairs, which, seen = _numbered(key[single])
         frequent = seen >= least
         asked = at  # what is rare now never gets frequent: an old pair only loses places
         at, which = (x[frequent[which]] for x in (at[single], which))
@@ -107,7 +108,7 @@ def compress(ids: np.ndarray, ends: np.ndarray, least: int = 8) -> tuple:
         stays = np.ones(len(symbols), bool)
         stays[at + 1] = False
         # Next come the pairs with a new symbol, and those that may be frequent and were not replaced.
-        place = np.cumsum(stays) - 1
+        place = np.cumsum(stays, dtype=np.int32) - 1
         symbols, last = symbols[stays], last[stays]
         fresh = place[at]
         again = np.zeros(len(symbols), bool)
@@ -125,6 +126,18 @@ def compress(ids: np.ndarray, ends: np.ndarray, least: int = 8) -> tuple:
     return grammar, symbols, np.flatnonzero(last)
 
 
+def _numbered(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct keys in ascending order, each key's number among them, and how often each occurs.
+    Arrow finds them by hashing, so only the distinct ones are sorted."""
+    coded = pc.dictionary_encode(pa.array(key), memory_pool=pa.system_memory_pool())
+    distinct = coded.dictionary.to_numpy()
+    order = np.argsort(distinct)
+    place = np.empty(len(distinct), np.int64)
+    place[order] = np.arange(len(distinct))
+    which = place[coded.indices.to_numpy()]
+    return distinct[order], which, np.bincount(which, minlength=len(distinct))
+
+
 def _every_other(at: np.ndarray) -> np.ndarray:
     """Of positions in ascending order, those that do not overlap the one taken before them."""
     if not len(at):

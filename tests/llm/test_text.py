@@ -1,5 +1,6 @@
 """Words in blocks, tokens by pieces, and the shard and archive formats."""
 
+import gc
 import hashlib
 import random
 import re
@@ -279,3 +280,21 @@ def test_an_archive_is_read_in_small_steps(monkeypatch):
     assert max(sizes) <= warc.READ_BYTES
     with pytest.raises(warc.BadArchive, match="cut off"):
         list(warc.archive_records(content[:-1]))
+
+
+def test_distinct_pairs_are_numbered_without_sorting_all():
+    rng = np.random.default_rng(3)
+    for keys in (np.zeros(0, np.int64), np.array([7]), rng.integers(0, 50, 1_000) << 24):
+        wanted = np.unique(keys, return_inverse=True, return_counts=True)
+        for got, right in zip(repair._numbered(keys), wanted, strict=True):
+            assert got.tolist() == right.tolist()
+
+
+def test_a_list_of_texts_sets_off_no_search_for_cycles():
+    coder = Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdefgh", k=9)) for _ in range(20_000)]
+    before = [x["collections"] for x in gc.get_stats()]
+    found = coder.encode([" ".join(words), None])
+    assert [x["collections"] for x in gc.get_stats()] == before and gc.isenabled()
+    assert found == [coder._whole(" ".join(words)), b""]
