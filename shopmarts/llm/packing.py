@@ -163,7 +163,7 @@ def packed(
 
         for batch in batches:
             for at, texts in blocks(batch.column(1), TEXT_BYTES):
-                found = coder.encode(texts.to_pylist())
+                found = coder.encode(texts)
                 own = batch.column(0).slice(at, len(texts)).to_pylist()
                 for name, x in zip(own, found, strict=True):
                     names.append(name)

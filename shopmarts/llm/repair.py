@@ -40,7 +40,7 @@ MAGIC = b"RPR1"
 HEAD = struct.Struct("<4sIIQQII")
 NAME = re.compile(r"shard-(\d+)-(\d+)\.rpr$")
 SYMBOLS = 1 << 24
-BUCKETS = 20  # bits of the table that finds frequent pairs
+BUCKETS = 18  # bits of the table that finds frequent pairs
 
 DECODED = "doc_id long, part int, file int, at long, n_tokens long, ids_crc32 long"
 
@@ -71,51 +71,61 @@ def compress(ids: np.ndarray, ends: np.ndarray, least: int = 8) -> tuple:
     last[ends] = True
     base = int(ids.max(initial=0)) + 1
     left, right, length = [], [], np.ones(base, np.int64)
-    at = np.flatnonzero(~last[:-1])
+    # A replaced pair leaves a gap, so a round only touches the places that changed.
+    after = np.arange(1, len(ids) + 1)
+    before = np.arange(-1, len(ids))
+    stands = np.ones(len(ids), bool)
+    at = np.flatnonzero(_maybe_often(symbols[:-1], symbols[1:], least) & ~last[:-1])
     while len(at):
-        key = symbols[at].astype(np.int64) << 24 | symbols[at + 1]
-        bucket = (key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - BUCKETS)
-        bucket = bucket.astype(np.int32)
-        often = np.bincount(bucket, minlength=1 << BUCKETS) >= least
-        at, key = (x[often[bucket]] for x in (at, key))
-        twins = key >> 24 == key & (SYMBOLS - 1)
-        single = ~twins
-        single[twins] = _every_other(at[twins])
-        pairs, which, seen = _numbered(key[single])
+        key = symbols.take(at).astype(np.int64) << 24
+        key |= symbols.take(after.take(at))
+        twins = np.flatnonzero(key >> 24 == key & (SYMBOLS - 1))
+        own = at[twins]
+        lone = np.ones(len(at), bool)
+        lone[twins] = _every_other(after[own[:-1]] == own[1:], len(own))
+        pairs, which, seen = _numbered(np.compress(lone, key))
         frequent = seen >= least
-        asked = at  # what is rare now never gets frequent: an old pair only loses places
-        at, which = (x[frequent[which]] for x in (at[single], which))
+        # What is rare now never gets frequent: an old pair only loses places.
+        kept = np.flatnonzero(frequent.take(which))
+        twice = at[np.flatnonzero(~lone)]
+        asked = at = at.take(np.flatnonzero(lone)).take(kept)
+        which = which.take(kept)
         rank = np.empty(len(pairs), np.int64)
-        rank[np.lexsort((pairs, seen))] = np.arange(len(pairs))
-        own, touch = rank[which], at[1:] - at[:-1] == 1
+        some = np.flatnonzero(frequent)
+        rank[some[np.argsort(seen[some], kind="stable")]] = np.arange(len(some))
+        own, touch = rank.take(which), after.take(at[:-1]) == at[1:]
         stays = np.ones(len(at), bool)
         stays[:-1] &= ~(touch & (own[1:] > own[:-1]))
         stays[1:] &= ~(touch & (own[:-1] > own[1:]))
-        at, which = at[stays], which[stays]
+        stays = np.flatnonzero(stays)
+        at, which = at.take(stays), which.take(stays)
         seen = np.bincount(which, minlength=len(pairs))
         chosen = np.flatnonzero(seen >= least)
         chosen = np.sort(chosen[np.argsort(-seen[chosen], kind="stable")[: SYMBOLS - len(length)]])
         if not len(chosen):
             break
-        number = np.full(len(pairs), -1)
+        number = np.full(len(pairs), -1, np.int32)
         number[chosen] = np.arange(len(chosen)) + len(length)
-        at, which = at[number[which] >= 0], which[number[which] >= 0]
+        fresh = number.take(which)
+        stays = np.flatnonzero(fresh >= 0)
+        at, fresh = at.take(stays), fresh.take(stays)
         left.append(pairs[chosen] >> 24)
         right.append(pairs[chosen] & (SYMBOLS - 1))
         length = np.concatenate([length, length[left[-1]] + length[right[-1]]])
-        symbols[at] = number[which]
-        last[at] |= last[at + 1]
-        stays = np.ones(len(symbols), bool)
-        stays[at + 1] = False
+        gone = after.take(at)
+        symbols[at] = fresh
+        last[at] = last.take(gone)
+        stands[gone] = False
+        then = after.take(gone)
+        after[at] = then
+        before[then] = at
         # Next come the pairs with a new symbol, and those that may be frequent and were not replaced.
-        place = np.cumsum(stays, dtype=np.int32) - 1
-        symbols, last = symbols[stays], last[stays]
-        fresh = place[at]
         again = np.zeros(len(symbols), bool)
-        again[place[asked[stays[asked]]]] = True
-        again[fresh] = True
-        again[fresh[fresh > 0] - 1] = True
-        at = np.flatnonzero(again[:-1] & ~last[:-1])
+        again[asked] = again[twice] = again[at] = True
+        earlier = before.take(at)
+        again[earlier[np.flatnonzero(earlier >= 0)]] = True
+        at = np.flatnonzero(again & stands & ~last)
+        at = at.take(np.flatnonzero(_maybe_often(symbols.take(at), symbols.take(after.take(at)), least)))
     none = np.zeros(0, np.int64)
     grammar = Grammar(
         base,
@@ -123,7 +133,18 @@ def compress(ids: np.ndarray, ends: np.ndarray, least: int = 8) -> tuple:
         np.concatenate([none, *right]),
         length[base:],
     )
-    return grammar, symbols, np.flatnonzero(last)
+    return grammar, symbols[stands], np.flatnonzero(last[stands])
+
+
+def _maybe_often(first: np.ndarray, second: np.ndarray, least: int) -> np.ndarray:
+    """Whether each pair may occur ``least`` times: in a hashed table its bucket does."""
+    mixed = first.view(np.uint32) * np.uint32(0x9E3779B1)
+    mixed ^= mixed >> np.uint32(15)
+    mixed += second.view(np.uint32)
+    mixed *= np.uint32(0x85EBCA77)
+    mixed >>= np.uint32(32 - BUCKETS)
+    bucket = mixed.astype(np.int64)
+    return (np.bincount(bucket, minlength=1 << BUCKETS) >= least).take(bucket)
 
 
 def _numbered(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -138,12 +159,13 @@ def _numbered(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return distinct[order], which, np.bincount(which, minlength=len(distinct))
 
 
-def _every_other(at: np.ndarray) -> np.ndarray:
-    """Of positions in ascending order, those that do not overlap the one taken before them."""
-    if not len(at):
+def _every_other(joined: np.ndarray, count: int) -> np.ndarray:
+    """Of ``count`` places in ascending order, those that do not overlap the one taken before them.
+    ``joined`` tells of every place but the last whether the next one overlaps it."""
+    if not count:
         return np.zeros(0, bool)
-    begins = np.concatenate([[True], np.diff(at) > 1])
-    order = np.arange(len(at))
+    begins = np.concatenate([[True], ~joined])
+    order = np.arange(count)
     first = np.maximum.accumulate(np.where(begins, order, 0))
     return (order - first) % 2 == 0
 
@@ -283,7 +305,7 @@ def write_shards(
 
         for batch in batches:
             for at, texts in blocks(batch.column(1), TEXT_BYTES):
-                found = coder.encode(texts.to_pylist())
+                found = coder.encode(texts)
                 own = batch.column(0).slice(at, len(texts)).to_pylist()
                 for name, x in zip(own, found, strict=True):
                     names.append(-(1 << 63) if name is None else name)

@@ -298,3 +298,59 @@ def test_a_list_of_texts_sets_off_no_search_for_cycles():
     found = coder.encode([" ".join(words), None])
     assert [x["collections"] for x in gc.get_stats()] == before and gc.isenabled()
     assert found == [coder._whole(" ".join(words)), b""]
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_a_word_is_learned_once_whatever_mark_stands_beside_it(name):
+    coder = Encoder(public_tokenizers.path(name))
+    texts = ["so a thorn, a thorn. a thorn! a (thorn) a thorn;thorn a naïve, a naïve? a don't."]
+    assert coder.encode(texts) == [coder._whole(texts[0])]
+    assert [x for x in coder.known if "thorn" in x] == [" thorn", "thorn"]
+    assert [x for x in coder.known if "naïve" in x] == [" naïve"] and " don't" in coder.known
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_texts_are_cut_where_the_library_cuts(name):
+    coder = Encoder(public_tokenizers.path(name), kept=300)
+    rng = random.Random(7)
+    alphabet = ["a", "É", "ÿ", "×", "÷", "'", "'s", "'ll", "=", "̸", "́", ".", "-", "7", "Σ", "й", "“", "中"]
+    alphabet += [*" " * 6, *"\n\x0b\x1c\x85\xa0     　", "\0", "​", "😀", "x" * 60]
+    given = ["".join(rng.choices(alphabet, k=rng.randint(0, 14))) for _ in range(2_000)]
+    given = [None if i % 50 == 0 else text for i, text in enumerate(given)]
+    for at in range(0, len(given), 100):
+        found = coder.encode(pa.array(given, pa.string()).slice(at, 100))
+        wanted = [b"" if text is None else coder._whole(text) for text in given[at : at + 100]]
+        assert found == wanted
+        assert len(coder.bounds) == len(coder.known) + 1 <= 301
+        assert coder.bounds[-1] == len(coder.stored)
+    assert coder.encode(pa.array([], pa.string())) == [] and coder.encode([None, ""]) == [b"", b""]
+
+
+def test_a_full_dictionary_keeps_the_words_of_the_list():
+    coder = Encoder(public_tokenizers.path("word_bpe_49k.json"), kept=40)
+    rng = random.Random(8)
+    words = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(60)]
+    coder.encode([" ".join(words[:30])])
+    later = " ".join(words[20:50])
+    assert coder.encode([later]) == [coder._whole(later)]
+    assert set(coder.known) == {f" {x}" for x in words[21:50]} | {words[20]}
+    longer = " ".join(words) + " " + " ".join(words[::-1])
+    assert coder.encode([longer, None]) == [coder._whole(longer), b""] and not coder.known
+
+
+def test_a_round_of_re_pair_only_looks_at_what_changed(monkeypatch):
+    looked = []
+    maybe_often = repair._maybe_often
+
+    def watched(first, second, least):
+        looked.append(len(first))
+        return maybe_often(first, second, least)
+
+    monkeypatch.setattr(repair, "_maybe_often", watched)
+    rng = np.random.default_rng(4)
+    once = rng.integers(1_000, 1 << 20, 50_000)
+    passage = np.tile(rng.integers(0, 1_000, 64), 100)
+    ids = np.concatenate([once, passage]).astype("<u4")
+    grammar, symbols, _ = repair.compress(ids, np.array([len(once) - 1, len(ids) - 1]))
+    assert (repair.expand(symbols, grammar) == ids).all()
+    assert len(looked) > 6 and looked[0] == len(ids) - 1 and max(looked[1:]) <= len(passage)
