@@ -5,6 +5,7 @@ import hashlib
 import random
 import re
 import struct
+import tracemalloc
 import zlib
 from array import array
 from collections import Counter
@@ -338,6 +339,21 @@ def test_a_full_dictionary_keeps_the_words_of_the_list():
     assert coder.encode([longer, None]) == [coder._whole(longer), b""] and not coder.known
 
 
+def test_known_pieces_are_held_without_an_object_each():
+    rng = random.Random(9)
+    words = sorted({"".join(rng.choices("abcdefgh", k=8)) for _ in range(40_000)})
+    coder = Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    coder.encode(["warm up"])
+    gc.collect()
+    tracemalloc.start()
+    before = pa.total_allocated_bytes()
+    coder.encode([" ".join(words)])
+    gc.collect()
+    held = tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes() - before
+    tracemalloc.stop()
+    assert len(coder.bounds) > len(words) and held < 80 * len(words)
+
+
 def test_a_round_of_re_pair_only_looks_at_what_changed(monkeypatch):
     looked = []
     maybe_often = repair._maybe_often
